@@ -1,0 +1,262 @@
+"""Landing: report files become append-only raw tables whose source columns are all text.
+
+Nothing is typed or rejected here, so no value is lost; typing is the staging tables' job.
+Empty cells are landed as ``''`` and not as NULL, because ``''`` keys match in the joins
+downstream and NULL keys do not.
+"""
+
+from __future__ import annotations
+
+import logging
+import uuid
+from collections.abc import Callable, Iterable, Sequence
+from dataclasses import dataclass, field
+from datetime import UTC, date, datetime
+from functools import reduce
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
+
+log = logging.getLogger(__name__)
+
+INGEST_DAY = "_ingest_date"
+METADATA = {
+    "_ingested_at": "timestamp",
+    "_source": "string",
+    "_app_id": "string",
+    "_platform": "string",
+    "_run_id": "string",
+    "_extract_from": "date",
+    "_extract_to": "date",
+}
+
+
+@dataclass(frozen=True)
+class Load:
+    """What is known about one load. Time and run id are set once, on the driver."""
+
+    source: str
+    extract_from: date
+    extract_to: date
+    app_id: str = ""
+    platform: str = ""
+    ingested_at: datetime = field(default_factory=lambda: datetime.now(UTC))
+    run_id: str = field(default_factory=lambda: str(uuid.uuid4()))
+
+
+# ---- headers -------------------------------------------------------------------------
+
+
+def snake_case(header: str, slash: bool = False) -> str:
+    """Header to column name. Monthly statistics files also map ``/``."""
+    name = header.strip().lower().replace(" ", "_").replace("-", "_")
+    return name.replace("/", "_") if slash else name
+
+
+def snake_headers(df: DataFrame, slash: bool = False) -> DataFrame:
+    return df.toDF(*[snake_case(c, slash) for c in df.columns])
+
+
+def files_by_header(
+    spark: SparkSession, paths: str | Sequence[str], encoding: str = "UTF-8"
+) -> list[list[str]]:
+    """File names grouped by their header line, found in one distributed pass.
+
+    Only file names and header lines reach the driver, which lists the files anyway.
+    """
+    lines = spark.read.option("encoding", encoding).text(paths).select(
+        F.col("_metadata.file_path").alias("path"),
+        F.struct(
+            F.col("_metadata.file_block_start").alias("start"),
+            F.monotonically_increasing_id().alias("line"),
+        ).alias("position"),
+        "value",
+    )
+    headers = lines.groupBy("path").agg(F.min_by("value", "position").alias("header"))
+    groups = headers.groupBy("header").agg(F.sort_array(F.collect_list("path")).alias("paths"))
+    return [row["paths"] for row in groups.orderBy("header").collect()]
+
+
+def _read_by_header(
+    spark: SparkSession, paths: str | Sequence[str], read: Callable[..., DataFrame]
+) -> DataFrame:
+    groups = files_by_header(spark, paths)
+    frames = [read(group) for group in groups]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+
+
+# ---- readers -------------------------------------------------------------------------
+
+
+def blank_for_null(df: DataFrame) -> DataFrame:
+    """Spark reads an empty cell as NULL; the raw contract is the empty string."""
+    return df.na.fill("")
+
+
+def read_csv_report(
+    spark: SparkSession,
+    paths: str | Sequence[str],
+    encoding: str = "UTF-8",
+    mixed_headers: bool = False,
+    file_column: str | None = None,
+) -> DataFrame:
+    """CSV with a header, kept verbatim: quoted commas and newlines, optional byte-order mark.
+
+    A file whose header differs from the first one's fails the read instead of shifting
+    its columns; ``mixed_headers=True`` reads each group of equal headers by itself.
+    ``file_column`` adds the name of the file a row comes from.
+    """
+
+    def read(files: str | Sequence[str]) -> DataFrame:
+        df = spark.read.csv(
+            files,
+            header=True,
+            inferSchema=False,
+            enforceSchema=False,
+            multiLine=True,
+            quote='"',
+            escape='"',
+            encoding=encoding,
+        )
+        return df.withColumn(file_column, F.col("_metadata.file_path")) if file_column else df
+
+    df = _read_by_header(spark, paths, read) if mixed_headers else read(paths)
+    return blank_for_null(df)
+
+
+def read_tsv_report(
+    spark: SparkSession, paths: str | Sequence[str], mixed_headers: bool = False
+) -> DataFrame:
+    """Tab-separated text, plain or gzip. Tabs split, nothing quotes; short rows are padded.
+
+    A gzip file is read by one task; many small ones are packed into each task, and the
+    append below evens out what is left.
+    """
+
+    def read(files: str | Sequence[str]) -> DataFrame:
+        df = spark.read.csv(
+            files,
+            sep="\t",
+            header=True,
+            inferSchema=False,
+            enforceSchema=False,
+            quote="",
+            escape="",
+        )
+        return snake_headers(df)
+
+    df = _read_by_header(spark, paths, read) if mixed_headers else read(paths)
+    return blank_for_null(df)
+
+
+def read_json_rows(
+    spark: SparkSession,
+    paths: str | Sequence[str],
+    columns: Iterable[str] | None = None,
+    multi_line: bool = True,
+) -> DataFrame:
+    """JSON objects, one row each, every top-level value as text; nested values as JSON text.
+
+    Without ``columns`` the union of the top-level keys is found by an extra pass, sorted.
+    ``multi_line=False`` reads one object per line, in splits.
+    """
+    if columns is None:
+        probe = spark.read.json(paths, multiLine=multi_line, primitivesAsString=True)
+        columns = sorted(probe.columns)
+    schema = ", ".join(f"`{c}` string" for c in columns)
+    return blank_for_null(spark.read.json(paths, schema=schema, multiLine=multi_line))
+
+
+# ---- stamp, align, append ------------------------------------------------------------
+
+
+def stamp(df: DataFrame, load: Load) -> DataFrame:
+    """Adds the seven load columns, constant over the load."""
+    return df.withColumns(
+        {
+            "_ingested_at": F.lit(load.ingested_at).cast("timestamp"),
+            "_source": F.lit(load.source),
+            "_app_id": F.lit(load.app_id),
+            "_platform": F.lit(load.platform),
+            "_run_id": F.lit(load.run_id),
+            "_extract_from": F.lit(load.extract_from).cast("date"),
+            "_extract_to": F.lit(load.extract_to).cast("date"),
+        }
+    )
+
+
+def align_to_table(df: DataFrame, table_columns: Sequence[str]) -> DataFrame:
+    """The table's columns only: unknown ones are dropped, missing ones are NULL.
+
+    Names match without regard to case, as everywhere in the engine.
+    """
+    have = {c.lower(): c for c in df.columns}
+    known = {c.lower() for c in table_columns}
+    dropped = sorted(c for c in df.columns if c.lower() not in known)
+    if dropped:
+        log.warning("dropping columns the table does not have: %s", dropped)
+    return df.select(
+        *[
+            F.col(f"`{have[c.lower()]}`").alias(c)
+            if c.lower() in have
+            else F.lit(None).cast(METADATA.get(c, "string")).alias(c)
+            for c in table_columns
+        ]
+    )
+
+
+def table_columns(spark: SparkSession, path: str) -> list[str] | None:
+    """Columns of an existing raw table, or None if there is none yet."""
+    try:
+        return [c for c in spark.read.parquet(path).columns if c != INGEST_DAY]
+    except AnalysisException as error:
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+
+
+def append_raw(df: DataFrame, path: str) -> int:
+    """Appends stamped rows to a raw table, one folder per load day; returns the row count.
+
+    The count is observed during the write, so the input is read once.
+    """
+    counted = Observation()
+    (
+        df.withColumn(INGEST_DAY, F.to_date("_ingested_at"))
+        .observe(counted, F.count(F.lit(1)).alias("rows"))
+        .write.mode("append")
+        .partitionBy(INGEST_DAY)
+        .parquet(path)
+    )
+    return counted.get["rows"]
+
+
+def land(df: DataFrame, path: str, load: Load) -> int:
+    """Stamp, align to the table if it exists, append. An input without rows writes nothing."""
+    if df.isEmpty():
+        log.warning("no rows for %s, nothing written", path)
+        return 0
+    stamped = stamp(df, load)
+    existing = table_columns(df.sparkSession, path)
+    if existing is not None:
+        stamped = align_to_table(stamped, existing)
+    return append_raw(stamped, path)
+
+
+def land_many(jobs: Sequence[tuple[str, Callable[[], int]]]) -> dict[str, int]:
+    """Runs every landing job; one bad input does not stop the others, all are reported.
+
+    The jobs are driver-side closures over :func:`land`; the rows stay on the executors.
+    """
+    done: dict[str, int] = {}
+    failed: list[str] = []
+    for name, job in jobs:
+        try:
+            done[name] = job()
+        except Exception as error:  # reported below, together
+            log.error("%s failed: %s", name, error)
+            failed.append(name)
+    if failed:
+        raise RuntimeError(f"landing failed for {len(failed)} of {len(jobs)} input(s): {failed}")
+    return done
