@@ -74,9 +74,7 @@ def months_between_dates(spark: SparkSession, date_from: date, date_to: date) ->
     first, last = date_from.replace(day=1), date_to.replace(day=1)
     if first > last:
         return spark.createDataFrame([], "month string")
-    return spark.range(1).select(
-        F.date_format(
-            F.explode(F.sequence(F.lit(first), F.lit(last), F.expr("interval 1 month"))),
-            "yyyyMM",
-        ).alias("month")
+    days = F.explode(F.sequence(F.lit(first), F.lit(last), F.expr("interval 1 month")))
+    return spark.range(1).select(days.alias("day")).select(
+        F.date_format("day", "yyyyMM").alias("month")
     )

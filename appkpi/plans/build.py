@@ -13,7 +13,7 @@ from appkpi.plans.contracts import CONTRACTS
 from appkpi.quality import freshness_report, quality_report, raise_on_errors
 from appkpi.quality.expectations import EXPECTATIONS, FRESHNESS
 from appkpi.session import require_utc
-from appkpi.sources.land import land_many
+from appkpi.sources.landing import land_many
 from appkpi.sources.seeds import event_mapping
 from appkpi.sources.tables import publish_view, read_raw, read_table, write_table
 

@@ -18,7 +18,7 @@ from appkpi.functions import (
 )
 from appkpi.operators import attach_lookup, keep_latest
 from appkpi.plans.contracts import CONTRACTS, Contract
-from appkpi.sources.land import METADATA
+from appkpi.sources.landing import METADATA
 
 
 def media_type(media_source: str) -> Column:

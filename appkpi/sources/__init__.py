@@ -6,7 +6,7 @@ from appkpi.sources.flatten import (
     flatten_ios_reviews,
     flatten_metric_rows,
 )
-from appkpi.sources.land import (
+from appkpi.sources.landing import (
     Load,
     align_to_table,
     append_raw,

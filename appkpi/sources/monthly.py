@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from appkpi.operators.combine import union_branches
 from appkpi.operators.date_windows import in_date_range, months_between_dates
-from appkpi.sources.land import read_csv_report, snake_headers
+from appkpi.sources.landing import read_csv_report, snake_headers
 
 log = logging.getLogger(__name__)
 

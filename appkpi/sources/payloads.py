@@ -16,7 +16,7 @@ from appkpi.sources.flatten import (
     flatten_ios_reviews,
     flatten_metric_rows,
 )
-from appkpi.sources.land import blank_for_null
+from appkpi.sources.landing import blank_for_null
 
 
 @dataclass(frozen=True)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from appkpi.operators.date_windows import in_date_range
-from appkpi.sources.land import INGEST_DAY
+from appkpi.sources.landing import INGEST_DAY
 
 
 def publish_view(df: DataFrame, name: str) -> DataFrame:

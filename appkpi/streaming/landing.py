@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StringType, StructField, StructType
 
-from appkpi.sources.land import INGEST_DAY, Load, blank_for_null, stamp
+from appkpi.sources.landing import INGEST_DAY, Load, blank_for_null, stamp
 
 
 def checkpoint_folder(spark: SparkSession, name: str) -> str:

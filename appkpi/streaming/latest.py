@@ -4,20 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from appkpi.operators.latest import keep_latest
+from appkpi.sources.files import table_exists
 from appkpi.streaming.landing import checkpoint_folder
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    """A table folder counts once its write has been committed."""
-    marker = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
-    return marker.getFileSystem(spark._jsc.hadoopConfiguration()).exists(marker)
-
-
 def _merge_batch(
     batch: DataFrame,
     path: str,
@@ -28,9 +23,9 @@ def _merge_batch(
 ) -> None:
     spark = batch.sparkSession
     order = order_by() if order_by else None
-    if not _exists(spark, staged):
+    if not table_exists(spark, staged):
         new = keep_latest(batch, keys, order)
-        if _exists(spark, path):
+        if table_exists(spark, path):
             current = spark.read.parquet(path).select(*batch.columns)
             if partition_by:
                 # the calendar bounds this list; a literal filter prunes the other folders
