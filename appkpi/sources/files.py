@@ -11,6 +11,9 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
-def table_exists(spark: SparkSession, path: str) -> bool:
-    """Whether a table folder holds a write that was committed."""
+def write_finished(spark: SparkSession, path: str) -> bool:
+    """Whether a full write of a folder has been committed.
+
+    Dynamic partition overwrites leave no such mark; ask :func:`path_exists` there.
+    """
     return path_exists(spark, f"{path}/_SUCCESS")

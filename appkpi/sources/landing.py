@@ -14,10 +14,11 @@ from dataclasses import dataclass, field
 from datetime import UTC, date, datetime
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from appkpi.sources.files import table_exists
+from appkpi.sources.files import path_exists
 
 log = logging.getLogger(__name__)
 
@@ -209,9 +210,14 @@ def align_to_table(df: DataFrame, table_columns: Sequence[str]) -> DataFrame:
 
 def table_columns(spark: SparkSession, path: str) -> list[str] | None:
     """Columns of an existing raw table, or None if there is none yet."""
-    if not table_exists(spark, path):
+    if not path_exists(spark, path):
         return None
-    return [c for c in spark.read.parquet(path).columns if c != INGEST_DAY]
+    try:
+        return [c for c in spark.read.parquet(path).columns if c != INGEST_DAY]
+    except AnalysisException as error:
+        if error.getCondition() == "UNABLE_TO_INFER_SCHEMA":  # a folder without any file
+            return None
+        raise
 
 
 def append_raw(df: DataFrame, path: str) -> int:

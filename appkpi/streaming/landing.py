@@ -36,15 +36,10 @@ def stream_csv_to_raw(
     only. The load time is the batch's.
     """
     schema = StructType([StructField(c, StringType()) for c in columns])
-    files = spark.readStream.csv(
-        folder,
-        schema=schema,
-        header=True,
-        enforceSchema=False,
-        multiLine=True,
-        quote='"',
-        escape='"',
-        maxFilesPerTrigger=files_per_batch,
+    files = (
+        spark.readStream.schema(schema)
+        .option("maxFilesPerTrigger", files_per_batch)
+        .csv(folder, header=True, enforceSchema=False, multiLine=True, quote='"', escape='"')
     )
     stamped = stamp(blank_for_null(files), load).withColumn(
         "_ingested_at", F.current_timestamp()

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from appkpi.operators.latest import keep_latest
-from appkpi.sources.files import table_exists
+from appkpi.sources.files import path_exists, write_finished
 from appkpi.streaming.landing import checkpoint_folder
 
 
@@ -23,10 +23,10 @@ def _merge_batch(
 ) -> None:
     spark = batch.sparkSession
     order = order_by() if order_by else None
-    if not table_exists(spark, staged):
+    if not write_finished(spark, staged):
         new = keep_latest(batch, keys, order)
-        if table_exists(spark, path):
-            current = spark.read.parquet(path).select(*batch.columns)
+        if path_exists(spark, path):
+            current = spark.read.schema(batch.schema).parquet(path).select(*batch.columns)
             if partition_by:
                 # the calendar bounds this list; a literal filter prunes the other folders
                 days = [r[0] for r in batch.select(partition_by).distinct().collect()]

@@ -729,22 +729,20 @@ def flatten_ios_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    f"""SELECT o_orderstatus, count(*) AS orders, CAST(sum(price) AS BIGINT) AS price
-    FROM ({ORDERS}) WHERE day BETWEEN DATE '1997-01-01' AND DATE '1997-03-31'
-    AND o_orderpriority = '1-URGENT' GROUP BY ALL"""
+    f"""SELECT os, count(*) AS events, CAST(sum(k) AS BIGINT) AS total
+    FROM ({EVENTS}) WHERE day BETWEEN DATE '2024-01-08' AND DATE '2024-01-14'
+    AND kind = 'purchase' GROUP BY ALL"""
 )
 def mart_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders by day and priority on disk, then a quarter of one priority read back pruned."""
+    """Events by day and type on disk, then a week of one type read back pruned."""
     path = scratch(spark, "table")
-    placed = orders(spark, sf_dir).select("day", "o_orderpriority", "o_orderstatus", "price")
-    write_table(placed, path, "day", ["o_orderpriority"])
-    quarter = read_table(
-        spark, path, placed.schema, "day", date(1997, 1, 1), date(1997, 3, 31)
-    )
+    seen = events(spark, sf_dir).select("day", "kind", "os", "k")
+    write_table(seen, path, "day", ["kind"])
+    week = read_table(spark, path, seen.schema, "day", date(2024, 1, 8), date(2024, 1, 14))
     return (
-        quarter.filter(F.col("o_orderpriority") == "1-URGENT")
-        .groupBy("o_orderstatus")
-        .agg(F.count(F.lit(1)).alias("orders"), F.sum("price").alias("price"))
+        week.filter(F.col("kind") == "purchase")
+        .groupBy("os")
+        .agg(F.count(F.lit(1)).alias("events"), F.sum("k").alias("total"))
     )
 
 
@@ -878,8 +876,8 @@ FRESH_AS_OF = datetime(2024, 2, 2, tzinfo=UTC)
             WHERE event_type = 'error'
         UNION ALL SELECT 'play_raw.raw_gcs_crashes', max(l_shipdate + to_hours(
             CAST(l_quantity AS BIGINT))), 193, 217 FROM lineitem WHERE l_returnflag = 'R'
-        UNION ALL SELECT 'appstore_raw.raw_reviews', TIMESTAMP '2024-03-01', 49, 73
-            FROM conversations GROUP BY ALL)"""
+        UNION ALL SELECT 'appstore_raw.raw_reviews', max(TIMESTAMP '2024-03-01'), 49, 73
+            FROM conversations)"""
 )
 def freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = RawTables(spark, sf_dir)
