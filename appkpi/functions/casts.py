@@ -13,6 +13,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Accepted text forms.
+INTEGER_TEXT = r"^\s*[+-]?\d+\s*$"
 HEX_INTEGER = r"^\s*[+-]?0[xX][0-9a-fA-F]{1,16}\s*$"
 FLOAT_TEXT = r"^\s*[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|(?i:inf|infinity|nan))\s*$"
 DATE_TEXT = r"^\s*\d{4}-\d{1,2}-\d{1,2}\s*$"
@@ -26,14 +27,16 @@ def _col(c: Column | str) -> Column:
 def safe_int(c: Column | str) -> Column:
     """Text to bigint. Decimals, exponents and blanks are NULL; ``0x1F`` is 31.
 
-    The hexadecimal branch is only evaluated for text the plain cast refuses.
+    The pattern comes first because a failing ``try_cast`` to a number costs a caught
+    exception per row, and blank cells are common.
     """
     text = _col(c).cast("string")
     digits = F.regexp_replace(F.trim(text), r"^[+-]?0[xX]", "")
-    magnitude = F.conv(digits, 16, 10)
     sign = F.when(F.trim(text).startswith("-"), F.lit("-")).otherwise(F.lit(""))
-    as_hex = F.when(text.rlike(HEX_INTEGER), F.concat(sign, magnitude).try_cast("bigint"))
-    return F.coalesce(text.try_cast("bigint"), as_hex)
+    from_hex = F.concat(sign, F.conv(digits, 16, 10)).try_cast("bigint")
+    return F.when(text.rlike(INTEGER_TEXT), text.try_cast("bigint")).when(
+        text.rlike(HEX_INTEGER), from_hex
+    )
 
 
 def safe_float(c: Column | str) -> Column:

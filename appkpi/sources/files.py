@@ -2,7 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """A scan spread over all cores if it came out in fewer pieces than there are cores.
+
+    Report files are often a few that cannot be split, gzip above all, and parsing text is
+    the expensive part of what follows. A scan with enough splits is left as it is, so the
+    extra shuffle only ever moves small inputs.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:

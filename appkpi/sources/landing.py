@@ -18,7 +18,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from appkpi.sources.files import path_exists
+from appkpi.sources.files import path_exists, spread
 
 log = logging.getLogger(__name__)
 
@@ -132,8 +132,7 @@ def read_tsv_report(
 ) -> DataFrame:
     """Tab-separated text, plain or gzip. Tabs split, nothing quotes; short rows are padded.
 
-    A gzip file is read by one task; many small ones are packed into each task, and the
-    append below evens out what is left.
+    A gzip file is read by one task, so few files are spread over the cores afterwards.
     """
 
     def read(files: str | Sequence[str]) -> DataFrame:
@@ -149,7 +148,7 @@ def read_tsv_report(
         return snake_headers(df)
 
     df = _read_by_header(spark, paths, read) if mixed_headers else read(paths)
-    return blank_for_null(df)
+    return blank_for_null(spread(df))
 
 
 def read_json_rows(
