@@ -13,9 +13,10 @@ def attach_lookup(fact: DataFrame, lookup: DataFrame, on: str) -> DataFrame:
     """Left join of a fact with a lookup table.
 
     There is no broadcast hint on purpose: Spark knows the size of a lookup file or of a
-    literal table and broadcasts it below ``spark.sql.autoBroadcastJoinThreshold``. A
+    ``VALUES`` table and broadcasts it below ``spark.sql.autoBroadcastJoinThreshold``. A
     lookup that has outgrown the threshold takes a sort-merge join whose hot event names
-    adaptive execution splits.
+    adaptive execution splits. Rows made by ``createDataFrame`` have no known size; see
+    ``sources.seeds.literal_table``.
     """
     return fact.join(lookup, on=on, how="left")
 

@@ -15,12 +15,13 @@ def keep_latest(
     df: DataFrame,
     keys: Sequence[str],
     order_by: Sequence[Column] | None = None,
+    tie_break: Sequence[str] | None = None,
 ) -> DataFrame:
     """One row per key: the one loaded last. NULL keys form a group of their own.
 
     All rows of one load carry the same load time, so two rows of a load can share a key.
     The default order settles those ties the same way on every run: run id, then a hash
-    of the row.
+    of the ``tie_break`` columns, by default of the whole row.
 
     Spark turns ``row_number() = 1`` into a per-key limit on both sides of the shuffle, so
     a key that holds a large share of the rows sends one row per map task, not all of them.
@@ -29,7 +30,9 @@ def keep_latest(
         order_by = [F.desc(INGESTED_AT)]
         if RUN_ID in df.columns:
             order_by.append(F.desc(RUN_ID))
-        order_by.append(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]).desc())
+        hashed = df.columns if tie_break is None else tie_break
+        if hashed:
+            order_by.append(F.xxhash64(*[F.col(f"`{c}`") for c in hashed]).desc())
     window = Window.partitionBy(*keys).orderBy(*order_by)
     return (
         df.withColumn("__version", F.row_number().over(window))

@@ -83,7 +83,9 @@ def stage(raw: DataFrame, name: str) -> DataFrame:
     contract: Contract = CONTRACTS[name]
     rows = typed(raw, name)
     if contract.key:
-        rows = keep_latest(rows, contract.key)
+        # load columns are constant within a load, so they cannot break a tie
+        own = [f[0] for f in contract.fields if f[0] not in contract.key]
+        rows = keep_latest(rows, contract.key, tie_break=own)
     extras = EXTRAS.get(name)
     return rows.withColumns({c: f() for c, f in extras.items()}) if extras else rows
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 
 MAPPING_SCHEMA = "event_name string, category string"
@@ -19,8 +21,24 @@ EVENT_CATEGORIES = (
 
 
 def event_mapping(spark: SparkSession) -> DataFrame:
-    """The built-in lookup as a literal table."""
-    return spark.createDataFrame(list(EVENT_CATEGORIES), MAPPING_SCHEMA)
+    """The built-in lookup as a literal table.
+
+    ``VALUES`` and not ``createDataFrame``: a local relation has a known size, so the join
+    is planned as a broadcast, while rows from Python count as unboundedly large.
+    """
+    return literal_table(spark, EVENT_CATEGORIES, ("event_name", "category"))
+
+
+def literal_table(
+    spark: SparkSession, rows: Sequence[tuple[str, ...]], columns: Sequence[str]
+) -> DataFrame:
+    """A small all-text table that Spark knows the size of."""
+    width = len(columns)
+    marks = ", ".join("(" + ", ".join(["?"] * width) + ")" for _ in rows)
+    names = ", ".join(f"`{c}`" for c in columns)
+    return spark.sql(
+        f"SELECT * FROM VALUES {marks} AS t({names})", args=[v for row in rows for v in row]
+    )
 
 
 def read_event_mapping(spark: SparkSession, path: str) -> DataFrame:

@@ -49,6 +49,7 @@ from appkpi.quality import (
 )
 from appkpi.quality.expectations import EXPECTATIONS, FRESHNESS
 from appkpi.sources import flatten, landing, payloads
+from appkpi.sources.seeds import literal_table
 from appkpi.sources.tables import publish_view, read_raw, read_table, write_table
 from appkpi.streaming import stream_csv_to_raw, stream_latest
 from workloads.oracle_tables import (
@@ -206,9 +207,10 @@ def media_type_of_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM events"""
 )
 def event_category(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lookup = spark.createDataFrame(
+    lookup = literal_table(
+        spark,
         [("view", "open_app"), ("signup", "registrations"), ("purchase", "purchase")],
-        "event_type string, category string",
+        ("event_type", "category"),
     )
     rows = read(spark, sf_dir, "events").select("event_id", "event_type")
     return attach_lookup(rows, lookup, "event_type")
