@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+import re
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,7 +31,7 @@ def expected_months(
 ) -> DataFrame:
     """Every month of the range with its file, encoding and header; NULL path if missing."""
     report = folder.rstrip("/").split("/")[-1]
-    name = f"{report}_{package}_(\\d{{6}})_{suffix}\\.csv$"
+    name = rf"{report}_{re.escape(package)}_(\d{{6}})_{suffix}\.csv$"
     files = (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", f"{report}_{package}_*_{suffix}.csv")
@@ -42,8 +43,8 @@ def expected_months(
             "content",
         )
     )
-    text = F.when(F.col("utf16"), F.decode("content", F.lit("UTF-16"))).otherwise(
-        F.decode("content", F.lit("UTF-8"))
+    text = F.when(F.col("utf16"), F.decode("content", "UTF-16")).otherwise(
+        F.decode("content", "UTF-8")
     )
     described = files.select(
         "path", "month", "utf16", F.split_part(text, F.lit("\n"), F.lit(1)).alias("header")

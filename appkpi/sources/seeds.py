@@ -32,13 +32,16 @@ def event_mapping(spark: SparkSession) -> DataFrame:
 def literal_table(
     spark: SparkSession, rows: Sequence[tuple[str, ...]], columns: Sequence[str]
 ) -> DataFrame:
-    """A small all-text table that Spark knows the size of."""
-    width = len(columns)
-    marks = ", ".join("(" + ", ".join(["?"] * width) + ")" for _ in rows)
-    names = ", ".join(f"`{c}`" for c in columns)
-    return spark.sql(
-        f"SELECT * FROM VALUES {marks} AS t({names})", args=[v for row in rows for v in row]
+    """A small all-text table that Spark knows the size of.
+
+    The cells are named parameters: unnamed ones in ``VALUES`` are not bound in text order.
+    """
+    cells = {f"c{r}_{i}": v for r, row in enumerate(rows) for i, v in enumerate(row)}
+    values = ", ".join(
+        "(" + ", ".join(f":c{r}_{i}" for i in range(len(columns))) + ")" for r in range(len(rows))
     )
+    names = ", ".join(f"`{c}`" for c in columns)
+    return spark.sql(f"SELECT * FROM VALUES {values} AS t({names})", args=cells)
 
 
 def read_event_mapping(spark: SparkSession, path: str) -> DataFrame:

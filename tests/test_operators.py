@@ -17,7 +17,7 @@ from appkpi.operators import (
     months_between_dates,
     with_partition_total,
 )
-from appkpi.sources.seeds import event_mapping, read_event_mapping
+from appkpi.sources.seeds import EVENT_CATEGORIES, event_mapping, read_event_mapping
 
 # ---- latest version ----
 
@@ -129,6 +129,11 @@ def test_lookup_keeps_unmapped_rows_and_broadcasts_by_size(spark, tmp_path):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
 
 
+def test_built_in_mapping(spark):
+    assert {tuple(r) for r in event_mapping(spark).collect()} == set(EVENT_CATEGORIES)
+    assert len(EVENT_CATEGORIES) == 7
+
+
 # ---- retention ----
 
 
