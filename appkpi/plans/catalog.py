@@ -38,33 +38,34 @@ class Table:
     cluster_by: tuple[str, ...] = ()
 
 
+# Cluster columns of the staging tables that have them.
+STAGING_CLUSTERS: dict[str, tuple[str, ...]] = {
+    "stg_appsflyer_installs": ("media_source", "campaign"),
+    "stg_appstore_app_downloads": ("download_type", "territory"),
+    "stg_appstore_app_installs_deletions": ("event", "territory"),
+    "stg_appstore_app_sessions": ("device", "territory"),
+    "stg_appstore_app_discovery_engagement": ("event", "territory"),
+    "stg_appstore_app_install_performance": ("install_status", "territory"),
+}
+
+
 def _staging() -> dict[str, Table]:
-    tables = {
-        name: Table(partial(stage, name=name), (raw_name(name),), stored=False)
-        for name in CONTRACTS
-    }
-    tables["stg_appsflyer_in_app_events"] = Table(
-        stage_in_app_events, (raw_name("stg_appsflyer_in_app_events"), SEED), stored=False
-    )
-    # Staging tables that are stored, with their cluster columns.
-    stored: dict[str, tuple[str, ...]] = {
-        "stg_play_console_gcs_installs": (),
-        "stg_play_console_gcs_crashes": (),
-        "stg_play_console_gcs_store_performance": (),
-        "stg_appstore_app_downloads": ("download_type", "territory"),
-        "stg_appstore_app_installs_deletions": ("event", "territory"),
-        "stg_appstore_app_sessions": ("device", "territory"),
-        "stg_appstore_app_discovery_engagement": ("event", "territory"),
-        "stg_appstore_app_install_performance": ("install_status", "territory"),
-    }
-    for name, cluster in stored.items():
-        t = tables[name]
-        tables[name] = Table(t.build, t.inputs, True, "date", cluster)
-    # Read by four KPI tables: stored so that the raw scan and its shuffle run once.
-    installs = tables["stg_appsflyer_installs"]
-    tables["stg_appsflyer_installs"] = Table(
-        installs.build, installs.inputs, True, "install_date", ("media_source", "campaign")
-    )
+    """Staging tables with a key are stored, because the KPI tables and the data tests all
+    read them and each read would repeat the shuffle of the whole raw history. In-app events
+    have no key and need no shuffle: they stay a view over the raw table.
+    """
+    tables = {}
+    for name, contract in CONTRACTS.items():
+        days = [k for k in contract.key if k in ("date", "install_date", "_extract_from")]
+        tables[name] = Table(
+            partial(stage, name=name),
+            (raw_name(name),),
+            stored=bool(contract.key),
+            partition_by=days[0] if days else None,
+            cluster_by=STAGING_CLUSTERS.get(name, ()),
+        )
+    events = "stg_appsflyer_in_app_events"
+    tables[events] = Table(stage_in_app_events, (raw_name(events), SEED), stored=False)
     return tables
 
 

@@ -18,7 +18,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from appkpi.sources.files import path_exists, spread
+from appkpi.sources.files import path_exists
 
 log = logging.getLogger(__name__)
 
@@ -132,7 +132,8 @@ def read_tsv_report(
 ) -> DataFrame:
     """Tab-separated text, plain or gzip. Tabs split, nothing quotes; short rows are padded.
 
-    A gzip file is read by one task, so few files are spread over the cores afterwards.
+    A gzip file is read by one task whatever its size; the rebalancing write of
+    :func:`append_raw` evens the pieces out.
     """
 
     def read(files: str | Sequence[str]) -> DataFrame:
@@ -148,7 +149,7 @@ def read_tsv_report(
         return snake_headers(df)
 
     df = _read_by_header(spark, paths, read) if mixed_headers else read(paths)
-    return blank_for_null(spread(df))
+    return blank_for_null(df)
 
 
 def read_json_rows(
@@ -222,11 +223,14 @@ def table_columns(spark: SparkSession, path: str) -> list[str] | None:
 def append_raw(df: DataFrame, path: str) -> int:
     """Appends stamped rows to a raw table, one folder per load day; returns the row count.
 
-    The count is observed during the write, so the input is read once.
+    The count is observed during the write, so the input is read once. Rows are rebalanced
+    before it: thousands of small report files and single unsplittable ones both end up as
+    files of the advisory size.
     """
     counted = Observation()
     (
         df.withColumn(INGEST_DAY, F.to_date("_ingested_at"))
+        .hint("rebalance")
         .observe(counted, F.count(F.lit(1)).alias("rows"))
         .write.mode("append")
         .partitionBy(INGEST_DAY)
