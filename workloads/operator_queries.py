@@ -161,7 +161,7 @@ def keep_latest_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     """SELECT o_orderkey, CAST(left(o_orderpriority, 1) AS BIGINT) AS priority,
     CAST(NULL AS BIGINT) AS priority_text, CAST(NULL AS BIGINT) AS half,
-    CAST(floor(o_totalprice) AS BIGINT) AS padded, CAST(o_orderkey % 1000 AS BIGINT) AS from_hex,
+    CAST(floor(o_totalprice) AS BIGINT) AS padded, o_orderkey AS from_hex,
     CAST(floor(o_totalprice) AS BIGINT) + 0.5 AS price, CAST(NULL AS DOUBLE) AS java_double,
     CAST(o_orderdate AS DATE) AS day, CAST(NULL AS DATE) AS year_only,
     CAST(NULL AS DATE) AS day_with_time, o_orderdate - INTERVAL 7 HOUR AS moment,
@@ -176,7 +176,7 @@ def safe_casts(spark: SparkSession, sf_dir: str) -> DataFrame:
         safe_int("o_orderpriority").alias("priority_text"),
         safe_int(F.concat(price, F.lit(".5"))).alias("half"),
         safe_int(F.concat(F.lit(" "), price, F.lit(" "))).alias("padded"),
-        safe_int(F.concat(F.lit("0x"), F.hex(F.col("o_orderkey") % 1000))).alias("from_hex"),
+        safe_int(F.concat(F.lit("0x"), F.hex("o_orderkey"))).alias("from_hex"),
         safe_float(F.concat(price, F.lit(".5"))).alias("price"),
         safe_float(F.concat(price, F.lit("d"))).alias("java_double"),
         safe_date(day).alias("day"),

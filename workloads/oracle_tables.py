@@ -241,8 +241,8 @@ STAGING: dict[str, str] = {
         lpad(CAST(conv_id AS VARCHAR), 15, '0') || '-' || lpad(CAST(turn AS VARCHAR), 6, '0')
             AS _run_id,
         DATE '2024-03-01' AS _extract_from, DATE '2024-03-01' AS _extract_to
-        FROM (SELECT *, TIMESTAMP '2024-01-01 00:30:00' + to_days(CAST(conv_id % 365 AS INT))
-            + to_hours(turn % 24 - 7) AS created FROM conversations)""",
+        FROM (SELECT *, TIMESTAMP '2024-01-01 00:30:00' + to_days(CAST(length(text) AS INT))
+            + to_hours(least(turn, 23) - 7) AS created FROM conversations)""",
     "stg_appstore_app_downloads": _latest(
         f"""SELECT {IOS_HEAD}, {DOWNLOAD_TYPE}, concat('v', line) AS app_version, device,
         l_linestatus AS source_type, page AS page_type,

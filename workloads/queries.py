@@ -11,6 +11,7 @@ from pyspark.sql.types import TimestampType
 
 from appkpi.plans.build import table
 from appkpi.plans.catalog import TABLES
+from appkpi.session import SESSION_ZONE
 from workloads import operator_queries
 from workloads.oracle_tables import table_sql
 from workloads.raw_shapes import RawTables
@@ -28,9 +29,22 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return zone_free(table(name, RawTables(spark, sf_dir), spark))
 
 
+def _in_utc(query: Query) -> Query:
+    """The query in a session that cuts days in UTC, whatever zone the cluster starts with."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        spark.conf.set("spark.sql.session.timeZone", SESSION_ZONE)
+        return query(spark, sf_dir)
+
+    return run
+
+
 QUERIES: dict[str, Query] = {
-    **operator_queries.QUERIES,
-    **{name: partial(_table, name=name) for name in TABLES},
+    name: _in_utc(query)
+    for name, query in {
+        **operator_queries.QUERIES,
+        **{name: partial(_table, name=name) for name in TABLES},
+    }.items()
 }
 ORACLE: dict[str, str] = {
     **operator_queries.ORACLE,

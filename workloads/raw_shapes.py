@@ -440,8 +440,8 @@ def raw_ios_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
             body="text",
             reviewer_nickname="concat('c', conv_id)",
             territory="'IDN'",
-            created_date="concat(date_add(DATE '2024-01-01', CAST(conv_id % 365 AS INT)), 'T', "
-            "lpad(CAST(turn % 24 AS STRING), 2, '0'), ':30:00+07:00')",
+            created_date="concat(date_add(DATE '2024-01-01', CAST(length(text) AS INT)), 'T', "
+            "lpad(CAST(least(turn, 23) AS STRING), 2, '0'), ':30:00+07:00')",
         ),
         *_load(
             "'2024-03-01'",
