@@ -2,9 +2,11 @@
 
 from appkpi.functions.casts import (
     epoch_to_timestamp,
+    int_sql,
     json_fragment,
     json_scalar,
-    parse_as,
+    json_scalar_sql,
+    parse_sql,
     safe_date,
     safe_float,
     safe_int,
@@ -16,9 +18,11 @@ from appkpi.functions.measures import count_where, ratio, sum_where, zero_if_mis
 __all__ = [
     "count_where",
     "epoch_to_timestamp",
+    "int_sql",
     "json_fragment",
     "json_scalar",
-    "parse_as",
+    "json_scalar_sql",
+    "parse_sql",
     "ratio",
     "safe_date",
     "safe_float",

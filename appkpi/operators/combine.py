@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -48,8 +48,7 @@ def merge_on_keys(
     as the right side of a left join.
     """
     keys = list(keys)
-    has_null_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-    names = list(inputs)
+    has_null_key = " OR ".join(f"`{k}` IS NULL" for k in keys)
     values: dict[str, str] = {}
     for df in inputs.values():
         for field in df.schema.fields:
@@ -59,22 +58,18 @@ def merge_on_keys(
                 values[field.name] = field.dataType.simpleString()
 
     def as_branch(position: int, name: str) -> DataFrame:
-        df = inputs[name]
-        own = set(df.columns)
-        return df.select(
-            *keys,
-            F.when(has_null_key, F.lit(position)).alias("__null_key_input"),
-            F.lit(required is None or name in required).alias("__wanted"),
-            *[
-                F.col(v) if v in own else F.lit(None).cast(t).alias(v)
-                for v, t in values.items()
-            ],
+        own = set(inputs[name].columns)
+        wanted = required is None or name in required
+        return inputs[name].selectExpr(
+            *[f"`{k}`" for k in keys],
+            f"CASE WHEN {has_null_key} THEN {position} END AS __null_key_input",
+            f"{str(wanted).upper()} AS __wanted",
+            *[f"`{v}`" if v in own else f"CAST(NULL AS {t}) AS `{v}`" for v, t in values.items()],
         )
 
-    stacked = union_branches(*[as_branch(i, n) for i, n in enumerate(names)])
+    stacked = union_branches(*[as_branch(i, n) for i, n in enumerate(inputs)])
     merged = stacked.groupBy(*keys, "__null_key_input").agg(
-        F.bool_or("__wanted").alias("__wanted"),
-        *[F.max(v).alias(v) for v in values],
+        F.expr("bool_or(__wanted) AS __wanted"), *[F.expr(f"max(`{v}`) AS `{v}`") for v in values]
     )
     if required is not None:
         merged = merged.filter("__wanted")
@@ -84,9 +79,3 @@ def merge_on_keys(
 def union_branches(*branches: DataFrame) -> DataFrame:
     """UNION ALL by column name."""
     return reduce(lambda a, b: a.unionByName(b), branches)
-
-
-def constant(value: object, name: str, type_name: str | None = None) -> Column:
-    """A constant or typed NULL column."""
-    c = F.lit(value)
-    return (c.cast(type_name) if type_name else c).alias(name)

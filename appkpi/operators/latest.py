@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 INGESTED_AT = "_ingested_at"
 RUN_ID = "_run_id"
@@ -14,28 +13,31 @@ RUN_ID = "_run_id"
 def keep_latest(
     df: DataFrame,
     keys: Sequence[str],
-    order_by: Sequence[Column] | None = None,
+    order_by: Sequence[str] | None = None,
     tie_break: Sequence[str] | None = None,
 ) -> DataFrame:
     """One row per key: the one loaded last. NULL keys form a group of their own.
 
     All rows of one load carry the same load time, so two rows of a load can share a key.
     The default order settles those ties the same way on every run: run id, then a hash
-    of the ``tie_break`` columns, by default of the whole row.
+    of the ``tie_break`` columns, by default of the whole row. ``order_by`` replaces it
+    with SQL sort expressions such as ``"ts DESC"``.
 
     Spark turns ``row_number() = 1`` into a per-key limit on both sides of the shuffle, so
     a key that holds a large share of the rows sends one row per map task, not all of them.
     """
     if order_by is None:
-        order_by = [F.desc(INGESTED_AT)]
+        order_by = [f"{INGESTED_AT} DESC"]
         if RUN_ID in df.columns:
-            order_by.append(F.desc(RUN_ID))
+            order_by.append(f"{RUN_ID} DESC")
         hashed = df.columns if tie_break is None else tie_break
         if hashed:
-            order_by.append(F.xxhash64(*[F.col(f"`{c}`") for c in hashed]).desc())
-    window = Window.partitionBy(*keys).orderBy(*order_by)
+            order_by.append(f"xxhash64({_names(hashed)}) DESC")
+    version = f"row_number() OVER (PARTITION BY {_names(keys)} ORDER BY {', '.join(order_by)})"
     return (
-        df.withColumn("__version", F.row_number().over(window))
-        .filter(F.col("__version") == 1)
-        .drop("__version")
+        df.selectExpr("*", f"{version} AS __version").filter("__version = 1").drop("__version")
     )
+
+
+def _names(columns: Sequence[str]) -> str:
+    return ", ".join(f"`{c}`" for c in columns)

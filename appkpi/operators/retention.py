@@ -30,41 +30,30 @@ def cohort_retention(
     """
     group = [cohort_date, *by]
     active = (
-        activity.select(
-            F.col(user).alias("__user"), F.col(activity_date).alias("__day")
-        )
-        .filter(F.col("__user").isNotNull() & F.col("__day").isNotNull())
+        activity.selectExpr(f"`{user}` AS __user", f"`{activity_date}` AS __day")
+        .filter("__user IS NOT NULL AND __day IS NOT NULL")
         .distinct()
-        .withColumn("__seen", F.lit(1))
+        .selectExpr("*", "TRUE AS __seen")
     )
-    probes = cohort.select(
-        F.col(user).alias("__user"),
-        *group,
-        F.explode(F.array(*[F.lit(n) for n in offsets])).alias("__offset"),
-    ).withColumn("__day", F.date_add(cohort_date, F.col("__offset")))
+    days = ", ".join(str(n) for n in offsets)
+    probes = cohort.selectExpr(
+        f"`{user}` AS __user", *[f"`{g}`" for g in group], f"explode(array({days})) AS __offset"
+    ).selectExpr("*", f"date_add(`{cohort_date}`, __offset) AS __day")
+
+    def retained(n: int) -> str:
+        return f"count_if(__offset = {n} AND __seen) AS retained_d{n}"
 
-    first = offsets[0]
     counted = (
         probes.join(active, on=["__user", "__day"], how="left")
         .groupBy(*group)
         .agg(
-            F.count_if(F.col("__offset") == first).alias("cohort_size"),
-            *[
-                F.count_if((F.col("__offset") == n) & F.col("__seen").isNotNull()).alias(
-                    f"retained_d{n}"
-                )
-                for n in offsets
-            ],
+            F.expr(f"count_if(__offset = {offsets[0]}) AS cohort_size"),
+            *[F.expr(retained(n)) for n in offsets],
         )
     )
-    return counted.select(
-        *group,
+    return counted.selectExpr(
+        *[f"`{g}`" for g in group],
         "cohort_size",
         *[f"retained_d{n}" for n in offsets],
-        *[
-            F.try_divide(F.col(f"retained_d{n}"), F.nullif("cohort_size", F.lit(0))).alias(
-                f"d{n}_retention"
-            )
-            for n in offsets
-        ],
+        *[f"try_divide(retained_d{n}, nullif(cohort_size, 0)) AS d{n}_retention" for n in offsets],
     )

@@ -11,10 +11,9 @@ from appkpi.functions import (
     epoch_to_timestamp,
     json_fragment,
     json_scalar,
-    parse_as,
+    json_scalar_sql,
+    parse_sql,
     safe_int,
-    safe_timestamp,
-    timestamp_day,
 )
 from appkpi.operators import attach_lookup, keep_latest
 from appkpi.plans.contracts import CONTRACTS, Contract
@@ -36,7 +35,7 @@ EXTRAS: dict[str, dict[str, Callable[[], Column]]] = {
     },
     "stg_moengage_campaign_stats": {
         "reachable_users_in_segment": lambda: safe_int(
-            json_scalar("delivery_funnel", "$.reachable_users_in_segment")
+            json_scalar_sql("delivery_funnel", "$.reachable_users_in_segment")
         ),
     },
     "stg_play_console_reviews": {
@@ -55,25 +54,23 @@ def typed(raw: DataFrame, name: str) -> DataFrame:
     contract = CONTRACTS[name]
     types = {f.name.lower(): f.dataType.simpleString() for f in raw.schema.fields}
 
-    def raw_column(column: str) -> Column:
-        return F.col(f"`{column}`") if column.lower() in types else F.lit(None).cast("string")
+    def raw_column(column: str) -> str:
+        return f"`{column}`" if column.lower() in types else "CAST(NULL AS STRING)"
 
-    def read(field: tuple[str, ...]) -> Column:
+    def read(field: tuple[str, ...]) -> str:
         alias, type_name, *source = field
-        column = source[0] if source else alias
-        spellings = RENAMED.get((name, alias), (column,))
-        text = F.coalesce(*[raw_column(s) for s in spellings])
-        if type_name == "day":
-            return timestamp_day(safe_timestamp(text)).alias(alias)
-        return parse_as(text, type_name).alias(alias)
-
-    def load_column(column: str) -> Column:
+        spellings = RENAMED.get((name, alias), (source[0] if source else alias,))
+        text = ", ".join(raw_column(s) for s in spellings)
+        text = f"coalesce({text})" if len(spellings) > 1 else text
+        return f"{parse_sql(text, type_name)} AS `{alias}`"
+
+    def load_column(column: str) -> str:
         wanted = METADATA[column]
         if types.get(column.lower()) == wanted:
-            return F.col(column)
-        return parse_as(raw_column(column), wanted).alias(column)
+            return column
+        return f"{parse_sql(raw_column(column), wanted)} AS {column}"
 
-    return raw.select(
+    return raw.selectExpr(
         *[read(f) for f in contract.fields], *[load_column(c) for c in contract.load_columns]
     )
 

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -18,13 +18,12 @@ def _merge_batch(
     path: str,
     staged: str,
     keys: Sequence[str],
-    order_by: Callable[[], Sequence[Column]] | None,
+    order_by: Sequence[str] | None,
     partition_by: str | None,
 ) -> None:
     spark = batch.sparkSession
-    order = order_by() if order_by else None
     if not write_finished(spark, staged):
-        new = keep_latest(batch, keys, order)
+        new = keep_latest(batch, keys, order_by)
         if path_exists(spark, path):
             current = spark.read.schema(batch.schema).parquet(path).select(*batch.columns)
             if partition_by:
@@ -34,7 +33,7 @@ def _merge_batch(
                 if None in days:
                     touched = touched | F.col(partition_by).isNull()
                 current = current.filter(touched)
-            new = keep_latest(current.unionByName(new), keys, order)
+            new = keep_latest(current.unionByName(new), keys, order_by)
         new.write.mode("overwrite").parquet(staged)
     writer = spark.read.parquet(staged).write.mode("overwrite")
     if partition_by:
@@ -47,7 +46,7 @@ def stream_latest(
     path: str,
     work: str,
     keys: Sequence[str],
-    order_by: Callable[[], Sequence[Column]] | None = None,
+    order_by: Sequence[str] | None = None,
     partition_by: str | None = None,
     checkpoint: str | None = None,
 ) -> StreamingQuery:

@@ -148,14 +148,13 @@ LATEST_EVENTS = """SELECT event_id, ts, user_id, event_type, value, props,
 EVENT_KEY = ["user_id", "event_type", "day"]
 
 
-def newest_event() -> list:
-    return [F.desc("ts"), F.desc("event_id")]
+NEWEST_EVENT = ["ts DESC", "event_id DESC"]
 
 
 @query(LATEST_EVENTS)
 def keep_latest_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = read(spark, sf_dir, "events").withColumn("day", F.to_date("ts"))
-    return keep_latest(rows, EVENT_KEY, newest_event())
+    return keep_latest(rows, EVENT_KEY, NEWEST_EVENT)
 
 
 @query(
@@ -168,24 +167,26 @@ def keep_latest_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     CAST(NULL AS TIMESTAMP) AS time_only, CAST(o_orderkey AS VARCHAR) AS as_text FROM orders"""
 )
 def safe_casts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    price = F.floor("o_totalprice").cast("string")
-    day = F.date_format("o_orderdate", "yyyy-MM-dd")
-    return read(spark, sf_dir, "orders").select(
+    text = read(spark, sf_dir, "orders").selectExpr(
         "o_orderkey",
-        safe_int(F.substring("o_orderpriority", 1, 1)).alias("priority"),
+        "o_orderpriority",
+        "CAST(floor(o_totalprice) AS STRING) AS price",
+        "date_format(o_orderdate, 'yyyy-MM-dd') AS day",
+    )
+    return text.select(
+        "o_orderkey",
+        safe_int("substr(o_orderpriority, 1, 1)").alias("priority"),
         safe_int("o_orderpriority").alias("priority_text"),
-        safe_int(F.concat(price, F.lit(".5"))).alias("half"),
-        safe_int(F.concat(F.lit(" "), price, F.lit(" "))).alias("padded"),
-        safe_int(F.concat(F.lit("0x"), F.hex("o_orderkey"))).alias("from_hex"),
-        safe_float(F.concat(price, F.lit(".5"))).alias("price"),
-        safe_float(F.concat(price, F.lit("d"))).alias("java_double"),
-        safe_date(day).alias("day"),
-        safe_date(F.substring(day, 1, 4)).alias("year_only"),
-        safe_date(F.concat(day, F.lit(" 00:00:00"))).alias("day_with_time"),
-        safe_timestamp(F.concat(day, F.lit("T00:00:00+07:00")))
-        .cast("timestamp_ntz")
-        .alias("moment"),
-        safe_timestamp(F.lit("10:00:00")).cast("timestamp_ntz").alias("time_only"),
+        safe_int("concat(price, '.5')").alias("half"),
+        safe_int("concat(' ', price, ' ')").alias("padded"),
+        safe_int("concat('0x', hex(o_orderkey))").alias("from_hex"),
+        safe_float("concat(price, '.5')").alias("price"),
+        safe_float("concat(price, 'd')").alias("java_double"),
+        safe_date("day").alias("day"),
+        safe_date("substr(day, 1, 4)").alias("year_only"),
+        safe_date("concat(day, ' 00:00:00')").alias("day_with_time"),
+        safe_timestamp("concat(day, 'T00:00:00+07:00')").cast("timestamp_ntz").alias("moment"),
+        safe_timestamp("'10:00:00'").cast("timestamp_ntz").alias("time_only"),
         F.col("o_orderkey").cast("string").alias("as_text"),
     )
 
@@ -267,7 +268,7 @@ def json_array_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
     CASE WHEN event_type <> 'error' THEN event_type END AS kind FROM events"""
 )
 def epoch_seconds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    seconds = safe_int(F.unix_seconds(F.col("ts").cast("timestamp")).cast("string"))
+    seconds = safe_int("CAST(unix_seconds(CAST(ts AS TIMESTAMP)) AS STRING)")
     blank_errors = F.when(F.col("event_type") == "error", F.lit("")).otherwise(F.col("event_type"))
     timed = read(spark, sf_dir, "events").select(
         "event_id", seconds.alias("seconds"), F.nullif(blank_errors, F.lit("")).alias("kind")
@@ -346,7 +347,7 @@ def order_retention(spark: SparkSession, sf_dir: str) -> DataFrame:
 def partition_share(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = (
         read(spark, sf_dir, "orders")
-        .withColumn("stars", safe_int(F.substring("o_orderpriority", 1, 1)))
+        .withColumn("stars", safe_int("substr(o_orderpriority, 1, 1)"))
         .groupBy("o_orderstatus", "stars")
         .agg(F.count(F.lit(1)).alias("n"))
     )
@@ -906,6 +907,6 @@ def incremental_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
         spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(incoming)
     )
     stream_latest(
-        stream, path, f"{path}-work", EVENT_KEY, newest_event, "day", f"{path}-checkpoint"
+        stream, path, f"{path}-work", EVENT_KEY, NEWEST_EVENT, "day", f"{path}-checkpoint"
     ).awaitTermination()
     return read_table(spark, path, rows.schema)
