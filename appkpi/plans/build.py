@@ -13,6 +13,7 @@ from appkpi.plans.contracts import CONTRACTS
 from appkpi.quality import freshness_report, quality_report, raise_on_errors
 from appkpi.quality.expectations import EXPECTATIONS, FRESHNESS
 from appkpi.session import require_utc
+from appkpi.sources.files import path_exists
 from appkpi.sources.landing import land_many
 from appkpi.sources.seeds import event_mapping
 from appkpi.sources.tables import publish_view, read_raw, read_table, write_table
@@ -77,13 +78,17 @@ def refresh(
     """
     require_utc(spark)
     land_many(landing)
-    raw = {
-        raw_name(name): read_raw(spark, f"{raw_root}/{raw_name(name).replace('.', '/')}")
-        for name in CONTRACTS
-    }
+
+    def path(name: str) -> str:
+        return f"{raw_root}/{name.replace('.', '/')}"
+
+    raw = {name: read_raw(spark, path(name)) for name in map(raw_name, CONTRACTS)}
     tables = build_all(spark, raw, table_root)
     write_table(run_data_tests(tables), f"{table_root}/data_tests")
     tests = read_table(spark, f"{table_root}/data_tests")
     raise_on_errors(tests)
-    ages = freshness_report(raw, {n: FRESHNESS[n] for n in raw}, as_of)
+    # landed tables that no table reads have an age as well
+    unread = [n for n in FRESHNESS if n not in raw and path_exists(spark, path(n))]
+    landed = {**raw, **{n: read_raw(spark, path(n)) for n in unread}}
+    ages = freshness_report(landed, FRESHNESS, as_of)
     return {**tables, "data_tests": tests, "freshness": ages}

@@ -174,6 +174,8 @@ def test_refresh_builds_tests_and_publishes_every_table(spark, tmp_path):
         path = f"{tmp_path}/raw/{raw_name(name).replace('.', '/')}"
         return name, lambda: append_raw(generated_raw(spark, name), path)
 
+    traffic = "play_raw/raw_gcs_store_performance_traffic"  # landed, but read by no table
+    append_raw(generated_raw(spark, "stg_play_console_gcs_crashes"), f"{tmp_path}/raw/{traffic}")
     tables = refresh(
         spark, f"{tmp_path}/raw", f"{tmp_path}/tables", at(11), [landing(n) for n in CONTRACTS]
     )
@@ -185,7 +187,8 @@ def test_refresh_builds_tests_and_publishes_every_table(spark, tmp_path):
     assert spark.table("dash_overview_ios").filter(F.col("date") == F.lit(day(1))).count() == 1
     assert tables["data_tests"].count() == 162
     assert tables["data_tests"].filter("status = 'fail'").count() == 0
-    assert {r["status"] for r in tables["freshness"].collect()} == {"pass"}
+    ages = tables["freshness"].collect()
+    assert len(ages) == 23 and {r["status"] for r in ages} == {"pass"}
 
 
 def test_failed_error_test_stops_the_run(spark, tmp_path):
