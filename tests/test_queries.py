@@ -6,9 +6,9 @@ import pytest
 
 import __spark_entry__ as entry_points
 from workloads.check import compare
+from workloads.queries import ORACLE, QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES, SQL = entry_points.queries(), entry_points.oracle_sql()
 
 pytestmark = pytest.mark.skipif(not Path(SF_DIR).exists(), reason="no generated tables")
 
@@ -18,9 +18,9 @@ def test_flagship(spark):
 
 
 def test_every_query_has_sql():
-    assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) == set(ORACLE)
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, name):
-    assert compare(spark, SF_DIR, QUERIES[name], SQL[name]) is None
+    assert compare(spark, SF_DIR, QUERIES[name], ORACLE[name]) is None
