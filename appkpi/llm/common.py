@@ -114,8 +114,9 @@ def numbered(df: DataFrame, order: list[Column], size: Column) -> DataFrame:
         .repartitionByRange(tasks, *order)
         .sortWithinPartitions(*order)
     )
-    schema = ranged.schema.add("part", "long").add("place", "long").add("inside", "long")
-    target = _arrow_schema(spark, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema))
+    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in ranged.schema]
+    schema = ", ".join([*fields, "part long", "place long", "inside long"])
+    target = _arrow_schema(spark, schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np

@@ -176,35 +176,32 @@ def keep_first(docs: DataFrame, bits: int = BITS, words: int = SHINGLE_WORDS) ->
     Null ids count as larger than any; a component of null ids alone keeps one row as well.
     """
     rows = docs.select(
-        F.monotonically_increasing_id().alias("at"),
-        "doc_id",
+        F.col("doc_id").alias("id"),
+        F.xxhash64("text").alias("h"),
         "text",
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
     )
     prints = settle(
         map_rows(
             rows,
-            ["at", "doc_id", "text"],
-            "at long, doc_id long, fp long, h long",
-            lambda found: _with_print(found, words),
+            ["id", "h", "text"],
+            "id long, h long, fp long",
+            lambda found: ((i, h, fingerprint(text, words)) for i, h, text in found),
         ),
         "fingerprints",
     )
-    rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h", "at")
+    rank = F.struct(F.col("id").isNull().alias("none"), "id", "h")
     distinct = settle(prints.groupBy("fp").agg(F.min(rank).alias("best")), "distinct-fp")
     joined = components(links(distinct.select("fp"), bits))
     best = settle(
         distinct.join(joined, distinct.fp == joined.node, "left")
         .groupBy(F.coalesce("root", "fp").alias("root"))
         .agg(F.min("best").alias("best"))
-        .select(F.col("best.at").alias("chosen")),
+        .select(F.col("best.id").alias("best_id"), F.col("best.h").alias("best_h")),
         "kept-rows",
     )
-    return rows.join(best, F.col("at") == F.col("chosen"), "left_semi").select("row.*")
-
-
-def _with_print(found: Iterator[tuple], words: int) -> Iterator[tuple]:
-    import zlib
-
-    for at, doc_id, text in found:
-        yield at, doc_id, fingerprint(text, words), zlib.crc32((text or "").encode())
+    chosen = rows.join(
+        best, rows.id.eqNullSafe(best.best_id) & (rows.h == best.best_h), "left_semi"
+    )
+    # Rows equal in id and text are one document.
+    return chosen.dropDuplicates(["id", "h"]).select("row.*")
