@@ -23,9 +23,13 @@ def shared_folder(spark: SparkSession) -> str:
     return (root or spark.conf.get("spark.sql.warehouse.dir") + "/_steps").rstrip("/")
 
 
+def new_folder(spark: SparkSession, name: str) -> str:
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 def settle(df: DataFrame, name: str) -> DataFrame:
     """The rows as a written table: a step that is not computed again, whoever is lost."""
-    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    path = new_folder(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -12,8 +12,8 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from appkpi.llm import bpe, lines, packing, quality, simhash, toxicity
-from appkpi.llm.common import read_table
+from appkpi.llm import bpe, embeddings, lines, packing, quality, simhash, token_files, toxicity, warc
+from appkpi.llm.common import new_folder, read_table
 from appkpi.llm.tokens import vocabulary_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -66,6 +66,11 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+@query()
+def op2_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(read_table(spark, sf_dir, "embeddings"))
+
+
 @query()
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
@@ -77,6 +82,26 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(read_table(spark, sf_dir, "documents"), vocabulary_path(BYTE_VOCABULARY))
 
 
+WARC_SQL = """
+WITH page AS (
+  SELECT page_id, coalesce(html, '') AS html, octet_length(encode(coalesce(html, ''))) AS n FROM pages
+), first AS (
+  SELECT html, min(page_id) AS original FROM page WHERE n >= 100 GROUP BY html
+)
+SELECT page_id, n AS payload_bytes, sha256(html) AS payload_digest,
+  CASE WHEN original <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN original <> page_id THEN original END AS refers_to
+FROM page LEFT JOIN first USING (html)
+"""
+
+
+@query(WARC_SQL)
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = new_folder(spark, "warc")
+    warc.write(read_table(spark, sf_dir, "pages"), folder)
+    return warc.read(spark, folder)
+
+
 @query()
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
@@ -97,6 +122,15 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_quality(docs, quality.train(docs, read_table(spark, sf_dir, "labels")))
 
 
+@query()
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = new_folder(spark, "token-files")
+    token_files.write(
+        read_table(spark, sf_dir, "documents"), folder, vocabulary_path(BYTE_VOCABULARY)
+    )
+    return token_files.digests(token_files.read_pieces(spark, folder))
+
+
 @query(lines.DEDUP_SQL.format(
     docs="documents", columns="doc_id, coalesce(lines_removed, 0) AS lines_removed, c.text AS text"
 ))
