@@ -12,7 +12,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from appkpi.llm import bpe, embeddings, lines, packing, quality, simhash, token_files, toxicity, warc
+from appkpi.llm import bpe, embeddings, lines, lm, packing, quality, simhash, token_files, toxicity, warc
 from appkpi.llm.common import new_folder, read_table
 from appkpi.llm.tokens import vocabulary_path
 
@@ -77,6 +77,13 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.piece_digests(packing.pack(docs, vocabulary_path(WORD_VOCABULARY)))
 
 
+@query()
+def op4_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    model, counts = lm.train(docs.where(fold(7) != 2))
+    return lm.score(docs, model, counts, fold(7) == 2)
+
+
 @query()
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(read_table(spark, sf_dir, "documents"), vocabulary_path(BYTE_VOCABULARY))
