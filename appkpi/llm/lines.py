@@ -16,30 +16,36 @@ from appkpi.llm.common import settle
 WINDOW_LINES = 3
 
 
-def windows(text: Column, size: int = WINDOW_LINES) -> Column:
-    """The windows of a text: first and last line number, and 128 bits of hash over the lines."""
+def line_hashes(text: Column) -> Column:
+    """Number and two 64-bit hashes of each line that holds more than spaces."""
     lines = F.transform(
-        F.split(text, "\n", -1), lambda line, i: F.struct(i.alias("i"), line.alias("line"))
-    )
-    hashed = F.transform(
-        F.filter(lines, lambda x: F.trim(x["line"]) != ""),
-        lambda x: F.struct(
-            x["i"].alias("i"),
-            F.xxhash64(x["line"]).alias("a"),
-            F.xxhash64(F.lit(1), x["line"]).alias("b"),
+        F.split(text, "\n", -1),
+        lambda line, i: F.when(
+            F.trim(line) != "",
+            F.struct(
+                i.alias("i"), F.xxhash64(line).alias("a"), F.xxhash64(F.lit(1), line).alias("b")
+            ),
         ),
     )
+    return F.filter(lines, lambda x: x.isNotNull())
+
 
-    def window(x: Column, k: Column) -> Column:
-        run = [F.get(hashed, k + j) for j in range(size)]
+def windows(hashed: str, size: int = WINDOW_LINES) -> Column:
+    """The windows over a column of ``line_hashes``: first and last line, and 128 bits of hash."""
+    # The column beside itself, shifted: entry k of the zip is the window from line k on.
+    shifted = [F.slice(hashed, j + 1, F.greatest(F.size(hashed), F.lit(1))) for j in range(size)]
+
+    def window(x: Column) -> Column:
+        run = [x[str(j)] for j in range(size)]
         return F.struct(
-            x["i"].alias("first"),
+            run[0]["i"].alias("first"),
             run[-1]["i"].alias("last"),
             F.xxhash64(*[r["a"] for r in run]).alias("a"),
             F.xxhash64(*[r["b"] for r in run]).alias("b"),
         )
 
-    return F.filter(F.transform(hashed, window), lambda w: w["last"].isNotNull())
+    zipped = F.arrays_zip(*[c.alias(str(j)) for j, c in enumerate(shifted)])
+    return F.filter(F.transform(zipped, window), lambda w: w["last"].isNotNull())
 
 
 def dedup_lines(docs: DataFrame, size: int = WINDOW_LINES) -> DataFrame:
@@ -57,9 +63,10 @@ def dedup_lines(docs: DataFrame, size: int = WINDOW_LINES) -> DataFrame:
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
     )
     found = settle(
-        own.select("id", "h", F.explode(windows(F.col("body"), size)).alias("w")).select(
-            "id", "h", "w.first", "w.last", "w.a", "w.b"
-        ),
+        # A column of its own, so that the hashes of a text are made once.
+        own.select("id", "h", line_hashes(F.col("body")).alias("hashed"))
+        .select("id", "h", F.explode(windows("hashed", size)).alias("w"))
+        .select("id", "h", "w.first", "w.last", "w.a", "w.b"),
         "line-windows",
     )
     place = F.struct("id", "h", "first")
@@ -84,13 +91,14 @@ def dedup_lines(docs: DataFrame, size: int = WINDOW_LINES) -> DataFrame:
                 F.array_except("goes", "stays").alias("gone")),
         "covered-lines",
     )
-    body = F.split("body", "\n", -1)
-    kept = F.array_except(F.sequence(F.lit(0), F.size(body) - 1), F.col("gone"))
+    # Columns of their own as well: a lambda makes what it refers to anew for every element.
     text = F.when(F.col("gone").isNull(), F.col("body")).otherwise(
-        F.array_join(F.transform(kept, lambda i: F.get(body, i)), "\n")
+        F.array_join(F.transform(F.col("kept"), lambda i: F.get(F.col("parts"), i)), "\n")
     )
     return (
         own.join(cover, own.id.eqNullSafe(cover.cid) & (own.h == cover.ch), "left")
+        .withColumn("parts", F.when(F.col("gone").isNotNull(), F.split("body", "\n", -1)))
+        .withColumn("kept", F.array_except(F.sequence(F.lit(0), F.size("parts") - 1), F.col("gone")))
         .select(
             *[
                 (text if c == "text" else F.col(f"row.`{c}`")).alias(c)
