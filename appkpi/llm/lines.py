@@ -59,12 +59,11 @@ def dedup_lines(docs: DataFrame, size: int = WINDOW_LINES) -> DataFrame:
     own = docs.select(
         F.col("doc_id").alias("id"),
         F.xxhash64("text").alias("h"),
-        F.col("text").alias("body"),
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
     )
     found = settle(
         # A column of its own, so that the hashes of a text are made once.
-        own.select("id", "h", line_hashes(F.col("body")).alias("hashed"))
+        own.select("id", "h", line_hashes(F.col("row.text")).alias("hashed"))
         .select("id", "h", F.explode(windows("hashed", size)).alias("w"))
         .select("id", "h", "w.first", "w.last", "w.a", "w.b"),
         "line-windows",
@@ -92,12 +91,13 @@ def dedup_lines(docs: DataFrame, size: int = WINDOW_LINES) -> DataFrame:
         "covered-lines",
     )
     # Columns of their own as well: a lambda makes what it refers to anew for every element.
-    text = F.when(F.col("gone").isNull(), F.col("body")).otherwise(
+    text = F.when(F.col("gone").isNull(), F.col("row.text")).otherwise(
         F.array_join(F.transform(F.col("kept"), lambda i: F.get(F.col("parts"), i)), "\n")
     )
     return (
-        own.join(cover, own.id.eqNullSafe(cover.cid) & (own.h == cover.ch), "left")
-        .withColumn("parts", F.when(F.col("gone").isNotNull(), F.split("body", "\n", -1)))
+        # The same plan at every size, whatever the share of documents with something to remove.
+        own.join(cover.hint("merge"), own.id.eqNullSafe(cover.cid) & (own.h == cover.ch), "left")
+        .withColumn("parts", F.when(F.col("gone").isNotNull(), F.split("row.text", "\n", -1)))
         .withColumn("kept", F.array_except(F.sequence(F.lit(0), F.size("parts") - 1), F.col("gone")))
         .select(
             *[
