@@ -200,8 +200,8 @@ def keep_first(docs: DataFrame, bits: int = BITS, words: int = SHINGLE_WORDS) ->
         .select(F.col("best.id").alias("best_id"), F.col("best.h").alias("best_h")),
         "kept-rows",
     )
-    chosen = rows.join(
-        best, rows.id.eqNullSafe(best.best_id) & (rows.h == best.best_h), "left_semi"
+    chosen = rows.drop("text").join(
+        best.hint("merge"), rows.id.eqNullSafe(best.best_id) & (rows.h == best.best_h), "left_semi"
     )
     # Rows equal in id and text are one document.
     return chosen.dropDuplicates(["id", "h"]).select("row.*")
