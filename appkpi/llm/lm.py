@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from appkpi.llm.common import map_rows, settle
-from appkpi.llm.words import hash_words, mix
+from appkpi.llm.words import hash_words_and_starts, mix
 
 PREFIX_BYTES = 4
 BUCKET_BITS = 12
@@ -48,9 +48,8 @@ def words_and_buckets(text: str | None):
     """Word hashes and prefix buckets of a text in lower case (A-Z)."""
     import numpy as np
 
-    raw = (text or "").encode().lower()
-    starts = mix(hash_words(raw, PREFIX_BYTES))
-    return hash_words(raw), (starts >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
+    words, starts = hash_words_and_starts((text or "").encode().lower(), PREFIX_BYTES)
+    return words, (mix(starts) >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
 
 
 def word_counts(training: DataFrame) -> DataFrame:
@@ -322,7 +321,7 @@ def hot_words(counts: DataFrame, most: int = HOT_WORDS):
 
 SCORED = (
     "doc_id long, held_out boolean, n_tokens long, hot_known long, class_part double, hot_log double, "
-    "rare array<struct<word: long, n: long>>"
+    "rare array<long>, times array<long>"
 )
 
 
@@ -351,10 +350,8 @@ def score(docs: DataFrame, model: Model, counts: DataFrame, held_out: Column) ->
             at[at == len(model.hot)] = 0
             hot = model.hot[at] == word if len(model.hot) else np.zeros(len(word), bool)
             hot_log = float((n[hot] * np.log10(model.hot_counts[at[hot]] + 1)).sum())
-            rare = list(zip(word[~hot].tolist(), n[~hot].tolist(), strict=True))
-            yield doc_id, held, len(classes), int(n[hot].sum()), part, hot_log, [
-                {"word": w, "n": k} for w, k in rare
-            ]
+            known = int(n[hot].sum())
+            yield doc_id, held, len(classes), known, part, hot_log, word[~hot].tolist(), n[~hot].tolist()
 
     scored = settle(
         map_rows(
@@ -365,7 +362,9 @@ def score(docs: DataFrame, model: Model, counts: DataFrame, held_out: Column) ->
         ).withColumn("row", F.monotonically_increasing_id()),
         "scored",
     )
-    rare = scored.select("row", F.explode("rare").alias("w")).select("row", "w.word", F.col("w.n").alias("k"))
+    rare = scored.select("row", F.explode(F.arrays_zip("rare", "times")).alias("w")).select(
+        "row", F.col("w.rare").alias("word"), F.col("w.times").alias("k")
+    )
     known = (
         rare.join(counts.select("word", "n"), "word")
         .groupBy("row")

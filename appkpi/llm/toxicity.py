@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from appkpi.llm.common import map_rows
 from appkpi.llm.labelled import in_one_task, labelled_sample
-from appkpi.llm.words import hash_words, mix
+from appkpi.llm.words import hash_words_and_starts, mix
 
 TABLE_BITS = 16
 DIMENSIONS = 8
@@ -51,7 +51,7 @@ def table_rows(text: str):
     import numpy as np
 
     raw = text.lower().encode().translate(SPLIT)
-    hashes, starts = hash_words(raw), hash_words(raw, PREFIX_BYTES)
+    hashes, starts = hash_words_and_starts(raw, PREFIX_BYTES)
     if not len(hashes):
         hashes = starts = np.zeros(1, np.uint64)
     top = np.uint64(64 - TABLE_BITS)

@@ -27,8 +27,13 @@ def _tables():
     return np.multiply.accumulate(up), np.multiply.accumulate(down), is_word
 
 
-def hash_words(raw: bytes, most: int | None = None):
-    """Hashes of the words of ``raw``, in order, as unsigned 64-bit numbers; of their first ``most`` bytes."""
+def hash_words(raw: bytes):
+    """Hashes of the words of ``raw``, in order, as unsigned 64-bit numbers."""
+    return hash_words_and_starts(raw, 0)[0]
+
+
+def hash_words_and_starts(raw: bytes, most: int):
+    """Hashes of the words, and of their first ``most`` bytes, from the same running sums."""
     import numpy as np
 
     found = []
@@ -41,37 +46,42 @@ def hash_words(raw: bytes, most: int | None = None):
             if cut < 0:
                 cuts = [raw.find(bytes((c,)), end) for c in BLANKS]
                 end = min((c for c in cuts if c >= 0), default=len(raw))
-                found.append(np.array([_long_word(raw[at:end], most)], np.uint64))
+                found.append(_long_word(raw[at:end], most))
                 at = end
                 continue
             end = cut + 1
         found.append(_hash_piece(raw[at:end], most))
         at = end
-    return np.concatenate(found) if found else np.zeros(0, np.uint64)
+    if len(found) == 1:
+        return found[0]
+    if not found:
+        return np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+    return tuple(np.concatenate(x) for x in zip(*found, strict=True))
 
 
-def _long_word(word: bytes, most: int | None) -> int:
-    if most:
-        return int(_hash_piece(word[:most], None)[0])
+def _long_word(word: bytes, most: int):
+    import numpy as np
     from xxhash import xxh64_intdigest
 
-    return xxh64_intdigest(word)
+    return np.array([xxh64_intdigest(word)], np.uint64), _hash_piece(word[: most or 1], 0)[0]
 
 
-def _hash_piece(raw: bytes, most: int | None):
+def _hash_piece(raw: bytes, most: int):
     import numpy as np
 
     up, down, is_word = _tables()
     b = np.frombuffer(raw, np.uint8)
     edge = np.flatnonzero(np.diff(is_word[b], prepend=np.int8(0), append=np.int8(0)))
     starts, ends = edge[::2], edge[1::2]
-    if most:
-        ends = np.minimum(ends, starts + most)
     sums = np.zeros(len(b) + 1, np.uint64)
     np.cumsum((b.astype(np.uint64) + np.uint64(1)) * up[: len(b)], out=sums[1:])
-    # The length tells a word from the same word with a prefix of another piece's zero bytes.
-    h = (sums[ends] - sums[starts]) * down[np.minimum(starts, PIECE_BYTES - 1)]
-    return mix(h ^ (ends - starts).astype(np.uint64))
+    before, scale, size = sums[starts], down[starts], ends - starts
+    # The length keeps words apart whose bytes happen to sum up to the same number.
+    words = mix(((sums[ends] - before) * scale) ^ size.astype(np.uint64))
+    if not most:
+        return words, words
+    size = np.minimum(size, most)
+    return words, mix(((sums[starts + size] - before) * scale) ^ size.astype(np.uint64))
 
 
 def mix(h):
