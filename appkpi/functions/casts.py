@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 
 # Accepted text forms.
 INTEGER_TEXT = r"^\s*[+-]?\d+\s*$"
-HEX_INTEGER = r"^\s*[+-]?0[xX][0-9a-fA-F]{1,16}\s*$"
-HEX_PREFIX = r"^[+-]?0[xX]"
+HEX_INTEGER = r"^\s*[+-]?0[xX]0*[0-9a-fA-F]{1,16}\s*$"
+HEX_PREFIX = r"^[+-]?0[xX]0*(?=[0-9a-fA-F])"
 FLOAT_TEXT = r"^\s*[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|(?i:inf|infinity|nan))\s*$"
 DATE_TEXT = r"^\s*\d{4}-\d{1,2}-\d{1,2}\s*$"
 TIMESTAMP_TEXT = r"^\s*\d{4}-\d{1,2}-\d{1,2}([ Tt].*)?$"

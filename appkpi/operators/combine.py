@@ -44,6 +44,8 @@ def merge_on_keys(
     Rows with a NULL in the key are told apart by the input they come from, which is what
     "NULL matches nothing" means when every input holds a key once.
 
+    An input that repeats a key is an error when the rows are made.
+
     ``required`` names inputs of which at least one must hold the key; the others then act
     as the right side of a left join.
     """
@@ -64,13 +66,19 @@ def merge_on_keys(
             *[f"`{k}`" for k in keys],
             f"CASE WHEN {has_null_key} THEN {position} END AS __null_key_input",
             f"{str(wanted).upper()} AS __wanted",
+            f"{1 << position}L AS __input",
             *[f"`{v}`" if v in own else f"CAST(NULL AS {t}) AS `{v}`" for v, t in values.items()],
         )
 
     stacked = union_branches(*[as_branch(i, n) for i, n in enumerate(inputs)])
     merged = stacked.groupBy(*keys, "__null_key_input").agg(
-        F.expr("bool_or(__wanted) AS __wanted"), *[F.expr(f"max(`{v}`) AS `{v}`") for v in values]
+        F.expr("bool_or(__wanted) AS __wanted"),
+        F.expr("sum(__input) = bit_or(__input) AS __once"),
+        *[F.expr(f"max(`{v}`) AS `{v}`") for v in values],
     )
+    # Two rows of one input would be mixed into one: stop instead.
+    repeated = "CAST(raise_error('merge_on_keys: an input holds a key twice') AS BOOLEAN)"
+    merged = merged.filter(f"CASE WHEN __once THEN TRUE ELSE {repeated} END")
     if required is not None:
         merged = merged.filter("__wanted")
     return merged.select(*keys, *values)

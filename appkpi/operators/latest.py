@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame
 
 INGESTED_AT = "_ingested_at"
 RUN_ID = "_run_id"
+# Numbers the rows of a load once they are stored, so that reruns see the same order.
+LANDED_ROW = "_landed_row"
 
 
 def keep_latest(
@@ -19,9 +21,10 @@ def keep_latest(
     """One row per key: the one loaded last. NULL keys form a group of their own.
 
     All rows of one load carry the same load time, so two rows of a load can share a key.
-    The default order settles those ties the same way on every run: run id, then a hash
-    of the ``tie_break`` columns, by default of the whole row. ``order_by`` replaces it
-    with SQL sort expressions such as ``"ts DESC"``.
+    The default order settles those ties the same way on every run: run id, then the row's
+    stored number. Rows that were stored without one go by a hash of the ``tie_break``
+    columns, by default of the whole row. ``order_by`` replaces the order with SQL sort
+    expressions such as ``"ts DESC"``.
 
     Spark turns ``row_number() = 1`` into a per-key limit on both sides of the shuffle, so
     a key that holds a large share of the rows sends one row per map task, not all of them.
@@ -31,7 +34,10 @@ def keep_latest(
         if RUN_ID in df.columns:
             order_by.append(f"{RUN_ID} DESC")
         hashed = df.columns if tie_break is None else tie_break
-        if hashed:
+        if LANDED_ROW in df.columns:
+            # one narrow column: readers of few columns parse few
+            order_by.append(f"{LANDED_ROW} DESC")
+        elif hashed:
             order_by.append(f"xxhash64({_names(hashed)}) DESC")
     version = f"row_number() OVER (PARTITION BY {_names(keys)} ORDER BY {', '.join(order_by)})"
     return (

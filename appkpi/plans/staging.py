@@ -16,6 +16,7 @@ from appkpi.functions import (
     safe_int,
 )
 from appkpi.operators import attach_lookup, keep_latest
+from appkpi.operators.latest import LANDED_ROW
 from appkpi.plans.contracts import CONTRACTS, Contract
 from appkpi.sources.landing import METADATA
 
@@ -70,8 +71,11 @@ def typed(raw: DataFrame, name: str) -> DataFrame:
             return column
         return f"{parse_sql(raw_column(column), wanted)} AS {column}"
 
+    numbered = [LANDED_ROW] if contract.key and LANDED_ROW in raw.columns else []
     return raw.selectExpr(
-        *[read(f) for f in contract.fields], *[load_column(c) for c in contract.load_columns]
+        *[read(f) for f in contract.fields],
+        *[load_column(c) for c in contract.load_columns],
+        *numbered,
     )
 
 
@@ -82,7 +86,7 @@ def stage(raw: DataFrame, name: str) -> DataFrame:
     if contract.key:
         # load columns are constant within a load, so they cannot break a tie
         own = [f[0] for f in contract.fields if f[0] not in contract.key]
-        rows = keep_latest(rows, contract.key, tie_break=own)
+        rows = keep_latest(rows, contract.key, tie_break=own).drop(LANDED_ROW)
     extras = EXTRAS.get(name)
     return rows.withColumns({c: f() for c, f in extras.items()}) if extras else rows
 

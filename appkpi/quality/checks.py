@@ -23,6 +23,7 @@ class Check:
     columns: tuple[str, ...]
     breaks: Callable[[], Column] | None = None  # None: a uniqueness test
     severity: str = ERROR
+    sql: str = ""  # what ``breaks`` tests, as plain SQL
 
     @property
     def label(self) -> str:
@@ -34,7 +35,7 @@ class Check:
 
 
 def not_null(column: str) -> Check:
-    return Check("not_null", (column,), lambda: F.col(column).isNull())
+    return Check("not_null", (column,), lambda: F.col(column).isNull(), sql=f"{column} IS NULL")
 
 
 def unique(*columns: str) -> Check:
@@ -43,7 +44,13 @@ def unique(*columns: str) -> Check:
 
 
 def accepted_values(column: str, values: Sequence[object]) -> Check:
-    return Check("accepted_values", (column,), lambda: ~F.col(column).isin(*values))
+    listed = ", ".join(f"'{v}'" if isinstance(v, str) else str(v) for v in values)
+    return Check(
+        "accepted_values",
+        (column,),
+        lambda: ~F.col(column).isin(*values),
+        sql=f"{column} NOT IN ({listed})",
+    )
 
 
 def accepted_range(
@@ -63,12 +70,20 @@ def accepted_range(
             tests.append(c > high if inclusive else c >= high)
         return reduce(lambda a, b: a | b, tests)
 
-    return Check("accepted_range", (column,), breaks)
+    equal = "" if inclusive else "="
+    limits = [f"{column} <{equal} {low}"] if low is not None else []
+    limits += [f"{column} >{equal} {high}"] if high is not None else []
+    return Check("accepted_range", (column,), breaks, sql=" OR ".join(limits))
 
 
 def is_true(column: str, condition: str) -> Check:
     """``condition`` completes the column, as in ``is_true("cost", ">= 0")``; NULL passes."""
-    return Check("expression_is_true", (column,), lambda: ~F.expr(f"`{column}` {condition}"))
+    return Check(
+        "expression_is_true",
+        (column,),
+        lambda: ~F.expr(f"`{column}` {condition}"),
+        sql=f"NOT ({column} {condition})",
+    )
 
 
 REPORT = ("table", "test", "columns", "severity", "failures", "status")

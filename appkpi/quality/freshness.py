@@ -10,6 +10,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from appkpi.sources.landing import INGEST_DAY
+
 
 @dataclass(frozen=True)
 class Freshness:
@@ -17,14 +19,25 @@ class Freshness:
     error_hours: int
 
 
+def newest_day(raw: DataFrame) -> DataFrame:
+    """The newest load day of a raw table, if it is stored by day; only folder names are looked at."""
+    if INGEST_DAY not in raw.columns:
+        return raw
+    day = raw.agg(F.max(INGEST_DAY)).first()[0]
+    return raw.filter(F.col(INGEST_DAY) == F.lit(day))
+
+
 def freshness_report(
     tables: Mapping[str, DataFrame], rules: Mapping[str, Freshness], as_of: datetime
 ) -> DataFrame:
-    """Newest load, its age in hours and a status per table. Never loaded counts as an error."""
+    """Newest load, its age in hours and a status per table. Never loaded counts as an error.
+
+    Of a table stored by load day only the newest day's folder is read.
+    """
 
     def one(name: str) -> DataFrame:
         rule = rules[name]
-        newest = tables[name].agg(F.max("_ingested_at").cast("timestamp").alias("newest_load"))
+        newest = newest_day(tables[name]).agg(F.max("_ingested_at").cast("timestamp").alias("newest_load"))
         age = (
             F.unix_micros(F.lit(as_of).cast("timestamp")) - F.unix_micros("newest_load")
         ) / 3_600_000_000

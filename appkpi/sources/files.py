@@ -17,3 +17,9 @@ def write_finished(spark: SparkSession, path: str) -> bool:
     Dynamic partition overwrites leave no such mark; ask :func:`path_exists` there.
     """
     return path_exists(spark, f"{path}/_SUCCESS")
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Deletes a folder of intermediate data, if it is there."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Statistics fields the campaign tables use.
+# Statistics fields that staging reads. Landing keeps whatever else there is.
 CAMPAIGN_STATS = (
     "sent",
     "impression",
@@ -26,6 +26,9 @@ CAMPAIGN_STATS = (
 )
 
 
+CAMPAIGN_LEAF_TEXTS = ("delivery_funnel", "conversion_goal_stats")
+
+
 def _text(c: Column | str) -> Column:
     return F.coalesce((F.col(c) if isinstance(c, str) else c).cast("string"), F.lit(""))
 
@@ -113,9 +116,13 @@ def flatten_ios_reviews(reviews: DataFrame) -> DataFrame:
 
 
 def flatten_campaign_stats(
-    stats: DataFrame, fields: Sequence[str] = CAMPAIGN_STATS
+    stats: DataFrame, fields: Sequence[str] | None = None
 ) -> DataFrame:
-    """Platform, locale and variation maps to one row per leaf; no leaf, no row."""
+    """Platform, locale and variation maps to one row per leaf; no leaf, no row.
+
+    Without ``fields`` every statistic found becomes a column, beside those staging reads; an
+    extra pass over the answers finds their names, which are a few dozen.
+    """
     leaves = (
         stats.select("campaign_id", F.explode("stats.platforms").alias("platform", "p"))
         .select("campaign_id", "platform", F.explode("p.locales").alias("locale", "l"))
@@ -123,6 +130,11 @@ def flatten_campaign_stats(
             "campaign_id", "platform", "locale", F.explode("l.variations").alias("variation", "v")
         )
     )
+    if fields is None:
+        names = leaves.select(F.explode(F.map_keys("v.performance_stats")).alias("name"))
+        found = {r["name"] for r in names.distinct().collect()}
+        own = {"campaign_id", "platform", "locale", "variation", *CAMPAIGN_LEAF_TEXTS}
+        fields = [*CAMPAIGN_STATS, *sorted(found - {*CAMPAIGN_STATS, *own})]
     return leaves.select(
         "campaign_id",
         "platform",

@@ -17,7 +17,9 @@ from functools import reduce
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
+from appkpi.operators.latest import LANDED_ROW
 from appkpi.sources.files import path_exists
 
 log = logging.getLogger(__name__)
@@ -81,10 +83,14 @@ def files_by_header(
 
 
 def _read_by_header(
-    spark: SparkSession, paths: str | Sequence[str], read: Callable[..., DataFrame]
+    spark: SparkSession,
+    paths: str | Sequence[str],
+    read: Callable[..., DataFrame],
+    encoding: str = "UTF-8",
 ) -> DataFrame:
-    groups = files_by_header(spark, paths)
-    frames = [read(group) for group in groups]
+    frames = [read(group) for group in files_by_header(spark, paths, encoding)]
+    if not frames:  # no file has a line
+        return spark.createDataFrame([], StructType())
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
@@ -102,12 +108,14 @@ def read_csv_report(
     encoding: str = "UTF-8",
     mixed_headers: bool = False,
     file_column: str | None = None,
+    multi_line: bool = True,
 ) -> DataFrame:
     """CSV with a header, kept verbatim: quoted commas and newlines, optional byte-order mark.
 
     A file whose header differs from the first one's fails the read instead of shifting
     its columns; ``mixed_headers=True`` reads each group of equal headers by itself.
-    ``file_column`` adds the name of the file a row comes from.
+    ``file_column`` adds the name of the file a row comes from. With ``multi_line=False``, for
+    files without line ends inside cells, a large file is read in splits.
     """
 
     def read(files: str | Sequence[str]) -> DataFrame:
@@ -116,14 +124,14 @@ def read_csv_report(
             header=True,
             inferSchema=False,
             enforceSchema=False,
-            multiLine=True,
+            multiLine=multi_line,
             quote='"',
             escape='"',
             encoding=encoding,
         )
         return df.withColumn(file_column, F.col("_metadata.file_path")) if file_column else df
 
-    df = _read_by_header(spark, paths, read) if mixed_headers else read(paths)
+    df = _read_by_header(spark, paths, read, encoding) if mixed_headers else read(paths)
     return blank_for_null(df)
 
 
@@ -213,7 +221,8 @@ def table_columns(spark: SparkSession, path: str) -> list[str] | None:
     if not path_exists(spark, path):
         return None
     try:
-        return [c for c in spark.read.parquet(path).columns if c != INGEST_DAY]
+        stored = spark.read.parquet(path).columns
+        return [c for c in stored if c not in (INGEST_DAY, LANDED_ROW)]
     except AnalysisException as error:
         if error.getCondition() == "UNABLE_TO_INFER_SCHEMA":  # a folder without any file
             return None
@@ -223,6 +232,8 @@ def table_columns(spark: SparkSession, path: str) -> list[str] | None:
 def append_raw(df: DataFrame, path: str) -> int:
     """Appends stamped rows to a raw table, one folder per load day; returns the row count.
 
+    Rows are numbered as they are written: the number settles ties between versions of a key.
+
     The count is observed during the write, so the input is read once. Rows are rebalanced
     before it: thousands of small report files and single unsplittable ones both end up as
     files of the advisory size.
@@ -230,6 +241,7 @@ def append_raw(df: DataFrame, path: str) -> int:
     counted = Observation()
     (
         df.withColumn(INGEST_DAY, F.to_date("_ingested_at"))
+        .withColumn(LANDED_ROW, F.monotonically_increasing_id())
         .hint("rebalance")
         .observe(counted, F.count(F.lit(1)).alias("rows"))
         .write.mode("append")

@@ -96,6 +96,20 @@ CAMPAIGN_STATS_ENTRY = """struct<
 """
 
 
+# Campaign keys that staging reads.
+CAMPAIGN_COLUMNS = (
+    "campaign_id",
+    "channel",
+    "status",
+    "campaign_delivery_type",
+    "created_at",
+    "sent_time",
+    "basic_details",
+    "segmentation_details",
+    "conversion_goal_details",
+)
+
+
 def _rows_of(spark: SparkSession, paths: str | Sequence[str], key: str, schema: str) -> DataFrame:
     """The objects listed under ``key`` of one response per file."""
     responses = spark.read.json(paths, schema=f"`{key}` array<{schema}>", multiLine=True)
@@ -141,13 +155,28 @@ def parse_campaign_stats(entries: DataFrame) -> DataFrame:
 
 
 def read_campaign_list(
-    spark: SparkSession, paths: str | Sequence[str], columns: Sequence[str]
+    spark: SparkSession, paths: str | Sequence[str], columns: Sequence[str] | None = None
 ) -> DataFrame:
-    """Campaign search answers: a bare list per file. An answer that is no list is left out."""
-    answers = spark.read.text(paths, wholetext=True).filter(F.ltrim("value").startswith("["))
-    campaigns = answers.select(
+    """Campaign search answers: a bare list per file.
+
+    A file is one row before it is taken apart: its size is bounded by the vendor's page size.
+    """
+    return parse_campaign_list(spark.read.text(paths, wholetext=True), columns)
+
+
+def parse_campaign_list(answers: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """Answer texts (``value``) to campaigns. An answer that is no list is left out.
+
+    Without ``columns`` every key becomes a column, after those staging reads; an extra pass
+    finds their names.
+    """
+    campaigns = answers.filter(F.ltrim("value").startswith("[")).select(
         F.explode(F.from_json("value", "array<map<string, string>>")).alias("c")
     )
+    if columns is None:
+        names = campaigns.select(F.explode(F.map_keys("c")).alias("name")).distinct()
+        found = {r["name"] for r in names.collect()}
+        columns = [*CAMPAIGN_COLUMNS, *sorted(found - set(CAMPAIGN_COLUMNS))]
     return blank_for_null(
         campaigns.select(*[F.try_element_at("c", F.lit(k)).alias(k) for k in columns])
     )

@@ -51,17 +51,6 @@ IOS_REPORTS = (
     "raw_app_discovery_engagement",
     "raw_app_install_performance",
 )
-CAMPAIGN_COLUMNS = (
-    "campaign_id",
-    "channel",
-    "status",
-    "campaign_delivery_type",
-    "created_at",
-    "sent_time",
-    "basic_details",
-    "segmentation_details",
-    "conversion_goal_details",
-)
 
 
 @dataclass(frozen=True)
@@ -148,7 +137,7 @@ def campaign_jobs(at: Landing) -> list[Job]:
         "campaigns",
         "moengage_raw/raw_campaigns",
         "moengage",
-        lambda: read_campaign_list(at.spark, f"{at.files}/campaigns/list", CAMPAIGN_COLUMNS),
+        lambda: read_campaign_list(at.spark, f"{at.files}/campaigns/list"),
     )
     return [listed, *[window(*w) for w in stats_windows(at.date_from, at.date_to)]]
 

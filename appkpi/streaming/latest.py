@@ -9,19 +9,26 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from appkpi.operators.latest import keep_latest
-from appkpi.sources.files import path_exists, write_finished
+from appkpi.sources.files import path_exists, remove_folder, write_finished
 from appkpi.streaming.landing import checkpoint_folder
 
 
 def _merge_batch(
     batch: DataFrame,
     path: str,
-    staged: str,
+    work: str,
+    number: int,
     keys: Sequence[str],
     order_by: Sequence[str] | None,
     partition_by: str | None,
 ) -> None:
     spark = batch.sparkSession
+    # Equal over restarts of one checkpoint, another for a new one: a restart finds its own
+    # finished copy, and a stream that begins anew cannot mistake an old one for its own.
+    stream = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+    staged = f"{work}/stream={stream}/batch={number}"
+    # This batch is under way, so the one before it is done for good.
+    remove_folder(spark, f"{work}/stream={stream}/batch={number - 1}")
     if not write_finished(spark, staged):
         new = keep_latest(batch, keys, order_by)
         if path_exists(spark, path):
@@ -58,13 +65,15 @@ def stream_latest(
 
     There is no operator state to grow, and a batch may be repeated: latest-of is
     idempotent, and a run that stopped while replacing finds its finished copy in ``work``.
+    Copies carry the stream's id and are removed once the next batch begins, so ``work`` may be
+    shared and used again. ``partition_by`` is a day or another column of few values per batch.
     """
     if partition_by and partition_by not in keys:
         raise ValueError(f"{partition_by!r} must be part of the key, or rows could move")
     return (
         rows.writeStream.foreachBatch(
             lambda batch, number: _merge_batch(
-                batch, path, f"{work}/batch={number}", keys, order_by, partition_by
+                batch, path, work, number, keys, order_by, partition_by
             )
         )
         .option(

@@ -24,7 +24,7 @@ def evaluate(spark, text, column, kind="string"):
 @pytest.mark.parametrize(
     ("text", "value"),
     [
-        ("12", 12), (" 12 ", 12), ("-7", -7), ("+5", 5), ("0x1F", 31), ("-0x10", -16),
+        ("12", 12), (" 12 ", 12), ("-7", -7), ("+5", 5), ("0x1F", 31), ("0x" + "0" * 20 + "1f", 31), ("0x00", 0), ("-0x10", -16),
         ("", None), ("12.5", None), ("12.0", None), ("1e3", None), ("None", None), (None, None),
         ("9223372036854775807", 2**63 - 1), ("9223372036854775808", None), ("1 2", None),
     ],

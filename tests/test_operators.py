@@ -39,6 +39,20 @@ def test_ties_of_one_load_do_not_depend_on_row_order(spark):
         assert keep_latest(shuffled, ["k"]).first()["v"] == one
 
 
+def test_ties_of_one_load_go_by_the_stored_number(spark):
+    rows = [("a", v, at(1), "r", 1000 - v) for v in range(20)]
+    schema = "k string, v int, _ingested_at timestamp, _run_id string, _landed_row long"
+    latest = keep_latest(spark.createDataFrame(rows, schema).repartition(3), ["k"])
+    assert latest.first()["v"] == 0 and "xxhash64" not in plan_of(latest)
+
+
+def test_an_input_that_repeats_a_key_is_refused(spark):
+    a = spark.createDataFrame([("x", 1), ("x", 2)], "k string, a int")
+    b = spark.createDataFrame([("x", 3)], "k string, b int")
+    with pytest.raises(Exception, match="holds a key twice"):
+        merge_on_keys({"a": a, "b": b}, ["k"]).collect()
+
+
 def test_missing_load_time_loses(spark):
     df = spark.createDataFrame(
         [("a", 1, None), ("a", 2, at(1))], "k string, v int, _ingested_at timestamp"

@@ -2,7 +2,7 @@ from collections import Counter
 from datetime import UTC, datetime
 
 import pytest
-from conftest import as_dicts, at, plan_of
+from conftest import as_dicts, at, day, plan_of
 
 from appkpi.plans.catalog import TABLES
 from appkpi.quality import (
@@ -74,6 +74,17 @@ def test_expectations_cover_known_tables_and_columns():
     assert len(FRESHNESS) == 23
 
 
+def test_freshness_reads_the_newest_day_only(spark, folder):
+    loads = [(at(9, 5), day(9)), (at(8), day(8)), (at(9, 7), day(9))]
+    rows = spark.createDataFrame(loads, "_ingested_at timestamp, _ingest_date date")
+    rows.write.partitionBy("_ingest_date").parquet(folder)
+    report = freshness_report(
+        {"t": spark.read.parquet(folder)}, {"t": Freshness(25, 49)}, datetime(2026, 6, 9, 8, tzinfo=UTC)
+    )
+    assert "PartitionFilters: [isnotnull(_ingest_date" in plan_of(report)
+    assert report.first()["age_hours"] == 1.0
+
+
 def test_freshness(spark):
     rules = {n: Freshness(25, 49) for n in ("new", "late", "old", "never", "edge")}
     newest = {"new": at(10), "late": at(9), "old": at(8), "edge": datetime(2026, 6, 9, 9, tzinfo=UTC)}

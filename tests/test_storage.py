@@ -141,6 +141,42 @@ def test_incremental_latest_equals_the_full_one(spark, tmp_path, keys, partition
     assert as_dicts(back, "k", "d") == as_dicts(full, "k", "d")
 
 
+def test_a_work_folder_may_be_used_by_another_stream(spark, tmp_path):
+    path = str(tmp_path / "out")
+    for n in range(2):
+        source = str(tmp_path / f"in{n}")
+        rows = [(f"k{n}", day(1), n, at(1 + n), "r")]
+        spark.createDataFrame(rows, SCHEMA).coalesce(1).write.parquet(source)
+        stream = spark.readStream.schema(SCHEMA).parquet(source)
+        stream_latest(
+            stream, path, f"{path}-work", ["k", "d"], partition_by="d", checkpoint=f"{path}-cp{n}"
+        ).awaitTermination()
+    assert {r["k"] for r in spark.read.parquet(path).collect()} == {"k0", "k1"}
+
+
+def test_copies_of_finished_batches_are_removed(spark, tmp_path):
+    source, path = str(tmp_path / "in"), str(tmp_path / "out")
+    for n in range(3):
+        rows = [(f"k{n}", day(1), n, at(1), "r")]
+        spark.createDataFrame(rows, SCHEMA).coalesce(1).write.mode("append").parquet(source)
+    fold(spark, source, path, ["k", "d"], "d")
+    assert [p.name for p in (tmp_path / "out-work").glob("stream=*/batch=*")] == ["batch=2"]
+    assert spark.read.parquet(path).count() == 3
+
+
+def test_a_stopped_replacement_is_finished_from_its_copy(spark, tmp_path):
+    source, path = str(tmp_path / "in"), str(tmp_path / "out")
+    spark.createDataFrame([("k", day(1), 1, at(1), "r")], SCHEMA).coalesce(1).write.parquet(source)
+    fold(spark, source, path, ["k", "d"], "d")
+    # As if the batch had stopped before its commit, in the middle of replacing the table.
+    for commit in (tmp_path / "out-cp" / "commits").glob("*0*"):
+        commit.unlink()
+    for file in (tmp_path / "out").rglob("*.parquet"):
+        file.unlink()
+    fold(spark, source, path, ["k", "d"], "d")
+    assert spark.read.parquet(path).count() == 1
+
+
 def test_a_partition_column_outside_the_key_is_refused(spark, folder):
     with pytest.raises(ValueError, match="part of the key"):
         stream_latest(spark.range(1), folder, folder, ["k"], partition_by="d")

@@ -10,9 +10,9 @@ from appkpi.plans.build import table
 from appkpi.plans.catalog import RAW_PREFIX
 from appkpi.plans.contracts import CONTRACTS
 from appkpi.sources import land_many, read_raw
+from appkpi.sources.payloads import CAMPAIGN_COLUMNS
 from appkpi.sources.vendors import (
     ATTRIBUTION_REPORTS,
-    CAMPAIGN_COLUMNS,
     IOS_REPORTS,
     Landing,
     android_jobs,
@@ -114,7 +114,7 @@ def test_android_files(spark, tmp_path, at):
     assert set(done.values()) == {1}
     crashes = raw(at, "play_raw/raw_gcs_crashes").first()
     assert (crashes["daily_crashes"], crashes["_source"]) == ("3", "play_console_gcs")
-    assert raw(at, "play_raw/raw_crash_rate").first()["versionCode"] == "191"
+    assert raw(at, "play_raw/raw_crash_rate").first()["versionCode"] == "1704"
 
 
 def test_ios_files(spark, tmp_path, at):

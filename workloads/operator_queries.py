@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable
 from datetime import UTC, date, datetime
@@ -35,8 +34,11 @@ from appkpi.operators import (
     since,
     with_partition_total,
 )
+from appkpi.operators.latest import LANDED_ROW
 from appkpi.plans import attribution, dashboards
 from appkpi.plans.build import table
+from appkpi.plans.catalog import raw_name
+from appkpi.plans.contracts import CONTRACTS
 from appkpi.plans.staging import media_type, stage
 from appkpi.quality import (
     accepted_range,
@@ -74,8 +76,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
 
-# The generated order dates; a window query is about ranges, not about these two days.
-FIRST_ORDER, LAST_ORDER = date(1995, 1, 1), date(2001, 8, 1)
 
 
 def query(sql: str | None = None) -> Callable[[Query], Query]:
@@ -89,8 +89,10 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new folder in the cluster's shared checkpoint folder; a local one only in tests."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="appkpi-")
+    """A new folder on storage that driver and executors share."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or (
+        spark.conf.get("spark.sql.warehouse.dir") + "/_scratch"
+    )
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
@@ -372,19 +374,23 @@ def install_failure_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _windows_sql(days: int) -> str:
     return f"""SELECT CAST(s AS DATE) AS window_start,
-    least(CAST(s AS DATE) + {days - 1}, DATE '{LAST_ORDER}') AS window_end,
-    count(o_orderkey) AS orders
-    FROM generate_series(TIMESTAMP '{FIRST_ORDER}', TIMESTAMP '{LAST_ORDER}',
-        INTERVAL {days} DAY) w(s)
+    least(CAST(s AS DATE) + {days - 1}, hi) AS window_end, count(o_orderkey) AS orders
+    FROM (SELECT unnest(generate_series(CAST(lo AS TIMESTAMP), CAST(hi AS TIMESTAMP),
+            INTERVAL {days} DAY)) AS s, hi
+        FROM (SELECT CAST(min(o_orderdate) AS DATE) AS lo, CAST(max(o_orderdate) AS DATE) AS hi
+            FROM orders))
     LEFT JOIN orders ON o_orderdate >= s AND o_orderdate < s + INTERVAL {days} DAY
-        AND o_orderdate < TIMESTAMP '{LAST_ORDER}' + INTERVAL 1 DAY
     GROUP BY ALL"""
 
 
 def _windows(spark: SparkSession, sf_dir: str, days: int) -> DataFrame:
-    placed = bucket_by_window(orders(spark, sf_dir), "day", FIRST_ORDER, LAST_ORDER, days)
-    counts = placed.groupBy("window_start").agg(F.count(F.lit(1)).alias("orders"))
-    windows = date_windows(spark, FIRST_ORDER, LAST_ORDER, days)
+    """Orders per window, over the range that the orders span."""
+    placed = orders(spark, sf_dir)
+    first, last = placed.agg(F.min("day"), F.max("day")).first()
+    counts = bucket_by_window(placed, "day", first, last, days).groupBy("window_start").agg(
+        F.count(F.lit(1)).alias("orders")
+    )
+    windows = date_windows(spark, first, last, days)
     return windows.join(counts, "window_start", "left").withColumn(
         "orders", F.coalesce("orders", F.lit(0))
     )
@@ -499,7 +505,7 @@ def metadata_stamp(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _landed(spark: SparkSession, df: DataFrame) -> DataFrame:
     path = scratch(spark, "raw")
     landing.land(df, path, LOAD)
-    return _zone_free_load(read_raw(spark, path))
+    return _zone_free_load(read_raw(spark, path).drop(LANDED_ROW))
 
 
 @query(
@@ -572,7 +578,7 @@ def stream_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder, path = scratch(spark, "incoming"), scratch(spark, "raw")
     read(spark, sf_dir, "customer").selectExpr(
         "c_custkey AS `Customer Key`", "c_mktsegment AS `Segment`"
-    ).repartition(3).write.csv(folder, header=True)
+    ).write.csv(folder, header=True)
     for _ in range(2):  # the second run finds nothing new
         stream_csv_to_raw(
             spark, folder, ["Customer Key", "Segment"], path, LOAD,
@@ -624,7 +630,9 @@ def flatten_metric_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     f"""SELECT CAST(uid AS VARCHAR) AS campaign_id, os AS platform, kind AS locale,
     'v' || strftime(day, '%d') AS variation, CAST(count(*) AS VARCHAR) AS sent,
-    CAST(sum(k) AS VARCHAR) AS click, '' AS failed,
+    CAST(sum(k) AS VARCHAR) AS click, '' AS failed, '' AS impression, '' AS ctr, '' AS attempted,
+    '' AS device_start, '' AS delivery_rate, '' AS sent_rate, '' AS failure_rate,
+    CAST(min(k) AS VARCHAR) AS "Least Opens",
     '{{"reachable_users_in_segment":' || max(k) || '}}' AS delivery_funnel,
     '{{}}' AS conversion_goal_stats FROM ({EVENTS}) GROUP BY ALL"""
 )
@@ -640,6 +648,8 @@ def flatten_campaign_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
         .agg(
             F.count(F.lit(1)).alias("sent"),
             F.sum("k").alias("click"),
+            # a statistic that no staging table reads is landed all the same
+            F.min("k").alias("Least Opens"),
             F.max("k").alias("reachable_users_in_segment"),
         )
         .select(
@@ -649,7 +659,7 @@ def flatten_campaign_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.struct(
                 "variation",
                 F.struct(
-                    F.struct("sent", "click").alias("performance_stats"),
+                    F.struct("sent", "click", "Least Opens").alias("performance_stats"),
                     F.struct("reachable_users_in_segment").alias("delivery_funnel"),
                 ),
             ).alias("leaf"),
@@ -676,9 +686,40 @@ def flatten_campaign_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.col("one"))
         .alias("entry"),
     )
-    return flatten.flatten_campaign_stats(
-        payloads.parse_campaign_stats(entries), ("sent", "click", "failed")
+    return flatten.flatten_campaign_stats(payloads.parse_campaign_stats(entries))
+
+
+@query(
+    """SELECT CAST(c_custkey AS VARCHAR) AS campaign_id, c_mktsegment AS channel,
+    CASE WHEN c_nationkey < 5 THEN '' ELSE 'SENT' END AS status, '' AS campaign_delivery_type,
+    '' AS created_at, '' AS sent_time, '{"name":"' || c_name || '"}' AS basic_details,
+    '' AS segmentation_details, '' AS conversion_goal_details,
+    CASE WHEN c_nationkey < 5 THEN '' ELSE CAST(c_nationkey AS VARCHAR) END AS priority_level
+    FROM customer"""
+)
+def campaign_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as search answers; ``priority_level`` is a key no staging table knows."""
+    campaign = """named_struct('campaign_id', CAST(c_custkey AS STRING), 'channel', c_mktsegment,
+        'basic_details', named_struct('name', c_name),
+        'status', CASE WHEN c_nationkey >= 5 THEN 'SENT' END,
+        'priority_level', CASE WHEN c_nationkey >= 5 THEN c_nationkey END)"""
+    answers = read(spark, sf_dir, "customer").selectExpr(f"to_json(array({campaign})) AS value")
+    return payloads.parse_campaign_list(answers)
+
+
+@query(
+    f"""SELECT CAST(l_orderkey AS BIGINT) AS l_orderkey, l_linenumber, l_quantity, {LOAD_SQL}
+    FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_orderkey
+        ORDER BY l_linenumber DESC, l_quantity DESC) = 1"""
+)
+def keep_latest_ties(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Versions that tie within one load: the row that was stored with the highest number counts."""
+    rows = read(spark, sf_dir, "lineitem").selectExpr(
+        "l_orderkey", "l_linenumber", "l_quantity",
+        f"l_linenumber * 1000L + CAST(l_quantity AS BIGINT) AS {LANDED_ROW}",
     )
+    latest = keep_latest(landing.stamp(rows, LOAD), ["l_orderkey"])
+    return _zone_free_load(latest.drop(LANDED_ROW))
 
 
 @query(
@@ -866,31 +907,26 @@ def dq_table_tests(spark: SparkSession, sf_dir: str) -> DataFrame:
 FRESH_AS_OF = datetime(2024, 2, 2, tzinfo=UTC)
 
 
-@query(
-    """SELECT "table", newest AS newest_load,
-    (epoch_us(TIMESTAMP '2024-02-02') - epoch_us(newest)) / 3600000000 AS age_hours,
-    CASE WHEN epoch_us(TIMESTAMP '2024-02-02') - epoch_us(newest) > error_h * 3600000000
-        THEN 'error'
-    WHEN epoch_us(TIMESTAMP '2024-02-02') - epoch_us(newest) > warn_h * 3600000000 THEN 'warn'
-    ELSE 'pass' END AS status
-    FROM (SELECT 'appsflyer_raw.raw_installs' AS "table", max(ts) AS newest, 25 AS warn_h,
-            49 AS error_h FROM events WHERE event_type = 'signup'
-        UNION ALL SELECT 'play_raw.raw_error_count', max(ts), 73, 97 FROM events
-            WHERE event_type = 'error'
-        UNION ALL SELECT 'play_raw.raw_gcs_crashes', max(l_shipdate + to_hours(
-            CAST(l_quantity AS BIGINT))), 193, 217 FROM lineitem WHERE l_returnflag = 'R'
-        UNION ALL SELECT 'appstore_raw.raw_reviews', max(TIMESTAMP '2024-03-01'), 49, 73
-            FROM conversations)"""
-)
+def _all_ages_sql() -> str:
+    now = "epoch_us(TIMESTAMP '2024-02-02')"
+    newest = " UNION ALL ".join(
+        f"SELECT '{raw_name(n)}' AS \"table\", max(_ingested_at) AS newest, "
+        f"{FRESHNESS[raw_name(n)].warn_hours} AS warn_h, {FRESHNESS[raw_name(n)].error_hours} "
+        f"AS error_h FROM ({table_sql(n)})"
+        for n in CONTRACTS
+    )
+    return f"""SELECT "table", newest AS newest_load,
+    ({now} - epoch_us(newest)) / 3600000000 AS age_hours,
+    CASE WHEN {now} - epoch_us(newest) > error_h * 3600000000 THEN 'error'
+    WHEN {now} - epoch_us(newest) > warn_h * 3600000000 THEN 'warn' ELSE 'pass' END AS status
+    FROM ({newest})"""
+
+
+@query(_all_ages_sql())
 def freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every raw table that a table reads; the one landed for nobody has no generated rows."""
     raw = RawTables(spark, sf_dir)
-    names = (
-        "appsflyer_raw.raw_installs",
-        "play_raw.raw_error_count",
-        "play_raw.raw_gcs_crashes",
-        "appstore_raw.raw_reviews",
-    )
-    report = freshness_report({n: raw[n] for n in names}, FRESHNESS, FRESH_AS_OF)
+    report = freshness_report({n: raw[n] for n in map(raw_name, CONTRACTS)}, FRESHNESS, FRESH_AS_OF)
     return report.withColumn("newest_load", F.col("newest_load").cast("timestamp_ntz"))
 
 
@@ -899,10 +935,10 @@ def freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(LATEST_EVENTS)
 def incremental_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The latest-version table built from a stream of event files, three batches."""
+    """The latest-version table built from a stream of event files, one file a batch."""
     incoming, path = scratch(spark, "incoming"), scratch(spark, "latest")
     rows = read(spark, sf_dir, "events").withColumn("day", F.to_date("ts"))
-    rows.repartition(3).write.parquet(incoming)
+    rows.write.parquet(incoming)
     stream = (
         spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(incoming)
     )

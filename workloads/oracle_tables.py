@@ -74,13 +74,13 @@ EVENT_HEAD = (
 )
 
 
-def _health(rate: str, rows: str, bounds: str = "") -> str:
+def _health(rate: str, shift: int, bounds: str = "") -> str:
     name = "".join("_" + c.lower() if c.isupper() else c for c in rate)
     select = f"""SELECT day AS date, 'DAILY' AS aggregation_period,
-    '{rate}MetricSet' AS metric_set, line AS version_code, device AS device_model,
+    '{rate}MetricSet' AS metric_set, line + {shift} AS version_code, device AS device_model,
     api AS api_level, country AS country_code, qty / 64 AS {name}, {bounds}
     qty / 128 AS {name}_7d, qty / 256 AS {name}_28d, {_load("ingested", "run", "day", "day")}
-    FROM ({LINEITEM}) WHERE {rows}"""
+    FROM ({LINEITEM})"""
     return _latest(select, HEALTH_KEY)
 
 
@@ -168,14 +168,14 @@ STAGING: dict[str, str] = {
         "campaign_id, platform, locale, variation, _extract_from",
     ),
     "stg_play_console_crash_rate": _health(
-        "crashRate", "l_linestatus = 'O'", _bounds("crash_rate")
+        "crashRate", 0, _bounds("crash_rate")
     ),
-    "stg_play_console_anr_rate": _health("anrRate", "l_linestatus = 'F'", _bounds("anr_rate")),
+    "stg_play_console_anr_rate": _health("anrRate", 2, _bounds("anr_rate")),
     "stg_play_console_stuck_bg_wakelock_rate": _health(
-        "stuckBgWakelockRate", "l_returnflag = 'A'"
+        "stuckBgWakelockRate", 4
     ),
     "stg_play_console_excessive_wakeup_rate": _health(
-        "excessiveWakeupRate", "l_returnflag = 'R'"
+        "excessiveWakeupRate", 5
     ),
     "stg_play_console_error_count": _latest(
         f"""SELECT day AS date, 'DAILY' AS aggregation_period,
@@ -222,8 +222,8 @@ STAGING: dict[str, str] = {
         "date",
     ),
     "stg_play_console_gcs_crashes": _latest(
-        f"""SELECT day AS date, 'app' AS package_name, qty AS daily_crashes,
-        line AS daily_anrs, {LINE_LOAD} FROM ({LINEITEM}) WHERE l_returnflag = 'R'""",
+        f"""SELECT day + 30 AS date, 'app' AS package_name, qty AS daily_crashes,
+        line AS daily_anrs, {LINE_LOAD} FROM ({LINEITEM})""",
         "date",
     ),
     "stg_play_console_gcs_store_performance": _latest(

@@ -11,22 +11,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-
-_SPLITS: dict[tuple[str, str], int] = {}
+from appkpi.operators.latest import LANDED_ROW
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A generated table, spread over the cores if its file gives fewer splits than that.
-
-    The small test files have one row group each. A table of many files is left as it is.
-    """
-    path = f"{sf_dir}/{name}.parquet"
-    df = spark.read.parquet(path)
-    cores = spark.sparkContext.defaultParallelism
-    known = (spark.sparkContext.applicationId, path)
-    if known not in _SPLITS:
-        _SPLITS[known] = df.rdd.getNumPartitions()
-    return df if _SPLITS[known] >= cores else df.repartition(cores)
+    """A generated table, as its files give it."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _text(**columns: str) -> list[str]:
@@ -246,11 +236,14 @@ def _rates(rate: str, bounds: bool) -> list[str]:
     return _text(**own)
 
 
-def _health(rate: str, rows: str, bounds: bool = False) -> Callable[..., DataFrame]:
+def _health(rate: str, shift: int, bounds: bool = False) -> Callable[..., DataFrame]:
+    """One rate per line; shifted versions, so that each report has keys the others lack."""
+
     def build(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return lineitem(spark, sf_dir).filter(rows).selectExpr(
+        return lineitem(spark, sf_dir).selectExpr(
             *_text(date="day", aggregation_period="'DAILY'", metric_set=f"'{rate}MetricSet'"),
-            *_text(versionCode="line", deviceModel="device", apiLevel="api", countryCode="country"),
+            *_text(versionCode=f"line + {shift}", deviceModel="device", apiLevel="api"),
+            *_text(countryCode="country"),
             *_rates(rate, bounds),
             *_load("ingested", "run", "day", "day"),
         )
@@ -325,8 +318,9 @@ def raw_gcs_installs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_gcs_crashes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lineitem(spark, sf_dir).filter("l_returnflag = 'R'").selectExpr(
-        *_text(date="day", package_name="'app'", daily_crashes="qty", daily_anrs="line"),
+    """Thirty days later than the other files, so that each has days the others lack."""
+    return lineitem(spark, sf_dir).selectExpr(
+        *_text(date="date_add(day, 30)", package_name="'app'", daily_crashes="qty", daily_anrs="line"),
         *_load("ingested", "run", "day", "day"),
     )
 
@@ -466,10 +460,10 @@ RAW: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "appsflyer_raw.raw_campaign_performance": raw_campaign_performance,
     "moengage_raw.raw_campaigns": raw_campaigns,
     "moengage_raw.raw_campaign_stats": raw_campaign_stats,
-    "play_raw.raw_crash_rate": _health("crashRate", "l_linestatus = 'O'", True),
-    "play_raw.raw_anr_rate": _health("anrRate", "l_linestatus = 'F'", True),
-    "play_raw.raw_stuck_bg_wakelock_rate": _health("stuckBgWakelockRate", "l_returnflag = 'A'"),
-    "play_raw.raw_excessive_wakeup_rate": _health("excessiveWakeupRate", "l_returnflag = 'R'"),
+    "play_raw.raw_crash_rate": _health("crashRate", 0, True),
+    "play_raw.raw_anr_rate": _health("anrRate", 2, True),
+    "play_raw.raw_stuck_bg_wakelock_rate": _health("stuckBgWakelockRate", 4),
+    "play_raw.raw_excessive_wakeup_rate": _health("excessiveWakeupRate", 5),
     "play_raw.raw_error_count": raw_error_count,
     "play_raw.raw_slow_start_rate": raw_slow_start_rate,
     "play_raw.raw_reviews": raw_android_reviews,
@@ -496,5 +490,6 @@ class RawTables(dict):
         return name in RAW
 
     def __missing__(self, name: str) -> DataFrame:
-        self[name] = self._make(name)
+        # As landing numbers the rows it writes; here the run tells them apart.
+        self[name] = self._make(name).selectExpr("*", f"xxhash64(_run_id) AS {LANDED_ROW}")
         return self[name]
