@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 BLOCK_ROWS = 2000
 
 # Texts may be long, so batches leave a task after this many bytes, however few rows they have.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
+BATCH_ROWS = 500
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -38,6 +39,15 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def in_small_batches(df: DataFrame) -> DataFrame:
+    """``df``, in a session that hands rows to Python tasks some hundred at a time.
+
+    Texts may be long: Spark's own batches of 10,000 rows would hold tens of MB, or thousands.
+    """
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    return df
+
+
 def map_rows(
     df: DataFrame,
     columns: list[str],
@@ -50,7 +60,7 @@ def map_rows(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from pack(rows(unpack(batches)), target)
 
-    return df.select(*columns).mapInArrow(run, schema)
+    return in_small_batches(df).select(*columns).mapInArrow(run, schema)
 
 
 def unpack(batches: Iterable[pa.RecordBatch], step: int = 64) -> Iterator[tuple]:
@@ -140,7 +150,7 @@ def numbered(df: DataFrame, order: list[Column], size: Column) -> DataFrame:
             if n:
                 place, inside = place + n, int(ends[-1])
 
-    placed = settle(ranged.mapInArrow(run, schema), "placed")
+    placed = settle(in_small_batches(ranged).mapInArrow(run, schema), "placed")
     return placed.join(
         F.broadcast(part_starts(placed.groupBy("part").agg(F.sum("_size").alias("total")))), "part"
     ).select(*names, "part", "place", (F.col("inside") + F.col("base")).alias("before"))

@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from appkpi.llm.common import map_rows
+from appkpi.llm.common import in_small_batches, map_rows
 from appkpi.llm.labelled import in_one_task, labelled_sample
 from appkpi.llm.words import hash_words
 
@@ -209,4 +209,4 @@ def keep_good(docs: DataFrame, model: Model) -> DataFrame:
             kept = [verdict(texts[i].as_py(), weights.value)[-1] for i in range(batch.num_rows)]
             yield batch.filter(pa.array(kept, pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return in_small_batches(docs).mapInArrow(run, docs.schema)

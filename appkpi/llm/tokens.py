@@ -7,7 +7,7 @@ import re
 from functools import lru_cache
 
 # Words a worker remembers; beyond it the cache starts anew, which changes no result.
-CACHED_WORDS = 600_000
+CACHED_WORDS = 400_000
 
 # Letters, numbers and blanks for which every library agrees on case, composition and classes.
 # A text with any other sign is given to the tokenizer whole.

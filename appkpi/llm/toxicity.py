@@ -15,7 +15,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from appkpi.llm.common import map_rows
+from appkpi.llm.common import in_small_batches, map_rows
 from appkpi.llm.labelled import in_one_task, labelled_sample
 from appkpi.llm.words import hash_words_and_starts, mix
 
@@ -280,4 +280,4 @@ def keep_clean(docs: DataFrame, model: Model) -> DataFrame:
             ]
             yield batch.filter(pa.array(kept, pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return in_small_batches(docs).mapInArrow(run, docs.schema)
