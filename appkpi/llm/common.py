@@ -44,7 +44,9 @@ def in_small_batches(df: DataFrame) -> DataFrame:
 
     Texts may be long: Spark's own batches of 10,000 rows would hold tens of MB, or thousands.
     """
-    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    conf = df.sparkSession.conf
+    conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return df
 
 
