@@ -24,6 +24,8 @@ DIMENSIONS = 8
 WIDTHS = (1, 2, 3)
 FILTERS = 8
 EPOCHS = 5
+# Small samples are gone over more often.
+LEAST_VISITS = 6000
 STEP = 0.05
 # Words are hidden with this chance while training.
 HIDDEN_SHARE = 0.3
@@ -150,7 +152,7 @@ def fit(rows: Iterator[tuple[str, str, int]]) -> Model:
     # Squared slopes so far, by which each weight's step is divided.
     past = [np.full_like(a, 1e-4) for a in shape]
     past_bias = 1e-4
-    for _ in range(EPOCHS):
+    for _ in range(max(EPOCHS, LEAST_VISITS // len(seen))):
         for i in random.permutation(len(seen)):
             at, _, y = seen[i]
             # Some words are hidden at every visit, so that no text hangs on one of them.
