@@ -168,15 +168,23 @@ def part_starts(totals: DataFrame) -> DataFrame:
     )
 
 
-def in_blocks(df: DataFrame, keys: list[str], spread: Column, limit: int = BLOCK_ROWS) -> DataFrame:
+def in_blocks(
+    df: DataFrame, keys: list[str], spread: Column, limit: int = BLOCK_ROWS, weight: Column | None = None
+) -> DataFrame:
     """Rows of keys that occur twice or more, with the cells in which they meet.
 
     A key of up to ``limit`` rows has the one cell (0, 0). A larger one is dealt over b blocks by
     ``spread``; its rows go to the b cells of their block, so that any two rows meet in the cell
-    of their two blocks, and nowhere else. ``block`` is the row's own.
+    of their two blocks, and nowhere else. ``block`` is the row's own. ``weight`` is what a row counts
+    towards ``limit``, one if not given.
     """
+    total = F.count("*") if weight is None else F.sum(weight)
     counts = settle(
-        df.groupBy(*keys).agg(F.count("*").alias("_n")).where("_n > 1"), "key-counts"
+        df.groupBy(*keys)
+        .agg(F.count("*").alias("_rows"), total.alias("_n"))
+        .where("_rows > 1")
+        .drop("_rows"),
+        "key-counts",
     )
     blocks = F.ceil(F.col("_n") / limit).cast("int")
     return (

@@ -1,0 +1,235 @@
+"""Near copies by Jaccard similarity of word shingles: MinHash bands find pairs, the sets decide.
+
+Texts are compared as sets of five-word shingles, and two that share ``LEAST`` of their union or
+more are linked. Pairs are looked for by MinHash: ``BANDS`` keys of ``BAND_ROWS`` minima each, of
+which a pair at Jaccard 0.8 shares none with chance (1 - 0.8**4)**20 = 2.6e-5. No pair is linked
+unless its whole sets say so. Texts with equal sets are one row in all of this. Then
+
+- every member of a bucket is compared with the bucket's smallest, one pair a member, and what
+  that links becomes components;
+- buckets of three or more that still hold several components, one each of those with the same
+  members, are compared pair by pair in blocks, but for pairs that are in one component already.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from appkpi.llm.common import BLOCK_ROWS, Forest, by_group, components, in_blocks, map_rows, settle
+from appkpi.llm.words import hash_words, mix
+
+SHINGLE_WORDS = 5
+LEAST = 0.8
+BANDS = 20
+BAND_ROWS = 4
+# Bytes of sets that are compared in one piece, where sets are large.
+BLOCK_BYTES = 8 << 20
+# Shingles whose minima are taken in one numpy pass.
+PASS_SHINGLES = 2048
+# Minima that are compared before sets are: a pair at 0.8 agrees in fewer than half with chance 1e-8.
+SKETCH = 64
+LINKS = "a long, b long"
+
+
+def shingles(text: str | None, words: int = SHINGLE_WORDS):
+    """The distinct shingles of a text in lower case (A-Z), as sorted 64-bit hashes.
+
+    A text of fewer words than a shingle has one, the whole sequence; one without words has none.
+    """
+    import numpy as np
+
+    own = np.asarray(hash_words((text or "").encode().lower()))
+    if not len(own):
+        return np.zeros(0, np.uint64)
+    size = min(words, len(own))
+    n = len(own) - size + 1
+    run = np.full(n, size, np.uint64)
+    for k in range(size):
+        run = mix(run * np.uint64(0x9E3779B97F4A7C15) + own[k : k + n])
+    return np.unique(run)
+
+
+def minima(found, count: int):
+    """The least of each of ``count`` hashes over a set of shingles."""
+    import numpy as np
+
+    steps = np.arange(1, count + 1, dtype=np.uint64)
+    flip, factor = mix(steps), mix(steps + np.uint64(1 << 32)) | np.uint64(1)
+    least = np.full(count, 2**64 - 1, np.uint64)
+    for at in range(0, len(found), PASS_SHINGLES):
+        part = (found[at : at + PASS_SHINGLES, None] ^ flip) * factor
+        np.minimum(least, part.min(axis=0), out=least)
+    return least
+
+
+def bands(found):
+    """``BANDS`` keys of a set, each from ``BAND_ROWS`` minima and the band's number."""
+    import numpy as np
+
+    rows = minima(found, BANDS * BAND_ROWS).reshape(BANDS, BAND_ROWS)
+    key = np.arange(BANDS, dtype=np.uint64)
+    for k in range(BAND_ROWS):
+        key = mix(key * np.uint64(0x9E3779B97F4A7C15) + rows[:, k])
+    return key.view(np.int64)
+
+
+def alike(a, b, least: float = LEAST) -> bool:
+    """Whether two sorted sets share ``least`` of their union or more."""
+    import numpy as np
+
+    both = np.concatenate((a, b))
+    both.sort(kind="stable")
+    common = int(np.count_nonzero(both[1:] == both[:-1]))
+    return common >= least * (len(both) - common)
+
+
+def link_block(sets: list, roots: list[int]) -> list[tuple[int, int]]:
+    """A spanning forest of the links among ``sets`` that ``roots`` does not hold, as positions."""
+    import numpy as np
+
+    forest, n = Forest(len(sets)), len(sets)
+    _, first, same = np.unique(np.array(roots, np.int64), return_index=True, return_inverse=True)
+    forest.add(first[same], np.arange(n))
+    forest.joined.clear()
+    sizes = np.array([len(s) for s in sets])
+    sketch = np.array([minima(s, SKETCH) for s in sets])
+    for shift in range(1, n):
+        i = np.flatnonzero(forest.label[:-shift] != forest.label[shift:])
+        small, large = np.minimum(sizes[i], sizes[i + shift]), np.maximum(sizes[i], sizes[i + shift])
+        i = i[small >= LEAST * large]
+        if len(i):
+            i = i[2 * (sketch[i] == sketch[i + shift]).sum(axis=1) >= SKETCH]
+        for k in i.tolist():
+            # Trees grow while the shift goes on.
+            if forest.label[k] != forest.label[k + shift] and alike(sets[k], sets[k + shift]):
+                forest.add(np.array([k]), np.array([k + shift]))
+    return forest.joined
+
+
+def links(met: DataFrame, keys: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links that connect all sets of LEAST or more that share a bucket.
+
+    ``met``: key, sid of all buckets of two or more; ``keys``: key, n, centre, members of one bucket
+    of those with the same members; ``sets``: sid, shingles.
+    """
+    import numpy as np
+
+    pairs = (
+        met.join(keys, "key").where("sid <> centre")
+        .select(F.col("centre").alias("a"), F.col("sid").alias("b")).distinct()
+    )
+    both = pairs.join(sets.toDF("b", "set_b"), "b").join(sets.toDF("a", "set_a"), "a")
+
+    def check(found: Iterator[tuple]) -> Iterator[tuple]:
+        for a, b, x, y in found:
+            if alike(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)):
+                yield a, b
+
+    stars = settle(map_rows(both, ["a", "b", "set_a", "set_b"], LINKS, check), "star-links")
+    # A bucket of two is settled with its star.
+    rooted = settle(
+        met.join(keys.where("n > 2").select("key"), "key")
+        .join(components(stars), F.col("sid") == F.col("node"), "left")
+        .select("key", "sid", F.coalesce("root", "sid").alias("root")),
+        "rooted",
+    )
+    mixed = settle(
+        rooted.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y"))
+        .where("x <> y").select("key"),
+        "mixed-buckets",
+    )
+    open_rows = settle(
+        rooted.join(mixed, "key").join(sets.select("sid", F.octet_length("shingles").alias("size")), "sid"),
+        "open-rows",
+    )
+    # Sets of more bytes than a block should hold count as several rows of it.
+    weight = F.ceil(F.col("size") * BLOCK_ROWS / F.lit(BLOCK_BYTES)).cast("int")
+    cells = in_blocks(open_rows, ["key"], F.xxhash64("sid"), weight=F.greatest(weight, F.lit(1)))
+    cells = cells.where("cell_a < cell_b or (cell_a = 0 and block = 0)")
+    group = ["key", "cell_a", "cell_b"]
+    placed = (
+        cells.select(*group, "sid", "root").join(sets, "sid").repartition(*group).sortWithinPartitions(*group)
+    )
+
+    def compare(found: Iterator[tuple]) -> Iterator[tuple]:
+        for _, members in by_group(found, 3):
+            own = [np.frombuffer(m[2], np.uint64) for m in members]
+            for i, j in link_block(own, [m[1] for m in members]):
+                yield members[i][0], members[j][0]
+
+    return stars.unionByName(map_rows(placed, [*group, "sid", "root", "shingles"], LINKS, compare))
+
+
+def keep_first(docs: DataFrame) -> DataFrame:
+    """``docs`` with one row of each component left, all columns unchanged.
+
+    The row with the smallest doc_id stays, of rows that share it the one with the smallest hash of
+    the text. Null ids count as larger than any. Texts without words are one component.
+    """
+    rows = docs.select(
+        F.col("doc_id").alias("id"),
+        F.xxhash64("text").alias("h"),
+        "text",
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+    )
+
+    def digest(found: Iterator[tuple]) -> Iterator[tuple]:
+        from xxhash import xxh64_intdigest
+
+        for i, h, text in found:
+            own = shingles(text)
+            yield i, h, xxh64_intdigest(own.tobytes()) - 2**63, bands(own).tolist()
+
+    prints = settle(
+        map_rows(rows, ["id", "h", "text"], "id long, h long, sid long, bands array<long>", digest), "bands"
+    )
+    rank = F.struct(F.col("id").isNull().alias("none"), "id", "h")
+    distinct = settle(
+        prints.groupBy("sid").agg(F.min(rank).alias("best"), F.first("bands").alias("bands")), "distinct-sets"
+    )
+    keyed = distinct.select("sid", F.explode("bands").alias("key"))
+    repeated = settle(
+        keyed.groupBy("key")
+        .agg(
+            F.count("*").alias("n"), F.min("sid").alias("centre"),
+            F.bit_xor(F.xxhash64("sid")).alias("members"), F.max("sid").alias("last"),
+        )
+        .where("n > 1"),
+        "repeated-keys",
+    )
+    # Buckets with the same members are one.
+    keys = settle(
+        repeated.groupBy("n", "members", "centre", "last").agg(F.min("key").alias("key")), "bucket-keys"
+    )
+    met = settle(keyed.join(keys.select("key"), "key").select("key", "sid"), "met")
+    asked = met.select("sid").distinct().join(distinct, "sid").select(
+        "sid", F.col("best.id").alias("best_id"), F.col("best.h").alias("best_h")
+    )
+    texts = (
+        rows.select("id", "h", "text")
+        .join(asked.hint("merge"), F.col("id").eqNullSafe(F.col("best_id")) & (F.col("h") == F.col("best_h")))
+        .dropDuplicates(["id", "h"])
+    )
+    sets = settle(
+        map_rows(
+            texts, ["sid", "text"], "sid long, shingles binary",
+            lambda found: ((sid, shingles(text).tobytes()) for sid, text in found),
+        ),
+        "shingle-sets",
+    )
+    joined = components(links(met, keys, sets))
+    best = settle(
+        distinct.join(joined, distinct.sid == joined.node, "left")
+        .groupBy(F.coalesce("root", "sid").alias("root"))
+        .agg(F.min("best").alias("best"))
+        .select(F.col("best.id").alias("best_id"), F.col("best.h").alias("best_h")),
+        "kept-rows",
+    )
+    chosen = rows.drop("text").join(
+        best.hint("merge"), rows.id.eqNullSafe(best.best_id) & (rows.h == best.best_h), "left_semi"
+    )
+    # Rows equal in id and text are one document.
+    return chosen.dropDuplicates(["id", "h"]).select("row.*")

@@ -1,0 +1,93 @@
+"""Near copies by word shingles against brute-force Jaccard."""
+
+from __future__ import annotations
+
+import random
+import re
+from itertools import combinations
+
+import pytest
+from rows import documents, odd_rows  # noqa: F401
+from test_pairs import roots
+
+import corpus_pipeline
+from appkpi.llm import common, shingles, simhash
+
+
+def plain_set(text):
+    words = re.findall(r"[^\x20\x09-\x0d]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    return frozenset(tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))) if words else frozenset()
+
+
+def jaccard(a, b):
+    return len(a & b) / len(a | b) if a | b else 1.0
+
+
+def kept_by_brute_force(rows):
+    sets = {i: plain_set(t) for i, t in rows}
+    links = [(a, b) for a, b in combinations(sets, 2) if jaccard(sets[a], sets[b]) >= 0.8]
+    return set(roots(sets, links).values()), links, sets
+
+
+@pytest.fixture(scope="module")
+def copies():
+    """Groups of copies with a few words changed, so that many pairs lie on either side of 0.8."""
+    rng = random.Random(11)
+    rows, vocabulary = [], [f"w{i}" for i in range(4000)]
+    for _ in range(60):
+        words = rng.choices(vocabulary, k=rng.randint(60, 300))
+        for _ in range(rng.randint(1, 8)):
+            own = list(words)
+            for _ in range(rng.randint(0, max(1, len(own) // 50))):
+                own[rng.randrange(len(own))] = rng.choice(vocabulary)
+            rows.append((len(rows) * 7 % 997, " ".join(own)))
+    return rows
+
+
+def test_pipeline_stage_catches_all_pairs_at_jaccard_08(spark, documents, copies):
+    kept, links, sets = kept_by_brute_force(copies)
+    prints = {i: simhash.fingerprint(t) & (2**64 - 1) for i, t in copies}
+    # Most of these pairs are beyond the fingerprints of op1.
+    far = [(a, b) for a, b in links if (prints[a] ^ prints[b]).bit_count() > 4]
+    assert 2 * len(far) > len(links) and any(0.6 < jaccard(sets[a], sets[b]) < 0.8 for a, b in combinations(sets, 2))
+    docs = documents(copies)
+    found = corpus_pipeline.simhash_dedup(spark, docs, "")
+    assert found.columns == docs.columns
+    assert sorted(r.doc_id for r in found.collect()) == sorted(kept)
+
+
+def test_blocks_link_the_same(documents, copies, monkeypatch):
+    monkeypatch.setattr(
+        shingles, "in_blocks",
+        lambda df, keys, spread, weight: common.in_blocks(df, keys, spread, 3, weight),
+    )
+    found = shingles.keep_first(documents(copies)).collect()
+    assert {r.doc_id for r in found} == kept_by_brute_force(copies)[0]
+
+
+def test_block_links_are_those_of_all_pairs(copies):
+    sets = [shingles.shingles(t) for _, t in copies]
+    wanted = [(i, j) for i, j in combinations(range(len(sets)), 2) if jaccard(plain_set(copies[i][1]), plain_set(copies[j][1])) >= 0.8]
+    assert roots(range(len(sets)), shingles.link_block(sets, list(range(len(sets))))) == roots(range(len(sets)), wanted)
+    given = roots(range(len(sets)), wanted)
+    assert shingles.link_block(sets, [given[i] for i in range(len(sets))]) == []
+
+
+def test_recall_of_the_bands_at_the_limit():
+    import numpy as np
+
+    rng, missed = np.random.default_rng(4), 0
+    for _ in range(3000):
+        own = rng.integers(0, 2**63, 100).astype(np.uint64)
+        # 80 of 100 are shared, 10 are of either.
+        missed += not (shingles.bands(own[:90]) == shingles.bands(np.delete(own, slice(0, 10)))).any()
+    assert missed <= 3
+
+
+def test_shingles_of_odd_rows(documents, odd_rows):
+    docs = documents(odd_rows).selectExpr("*", "lang sid", "lang key", "lang root")
+    found = shingles.keep_first(docs).collect()
+    assert found[0].asDict().keys() == set(docs.columns)
+    # Of the texts without words the first stays; rows equal in id and text are one.
+    assert sorted((r.doc_id for r in found), key=str) == [1, 4, 5, 6, 7, None]
+    assert shingles.keep_first(docs.limit(0)).count() == 0
