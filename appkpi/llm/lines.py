@@ -2,8 +2,11 @@
 
 A document's lines that hold more than spaces are read as overlapping windows of three. A window
 found more than once in the corpus, across documents or inside one, keeps its first occurrence,
-by doc_id and place; the lines that later occurrences cover are merged and removed, except where
-they belong to a first occurrence, which always stays whole.
+by doc_id and place; the lines that later occurrences cover are merged and removed. Two rules:
+
+- ``whole_firsts``, that of op10_line_dedup and its SQL: lines of any window's first occurrence stay;
+- without it, that of the pipeline: only what a later occurrence shares with the first one of the
+  same window stays. A line goes only where an equal one stands earlier, so one of each stays.
 """
 
 from __future__ import annotations
@@ -48,7 +51,7 @@ def windows(hashed: str, size: int = WINDOW_LINES) -> Column:
     return F.filter(F.transform(zipped, window), lambda w: w["last"].isNotNull())
 
 
-def dedup_lines(docs: DataFrame, size: int = WINDOW_LINES) -> DataFrame:
+def dedup_lines(docs: DataFrame, size: int = WINDOW_LINES, whole_firsts: bool = True) -> DataFrame:
     """``docs`` with repeated passages cut from ``text``, and ``lines_removed``.
 
     One row per row. A document of fewer than three such lines, an empty and a null text stay as
@@ -68,7 +71,7 @@ def dedup_lines(docs: DataFrame, size: int = WINDOW_LINES) -> DataFrame:
         .select("id", "h", "w.first", "w.last", "w.a", "w.b"),
         "line-windows",
     )
-    place = F.struct("id", "h", "first")
+    place = F.struct("id", "h", "first", "last")
     repeated = settle(
         found.groupBy("a", "b")
         .agg(F.min(place).alias("earliest"), F.count("*").alias("n"))
@@ -78,12 +81,19 @@ def dedup_lines(docs: DataFrame, size: int = WINDOW_LINES) -> DataFrame:
     )
     covered = F.sequence("first", "last")
     is_first = place.eqNullSafe(F.col("earliest"))
+    if whole_firsts:
+        stays, goes = covered, covered
+    else:
+        # A window may overlap its own first occurrence, which begins earlier.
+        same = F.struct("id", "h").eqNullSafe(F.struct("earliest.id", "earliest.h"))
+        stays = F.lit(None).cast("array<int>")
+        goes = F.when(same, F.sequence(F.greatest("first", F.col("earliest.last") + 1), "last")).otherwise(covered)
     cover = settle(
         found.join(repeated, ["a", "b"])
         .groupBy("id", "h")
         .agg(
-            F.flatten(F.collect_list(F.when(is_first, covered))).alias("stays"),
-            F.flatten(F.collect_list(F.when(~is_first, covered))).alias("goes"),
+            F.flatten(F.collect_list(F.when(is_first, stays))).alias("stays"),
+            F.flatten(F.collect_list(F.when(~is_first, goes))).alias("goes"),
         )
         .where("size(goes) > 0")
         .select(F.col("id").alias("cid"), F.col("h").alias("ch"),
