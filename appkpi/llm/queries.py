@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-import os
+import atexit
+import shutil
 import tempfile
 import zipfile
 from collections.abc import Callable
@@ -12,7 +13,22 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from appkpi.llm import bpe, embeddings, lines, lm, packing, quality, simhash, token_files, toxicity, warc
+from appkpi.llm import (
+    bpe,
+    collocations,
+    embeddings,
+    lines,
+    lm,
+    merkle,
+    packing,
+    quality,
+    simhash,
+    sql,
+    suffixes,
+    token_files,
+    toxicity,
+    warc,
+)
 from appkpi.llm.common import new_folder, read_table
 from appkpi.llm.tokens import vocabulary_path
 
@@ -24,21 +40,24 @@ BYTE_VOCABULARY = "byte_bpe_50k.json"
 WORD_VOCABULARY = "word_bpe_49k.json"
 
 
+_shipped: set[str] = set()
+
+
 def ship(spark: SparkSession) -> None:
-    """Gives the package to the tasks where they don't find it by themselves."""
-    root = Path(__file__).resolve().parents[2]
-    paths = [Path(p).resolve() for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p]
-    sent = spark.conf.get("spark.appkpi.shipped", "")
-    if root in [*paths, Path.cwd()] or sent == spark.sparkContext.applicationId:
+    """Gives the package to the tasks, once per application: executors need not share the driver's folders."""
+    application = spark.sparkContext.applicationId
+    if application in _shipped:
         return
-    # Spark copies the file to the executors itself.
-    with tempfile.TemporaryDirectory() as folder:
-        package = Path(folder) / "appkpi.zip"
-        with zipfile.ZipFile(package, "w") as z:
-            for source in sorted((root / "appkpi").rglob("*.py")):
-                z.write(source, source.relative_to(root))
-        spark.sparkContext.addPyFile(str(package))
-    spark.conf.set("spark.appkpi.shipped", spark.sparkContext.applicationId)
+    root = Path(__file__).resolve().parents[2]
+    # The driver hands the file to its executors, also to those that come later, so it stays until the end.
+    folder = tempfile.mkdtemp()
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    package = Path(folder) / "appkpi.zip"
+    with zipfile.ZipFile(package, "w") as z:
+        for source in sorted((root / "appkpi").rglob("*.py")):
+            z.write(source, source.relative_to(root))
+    spark.sparkContext.addPyFile(str(package))
+    _shipped.add(application)
 
 
 def query(sql: str | None = None) -> Callable[[Query], Query]:
@@ -145,6 +164,32 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.dedup_lines(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+@query(sql.REPEATS)
+def op11_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = suffixes.cut_repeats(read_table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return cut.select(
+        "doc_id",
+        "n_bytes",
+        removed.alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
+@query(sql.VERIFY)
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # What is found later: half of the documents have lost their line ends.
+    found = F.when(fold(2) == 0, F.replace("text", F.lit("\n"), F.lit("")))
+    return merkle.verify(read_table(spark, sf_dir, "documents"), found).drop("source")
+
+
+@query(sql.COLLOCATIONS.format(least=collocations.LEAST, top=collocations.TOP))
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = collocations.collocations(read_table(spark, sf_dir, "documents"))
+    return collocations.top(found).select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+
+
 @query()
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     from corpus_pipeline import run
