@@ -9,20 +9,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from appkpi.llm import lines, packing, quality, shingles, toxicity
+from appkpi.llm import lines, packing, quality, simhash, toxicity
 from appkpi.llm.common import read_table, settle
 from appkpi.llm.queries import WORD_VOCABULARY, ship
 from appkpi.llm.tokens import vocabulary_path
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the fixed limits and the classifier."""
+    """Documents that pass the fixed limits and the classifier.
+
+    A null or empty text has too few words and goes. Repeated rows stay or go together, whatever their id.
+    """
     ship(spark)
     return quality.keep_good(docs, quality.train(docs, read_table(spark, sf_dir, "labels")))
 
 
 def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier does not flag."""
+    """Documents that the classifier does not flag.
+
+    A null text is scored as an empty one, a null language by the threshold of all. Repeated rows stay or
+    go together.
+    """
     ship(spark)
     return toxicity.keep_clean(docs, toxicity.train(docs, read_table(spark, sf_dir, "labels")))
 
@@ -30,11 +37,10 @@ def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the passages that stand earlier; ``n_chars`` follows the text.
 
-    Every line that a later occurrence covers goes, also where op10_line_dedup spares it because it
-    lies in the first occurrence of another window.
+    A null text stays null. Rows equal in doc_id and text lose the same lines.
     """
     names = docs.columns
-    cut = lines.dedup_lines(docs, whole_firsts=False)
+    cut = lines.dedup_lines(docs)
     if "n_chars" in names:
         cut = cut.withColumn(
             "n_chars",
@@ -46,17 +52,19 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: the one with the smallest id.
+    """One document of each group of near copies by the operator of op1_simhash: the one with the smallest id.
 
-    Near copies share 0.8 or more of their five-word shingles. That is beyond the fingerprints of
-    op1_simhash, whose 4 of 64 bits stand for about 0.95.
+    Null texts and those without words are one group; rows equal in id and text are one document.
     """
     ship(spark)
-    return shingles.keep_first(docs)
+    return simhash.keep_first(docs)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of sequences of 2048 token ids, along the curve."""
+    """Pieces of sequences of 2048 token ids, along the curve.
+
+    A null text is an empty one and has the end id alone; rows with one id are packed each.
+    """
     ship(spark)
     return packing.piece_digests(packing.pack(docs, vocabulary_path(WORD_VOCABULARY)))
 
