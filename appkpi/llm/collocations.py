@@ -305,6 +305,14 @@ def scan(stream: DataFrame, words: Column) -> DataFrame:
     return map_rows(placed, ["lang", "words", "f", "part"], SCANNED, run)
 
 
+def lowest_cut(a: int, firsts: list[int], lasts: list[int], n: int, size: int) -> tuple[int, int]:
+    """The least floor(1000 a n / (l r)) over the cuts of a phrase of ``size`` words, and the earliest such cut.
+
+    Whole numbers of any size; ``firsts`` and ``lasts`` are the counts of its beginnings and ends, shortest first.
+    """
+    return min((1000 * a * n // (firsts[k - 1] * lasts[size - k - 1]), k) for k in range(1, size))
+
+
 def collocations(
     docs: DataFrame, least: int = LEAST, longest: int = LONGEST, chunk_bytes: int = CHUNK_BYTES
 ) -> DataFrame:
@@ -336,11 +344,7 @@ def collocations(
 
     def score(found: Iterator[tuple]) -> Iterator[tuple]:
         for lg, own, a, firsts, lasts, n in found:
-            # Whole numbers of any size. A tie goes to the earliest cut.
-            cuts = (
-                (1000 * a * n // (firsts[k - 1] * lasts[len(own) - k - 1]), k) for k in range(1, len(own))
-            )
-            value, k = min(cuts)
+            value, k = lowest_cut(a, firsts, lasts, n, len(own))
             yield lg, own, " ".join(own), a, firsts[k - 1], lasts[len(own) - k - 1], n, value, k
 
     schema = "lang string, words array<string>, phrase string, a long, l long, r long, n long, score long, cut int"

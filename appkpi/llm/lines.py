@@ -2,11 +2,9 @@
 
 A document's lines that hold more than spaces are read as overlapping windows of three. A window
 found more than once in the corpus, across documents or inside one, keeps its first occurrence,
-by doc_id and place; the lines that later occurrences cover are merged and removed. Two rules:
-
-- ``whole_firsts``, that of op10_line_dedup and its SQL: lines of any window's first occurrence stay;
-- without it, that of the pipeline: only what a later occurrence shares with the first one of the
-  same window stays. A line goes only where an equal one stands earlier, so one of each stays.
+by doc_id and place; the lines that later occurrences cover are merged and removed. A later occurrence
+in the same document may overlap the first one: the lines they share stay. A line goes only where an
+equal one stands earlier, so one of each stays.
 """
 
 from __future__ import annotations
@@ -51,7 +49,7 @@ def windows(hashed: str, size: int = WINDOW_LINES) -> Column:
     return F.filter(F.transform(zipped, window), lambda w: w["last"].isNotNull())
 
 
-def dedup_lines(docs: DataFrame, size: int = WINDOW_LINES, whole_firsts: bool = True) -> DataFrame:
+def dedup_lines(docs: DataFrame, size: int = WINDOW_LINES) -> DataFrame:
     """``docs`` with repeated passages cut from ``text``, and ``lines_removed``.
 
     One row per row. A document of fewer than three such lines, an empty and a null text stay as
@@ -79,25 +77,16 @@ def dedup_lines(docs: DataFrame, size: int = WINDOW_LINES, whole_firsts: bool =
         .drop("n"),
         "repeated-windows",
     )
-    covered = F.sequence("first", "last")
     is_first = place.eqNullSafe(F.col("earliest"))
-    if whole_firsts:
-        stays, goes = covered, covered
-    else:
-        # A window may overlap its own first occurrence, which begins earlier.
-        same = F.struct("id", "h").eqNullSafe(F.struct("earliest.id", "earliest.h"))
-        stays = F.lit(None).cast("array<int>")
-        goes = F.when(same, F.sequence(F.greatest("first", F.col("earliest.last") + 1), "last")).otherwise(covered)
+    # A window may overlap its own first occurrence, which begins earlier.
+    same = F.struct("id", "h").eqNullSafe(F.struct("earliest.id", "earliest.h"))
+    since = F.when(same, F.greatest("first", F.col("earliest.last") + 1)).otherwise(F.col("first"))
     cover = settle(
         found.join(repeated, ["a", "b"])
+        .where(~is_first)
         .groupBy("id", "h")
-        .agg(
-            F.flatten(F.collect_list(F.when(is_first, stays))).alias("stays"),
-            F.flatten(F.collect_list(F.when(~is_first, goes))).alias("goes"),
-        )
-        .where("size(goes) > 0")
-        .select(F.col("id").alias("cid"), F.col("h").alias("ch"),
-                F.array_except("goes", "stays").alias("gone")),
+        .agg(F.array_distinct(F.flatten(F.collect_list(F.sequence(since, "last")))).alias("gone"))
+        .select(F.col("id").alias("cid"), F.col("h").alias("ch"), "gone"),
         "covered-lines",
     )
     # Columns of their own as well: a lambda makes what it refers to anew for every element.
@@ -130,12 +119,11 @@ WITH line AS (
     lead(line, 2) OVER w AS l3
   FROM line WHERE trim(line, ' ') <> '' WINDOW w AS (PARTITION BY doc_id ORDER BY pos)
 ), placed AS (
-  SELECT doc_id, a, z, count(*) OVER same AS n, row_number() OVER (same ORDER BY doc_id, a) AS k
-  FROM run WHERE z IS NOT NULL WINDOW same AS (PARTITION BY l1, l2, l3)
-), cover AS (
-  SELECT doc_id, unnest(range(a, z + 1)) AS pos, k > 1 AS later FROM placed WHERE n > 1
+  SELECT doc_id, a, z, row_number() OVER same AS k, first_value(doc_id) OVER same AS d, first_value(z) OVER same AS e
+  FROM run WHERE z IS NOT NULL WINDOW same AS (PARTITION BY l1, l2, l3 ORDER BY doc_id, a)
 ), gone AS (
-  SELECT doc_id, pos FROM cover GROUP BY doc_id, pos HAVING bool_and(later)
+  SELECT DISTINCT doc_id, unnest(range(CASE WHEN doc_id = d THEN greatest(a, e + 1) ELSE a END, z + 1)) AS pos
+  FROM placed WHERE k > 1
 ), cut AS (
   SELECT doc_id, count(g.pos) AS lines_removed,
     coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (g.pos IS NULL), '') AS text

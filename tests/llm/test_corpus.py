@@ -299,13 +299,12 @@ def test_collocations_of_odd_rows(documents, odd_rows):
     assert found_collocations(docs.limit(0), 2) == []
 
 
-def test_scores_beyond_64_bits(spark):
-    stream = [((("a", "b")), 10**12), (("a",), 10**12), (("b",), 10**12)]
-    exact = 1000 * 10**12 * 10**14 // (10**12 * 10**12)
-    assert exact == 100_000 and 1000 * 10**12 * 10**14 > 2**63
-    rows = spark.createDataFrame([("en", list(w), f) for w, f in stream], "lang string, words array<string>, f long")
-    told = {tuple(r.words): (r.parts, r.longer) for r in collocations.scan(rows, F.col("words")).collect() if r.f}
-    assert told[("a", "b")] == ([10**12], None) and told[("a",)] == ([], 10**12)
+def test_scores_beyond_64_bits():
+    n, a = 10**13, 10**12 - 1
+    assert 1000 * a * n > 2**63
+    # Both cuts floor to one score: the earlier counts.
+    assert collocations.lowest_cut(a, [a + 5, a + 5], [a + 5, a + 5], n, 3) == (1000 * a * n // (a + 5) ** 2, 1)
+    assert collocations.lowest_cut(a, [10**12, 2 * 10**12], [10**12, 10**12], n, 3)[1] == 2
 
 
 def test_long_words_and_pieces(monkeypatch):

@@ -7,6 +7,7 @@ import random
 from rows import documents  # noqa: F401
 
 import corpus_pipeline
+from appkpi.llm import lines
 
 
 def plain_cut(rows):
@@ -29,6 +30,10 @@ def test_passage_inside_a_document_that_has_a_copy(documents):
     rows = [(1, "\n".join(["a", *passage, "b"])), (5, whole), (6, whole)]
     found = {r.doc_id: r.text for r in corpus_pipeline.line_dedup(None, documents(rows), "").collect()}
     assert found == {1: rows[0][1], 5: "x1\nx2\ny1\ny2", 6: ""}
+    again = lines.dedup_lines(documents(rows))
+    assert {r.doc_id: (r.text, r.lines_removed) for r in again.collect()} == {
+        1: (rows[0][1], 0), 5: ("x1\nx2\ny1\ny2", 4), 6: ("", 8)
+    }
 
 
 def test_passages_against_brute_force(documents):

@@ -58,18 +58,20 @@ def plain_dedup(rows):
         windows[key, text] = [
             (tuple(x for _, x in own[k : k + 3]), own[k][0], own[k + 2][0]) for k in range(len(own) - 2)
         ]
-        for w, a, _ in windows[key, text]:
-            first.setdefault(w, []).append((key, text, a))
+        for w, a, z in windows[key, text]:
+            first.setdefault(w, (key, text, a, z))
     out = []
     for i, t in rows:
         if t is None:
             out.append((i, None, 0))
             continue
-        stays, goes = set(), set()
+        goes = set()
         for w, a, z in windows[i, t]:
-            if len(first[w]) > 1:
-                (stays if first[w][0] == (i, t, a) else goes).update(range(a, z + 1))
-        kept = [x for k, x in enumerate(t.split("\n")) if k not in goes - stays]
+            d, own, b, y = first[w]
+            if (d, own, b) != (i, t, a):
+                # It may overlap the first one, in the same text.
+                goes.update(range(max(a, y + 1) if (d, own) == (i, t) else a, z + 1))
+        kept = [x for k, x in enumerate(t.split("\n")) if k not in goes]
         out.append((i, "\n".join(kept), len(t.split("\n")) - len(kept)))
     return sorted(out, key=str)
 
