@@ -19,54 +19,65 @@ CHUNK_BYTES = 1 << 20
 NO_ID = (1 << 63) - 1
 CHUNK = (
     "chunk long, n_bytes long, ids array<long>, langs array<string>, sizes array<int>, "
-    "h1 array<long>, h2 array<long>, data binary"
+    "copies array<int>, data binary"
 )
 
 
-def pack_texts(docs: DataFrame, most: int = CHUNK_BYTES) -> DataFrame:
-    """The written chunks of ``docs``: ids, languages, lengths and 128-bit hashes of the texts, and the texts.
+def pack_texts(docs: DataFrame, most: int = CHUNK_BYTES, find_copies: bool = False) -> DataFrame:
+    """The written chunks of ``docs``: ids, languages and lengths of the texts, and the texts.
 
     A chunk holds texts of up to ``most`` bytes, or one longer text. A null text is an empty one, and
-    ``langs`` is null where ``docs`` has no such column. Other columns are not read.
+    ``langs`` is null where ``docs`` has no such column. Other columns are not read. With ``find_copies``,
+    ``copies`` has the places of the texts that a smaller doc_id has as a whole.
     """
     lang = F.col("lang").cast("string") if "lang" in docs.columns else F.lit(None).cast("string")
-    rows = docs.select("doc_id", lang.alias("lang"), F.col("text").cast("binary").alias("text"))
+    rows = docs.select(
+        F.coalesce(F.col("doc_id"), F.lit(NO_ID)).alias("id"), lang.alias("lang"), F.col("text").cast("binary").alias("text")
+    )
+    copy = F.lit(False)
+    if find_copies:
+        rows = rows.withColumn("h1", F.xxhash64("text")).withColumn("h2", F.xxhash64(F.lit(1), "text"))
+        least = settle(
+            rows.where("text is not null").groupBy("h1", "h2").agg(F.min("id").alias("least"), F.max("id").alias("last"))
+            .where("least < last").drop("last"),
+            "copied-texts",
+        )
+        # Spark broadcasts the copied texts' hashes if they are few, and shuffles otherwise.
+        rows = rows.join(least, ["h1", "h2"], "left")
+        copy = F.coalesce(F.col("id") > F.col("least"), F.lit(False))
+    rows = rows.withColumn("copy", copy)
 
     def pack(found: Iterator[tuple]) -> Iterator[tuple]:
         import zstandard
         from pyspark import TaskContext
-        from xxhash import xxh3_128_intdigest
 
-        squeeze = zstandard.ZstdCompressor(level=3)
+        squeeze = zstandard.ZstdCompressor(level=6)
         number, size = TaskContext.get().partitionId() << 32, 0
         held: list[tuple] = []
 
         def flush() -> tuple:
-            ids, langs, texts = zip(*held, strict=True)
-            prints = [xxh3_128_intdigest(t) for t in texts]
-            low = (1 << 64) - 1
+            ids, langs, texts, copy = zip(*held, strict=True)
             return (
                 number,
                 size,
                 list(ids),
                 list(langs),
                 [len(t) for t in texts],
-                [(p >> 64) - (1 << 63) for p in prints],
-                [(p & low) - (1 << 63) for p in prints],
+                [k for k, c in enumerate(copy) if c],
                 squeeze.compress(b"".join(texts)),
             )
 
-        for doc_id, own, text in found:
+        for doc_id, own, text, copied in found:
             text = text or b""
             if held and size + len(text) > most:
                 yield flush()
                 number, size, held = number + 1, 0, []
-            held.append((NO_ID if doc_id is None else doc_id, own, text))
+            held.append((doc_id, own, text, copied))
             size += len(text)
         if held:
             yield flush()
 
-    return settle(map_rows(rows, ["doc_id", "lang", "text"], CHUNK, pack), "chunks")
+    return settle(map_rows(rows, ["id", "lang", "text", "copy"], CHUNK, pack), "chunks")
 
 
 def unpack_texts(sizes: list[int], data: bytes) -> list[bytes]:

@@ -96,21 +96,6 @@ def _runs(raw: bytes, base: int, width: int, gram: int):
     return least[first], covered, first + base, size
 
 
-def later_copies(chunks: DataFrame) -> DataFrame:
-    """``chunk`` and ``copies``: places of texts that a smaller doc_id has as a whole."""
-    texts = chunks.select("chunk", F.posexplode(F.arrays_zip("ids", "h1", "h2")).alias("pos", "t")).select(
-        "chunk", "pos", "t.ids", "t.h1", "t.h2"
-    )
-    least = texts.groupBy("h1", "h2").agg(F.min("ids").alias("least"), F.max("ids").alias("most"))
-    return settle(
-        texts.join(least.where("least < most").drop("most"), ["h1", "h2"])
-        .where("ids > least")
-        .groupBy("chunk")
-        .agg(F.collect_list("pos").alias("copies")),
-        "copies",
-    )
-
-
 def shared_digits(chunks: DataFrame, width: int, gram: int, hot: int) -> tuple[DataFrame, int]:
     """``chunk`` and, by bucket, the first digits that other chunks have as well; the number of buckets."""
     buckets = bucket_count(chunks)
@@ -118,13 +103,14 @@ def shared_digits(chunks: DataFrame, width: int, gram: int, hot: int) -> tuple[D
     def send(found: Iterator[tuple]) -> Iterator[tuple]:
         import numpy as np
 
-        for chunk, sizes, data in found:
-            own = [runs(t, width, gram)[0] for t in set(unpack_texts(sizes, data))]
+        for chunk, sizes, copies, data in found:
+            later = set(copies)
+            own = [runs(t, width, gram)[0] for k, t in enumerate(unpack_texts(sizes, data)) if k not in later]
             keys = np.unique(np.concatenate(own)) if own else np.zeros(0, np.uint64)
             for b, at in by_bucket(keys, buckets):
                 yield b, chunk, keys[at].astype("<u4").tobytes()
 
-    sent = map_rows(chunks, ["chunk", "sizes", "data"], "bucket long, chunk long, digits binary", send)
+    sent = map_rows(chunks, ["chunk", "sizes", "copies", "data"], "bucket long, chunk long, digits binary", send)
     placed = sent.repartition(buckets, "bucket").sortWithinPartitions("bucket")
 
     def answer(found: Iterator[tuple]) -> Iterator[tuple]:
@@ -160,155 +146,210 @@ def _lookup(known: list, field: str, buckets: int, keys):
     return np.isin((((keys >> np.uint64(32)) % np.uint64(buckets)) << np.uint64(32)) | low, told)
 
 
-RUN = "digit long, id long, chunk long, places binary, body binary"
+RUNS = "bucket long, chunk long, columns binary, bodies binary"
+# Of each run that is sent: low half of the digit, doc_id, place in the chunk, first window, windows.
+COLUMNS = [("digit", "<u4"), ("id", "<i8"), ("pos", "<u4"), ("first", "<u4"), ("n", "<u2")]
+
+
+def _pack_runs(columns: list, bodies: list[bytes]) -> tuple[bytes, bytes]:
+    import numpy as np
+    import zstandard
+
+    squeeze = zstandard.ZstdCompressor(level=3)
+    raw = b"".join(np.asarray(c).astype(t).tobytes() for c, (_, t) in zip(columns, COLUMNS, strict=True))
+    return squeeze.compress(raw), squeeze.compress(b"".join(bodies))
+
+
+def _unpack_runs(columns: bytes, bodies: bytes) -> tuple[list, bytes]:
+    import numpy as np
+    import zstandard
+
+    raw = zstandard.ZstdDecompressor().decompress(columns)
+    count, at, out = len(raw) // sum(np.dtype(t).itemsize for _, t in COLUMNS), 0, []
+    for _, kind in COLUMNS:
+        out.append(np.frombuffer(raw, kind, count, at))
+        at += out[-1].nbytes
+    return out, zstandard.ZstdDecompressor().decompress(bodies)
+
+
+def _firsts(new):
+    """Where the groups begin, and the group of each row, from marks of new groups."""
+    import numpy as np
+
+    return np.flatnonzero(new), np.cumsum(new) - 1
 
 
 def _send_runs(found: Iterator[tuple], width: int, gram: int, buckets: int) -> Iterator[tuple]:
-    """Of each chunk, the runs to compare, and as one row what its own texts settle."""
+    """Of each chunk the runs to compare, by bucket, and what its own texts settle (with no columns)."""
     import numpy as np
     from xxhash import xxh64_intdigest
 
-    for chunk, ids, sizes, data, copies, known in found:
-        texts, later = unpack_texts(sizes, data), set(copies or ())
+    for chunk, ids, sizes, copies, data, known in found:
+        texts, later = unpack_texts(sizes, data), set(copies)
         own = [(k, *runs(t, width, gram)) for k, t in enumerate(texts) if k not in later and len(t) >= width]
         if not own:
             continue
         pos = np.concatenate([np.full(len(r[1]), r[0]) for r in own])
         digit, covered, first, size = (np.concatenate(x) for x in list(zip(*own, strict=True))[1:])
         doc = np.array(ids, np.int64)[pos]
-        order = np.lexsort((doc, digit))
-        edges = np.flatnonzero(np.diff(digit[order], prepend=~digit[order[:1]]))
-        several = doc[order[edges]] != doc[order[np.append(edges[1:], len(order)) - 1]]
-        alive = np.zeros(len(digit), bool)
-        alive[order] = np.repeat(several, np.diff(np.append(edges, len(order))))
-        alive |= _lookup(known, "shared", buckets, digit)
-        hot = _lookup(known, "hot", buckets, digit) & alive
+        alive, hot = (_lookup(known, name, buckets, digit) for name in ("shared", "hot"))
+        # Digits of two documents of this chunk.
+        order = np.argsort(digit, kind="stable")
+        new = np.append(True, digit[order[1:]] != digit[order[:-1]])
+        edges, group = _firsts(new)
+        several = np.minimum.reduceat(doc[order], edges) < np.maximum.reduceat(doc[order], edges)
+        alive[order] |= several[group]
         at = np.flatnonzero(alive)
-        at = at[np.lexsort((first[at], pos[at], doc[at], covered[at], digit[at]))]
-        settled: list[tuple] = []
+        if not len(at):
+            continue
+        at = at[np.lexsort((doc[at], covered[at], digit[at]))]
+        edges, group = _firsts(
+            np.append(True, (digit[at[1:]] != digit[at[:-1]]) | (covered[at[1:]] != covered[at[:-1]]))
+        )
+        gone = doc[at] > doc[at[edges]][group]
+        settled = [np.stack([pos[at[gone]], first[at[gone]], first[at[gone]] + size[at[gone]] + width - 1], axis=1)]
+        at = at[~gone]
+        often, at = at[hot[at]], at[~hot[at]]
+        # Frequent digits go on window by window, each once.
         windows: dict[bytes, list] = {}
-        rows: dict[tuple, list] = {}
-        columns = (x[at].tolist() for x in (digit, covered, doc, pos, first, size, hot))
-        for d, c, i, p, a, n, often in zip(*columns, strict=True):
-            held = rows.setdefault((d, c), [i, [], n, often])
-            if i > held[0]:
-                settled.append((p, a, a + n + width - 1))
-            else:
-                held[1].append((p, a))
-        for (d, _), (i, places, n, often) in rows.items():
-            p, a = places[0]
-            body = texts[p][a : a + n + width - 1]
-            if not often:
-                yield d - (1 << 63), i, chunk, np.array(places, "<i4").tobytes(), body
-                continue
-            for j in range(n):
-                for q, b in places:
-                    windows.setdefault(body[j : j + width], []).append((i, q, b + j))
+        for k in often.tolist():
+            for j in range(first[k], first[k] + size[k]):
+                windows.setdefault(texts[pos[k]][j : j + width], []).append((int(doc[k]), int(pos[k]), int(j)))
+        extra = []
         for window, asked in windows.items():
-            least = min(x[0] for x in asked)
-            settled += [(q, b, b + width) for i, q, b in asked if i > least]
-            places = np.array([x[1:] for x in asked if x[0] == least], "<i4")
-            yield xxh64_intdigest(window) - (1 << 63), least, chunk, places.tobytes(), window
-        if settled:
-            yield chunk - (1 << 63), None, chunk, np.array(settled, "<i4").tobytes(), None
-
-
-def radix(bodies: list[bytes], ids, groups, width: int = WIDTH):
-    """For every window of ``bodies``, body by body, whether an equal one has a smaller id in its group.
+            least = min(asked)[0]
+            settled.append(np.array([(p, j, j + width) for i, p, j in asked if i > least], np.int64).reshape(-1, 3))
+            extra += [(xxh64_intdigest(window), *x, window) for x in asked if x[0] == least]
+        key = np.concatenate([digit[at], np.array([x[0] for x in extra], np.uint64)])
+        columns = [
+            np.concatenate([a, np.array([x[k] for x in extra], np.int64)])
+            for k, a in enumerate((doc[at], pos[at], first[at]), 1)
+        ]
+        count = np.concatenate([size[at], np.ones(len(extra), np.int64)])
+        for b, rows in by_bucket(key, buckets):
+            picked = [c[rows] for c in (key & np.uint64(0xFFFFFFFF), *columns, count)]
+            spans = zip(*(c.tolist() for c in picked[2:]), strict=True)
+            yield b, chunk, *_pack_runs(picked, [texts[p][a : a + n + width - 1] for p, a, n in spans])
+        settled = np.concatenate(settled)
+        if len(settled):
+            yield chunk % buckets, chunk, None, settled.astype("<i4").tobytes()
+
+
+def radix(flat, begin, sizes, ids, groups, width: int = WIDTH):
+    """For every window of the bodies in ``flat``, body by body, whether an equal one has a smaller id in its group.
 
     Windows are sorted by 8 bytes at a time, most significant first. After each pass the groups that
     hold one id only are dropped.
     """
     import numpy as np
 
-    flat = np.frombuffer(b"".join(bodies), np.uint8)
-    sizes = np.array([len(b) for b in bodies])
     count = sizes - width + 1
     window = np.arange(count.sum())
-    body = np.repeat(np.arange(len(bodies)), count)
-    start = window - np.repeat(np.cumsum(count) - count, count) + np.repeat(np.cumsum(sizes) - sizes, count)
-    group, doc = np.asarray(groups, np.int64)[body], np.asarray(ids, np.int64)[body]
+    body = np.repeat(np.arange(len(sizes)), count)
+    start = window - np.repeat(np.cumsum(count) - count, count) + begin[body]
+    group, doc = groups[body], ids[body]
     repeated = np.zeros(len(window), bool)
     step, eight = min(8, width), np.arange(min(8, width))
     # The last digit begins early enough to end at the threshold.
     depths = [*range(0, width - step, step), width - step]
     for depth in depths:
+        if not len(window):
+            break
         bytes_of = np.zeros((len(window), 8), np.uint8)
         bytes_of[:, :step] = flat[(start + depth)[:, None] + eight]
         digit = bytes_of.view(">u8").ravel().astype(np.uint64)
         order = np.lexsort((digit, group))
         window, start, doc, group, digit = (x[order] for x in (window, start, doc, group, digit))
-        new = np.ones(len(window), bool)
-        new[1:] = (group[1:] != group[:-1]) | (digit[1:] != digit[:-1])
-        edges, group = np.flatnonzero(new), np.cumsum(new) - 1
-        least = np.minimum.reduceat(doc, edges) if len(edges) else doc
-        most = np.maximum.reduceat(doc, edges) if len(edges) else doc
-        keep = (least < most)[group] if len(edges) else new
+        edges, group = _firsts(np.append(True, (group[1:] != group[:-1]) | (digit[1:] != digit[:-1])))
+        least, most = np.minimum.reduceat(doc, edges), np.maximum.reduceat(doc, edges)
         if depth == depths[-1]:
-            later = keep & (doc > least[group]) if len(edges) else new
-            repeated[window[later]] = True
+            repeated[window[doc > least[group]]] = True
+        keep = (least < most)[group]
         window, start, doc, group = window[keep], start[keep], doc[keep], group[keep]
     return repeated
 
 
 def _compare(found: Iterator[tuple], width: int) -> Iterator[tuple]:
-    """Spans to cut, as (place in the chunk, first byte, end), from runs in order of digit and id."""
+    """Spans to cut, as (place in the chunk, first byte, end), from the runs of each bucket."""
     import numpy as np
 
-    held: list[list] = []
-
-    def sort() -> Iterator[tuple]:
-        if not held:
-            return
-        bodies, ids, groups, _ = zip(*held, strict=True)
-        repeated, at = radix(list(bodies), ids, groups, width), 0
-        for body, *_, rows in held:
-            n = len(body) - width + 1
-            own = repeated[at : at + n]
-            at += n
-            if not own.any():
+    for _, rows in by_group(found, 1):
+        held, bodies, whose = [], [], []
+        for chunk, columns, body in rows:
+            if columns is None:
+                yield chunk, body
                 continue
-            edge = np.flatnonzero(np.diff(own.astype(np.int8), prepend=0, append=0))
-            for chunk, places in rows:
-                where = np.frombuffer(places, "<i4").reshape(-1, 2)
-                for i, j in zip(edge[::2].tolist(), edge[1::2].tolist(), strict=True):
-                    yield chunk, _spans(where, i, j + width - 1)
-        held.clear()
-
-    digit, group, seen = None, 0, {}
-
-    def close() -> None:
-        # A run alone in its group repeats nothing.
-        if len(seen) > 1:
-            held.extend([body, i, group, rows] for body, (i, rows) in seen.items())
-        seen.clear()
-
-    for d, i, chunk, places, body in found:
-        if body is None:
-            yield chunk, places
+            own, raw = _unpack_runs(columns, body)
+            held.append(own)
+            bodies.append(raw)
+            whose.append(chunk)
+        if not held:
             continue
-        if d != digit:
-            close()
-            digit, group = d, group + 1
-            if len(held) >= PASS_RUNS:
-                yield from sort()
-        known = seen.get(body)
-        if known is None:
-            seen[body] = (i, [(chunk, places)])
-        elif i > known[0]:
-            yield chunk, _spans(np.frombuffer(places, "<i4").reshape(-1, 2), 0, len(body))
-        else:
-            known[1].append((chunk, places))
-    close()
-    yield from sort()
-
-
-def _spans(places, first: int, end: int) -> bytes:
+        flat = np.frombuffer(b"".join(bodies), np.uint8)
+        digit, ids, pos, first, n = (np.concatenate(c).astype(np.int64) for c in zip(*held, strict=True))
+        source = np.repeat(np.arange(len(held)), [len(h[0]) for h in held])
+        sizes = n + width - 1
+        begin = np.cumsum(sizes) - sizes
+        order = np.argsort(digit, kind="stable")
+        # Whole digits at a time, about as many as are sorted in one pass.
+        edges = np.flatnonzero(np.append(True, digit[order[1:]] != digit[order[:-1]]))
+        cuts = edges[np.append(True, np.diff(edges // PASS_RUNS) > 0)]
+        for a, z in zip(cuts, [*cuts[1:], len(order)], strict=True):
+            at = order[a:z]
+            spans = []
+            for k, i, j in _settle(flat, begin[at], sizes[at], ids[at], digit[at], width):
+                k = at[k]
+                spans.append(np.stack([source[k], pos[k], first[k] + i, first[k] + j + width - 1], axis=1))
+            if not spans:
+                continue
+            spans = np.concatenate(spans)
+            if not len(spans):
+                continue
+            spans = spans[np.argsort(spans[:, 0], kind="stable")]
+            ends = np.append(np.flatnonzero(np.diff(spans[:, 0])) + 1, len(spans))
+            at = 0
+            for end in ends.tolist():
+                yield whose[spans[at, 0]], spans[at:end, 1:].astype("<i4").tobytes()
+                at = end
+
+
+def _settle(flat, begin, sizes, ids, digit, width: int) -> Iterator[tuple]:
+    """Runs, and in each the first and the end of windows that repeat, for runs in order of digit."""
     import numpy as np
 
-    out = np.empty((len(places), 3), "<i4")
-    out[:, 0], out[:, 1], out[:, 2] = places[:, 0], places[:, 1] + first, places[:, 1] + end
-    return out.tobytes()
+    up, down = _tables()
+    # The bodies side by side, each hashed as a whole.
+    inside = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    own = flat[inside + np.repeat(begin, sizes)]
+    place = np.cumsum(sizes) - sizes
+    terms = (own.astype(np.uint64) + np.uint64(1)) * up[inside]
+    whole = mix(np.add.reduceat(terms, place) ^ sizes.astype(np.uint64))
+    order = np.lexsort((ids, whole, digit))
+    d, w = digit[order], whole[order]
+    edges, group = _firsts(np.append(True, (d[1:] != d[:-1]) | (w[1:] != w[:-1])))
+    later = ids[order] > ids[order[edges]][group]
+    k = order[later]
+    if len(k):
+        yield k, np.zeros(len(k), np.int64), sizes[k] - width + 1
+    # Of each body the smallest id; digits with one body are done.
+    k = np.sort(order[~later])
+    kinds, counts = np.unique(d[edges], return_counts=True)
+    several = kinds[counts > 1]
+    k = k[np.isin(digit[k], several)]
+    if not len(k):
+        return
+    repeated = radix(own, place[k], sizes[k], ids[k], digit[k], width).astype(np.int8)
+    count = sizes[k] - width + 1
+    starts = np.cumsum(count) - count
+    # A run of repeated windows ends with its body.
+    before = np.append(0, repeated[:-1])
+    before[starts] = 0
+    after = np.append(repeated[1:], 0)
+    after[starts[1:] - 1] = 0
+    i = np.flatnonzero((repeated == 1) & (before == 0))
+    j = np.flatnonzero((repeated == 1) & (after == 0)) + 1
+    body = np.searchsorted(starts, i, side="right") - 1
+    yield k[body], i - starts[body], j - starts[body]
 
 
 CUT = "doc_id long, n_bytes long, kept binary, spans array<struct<start: long, end: long>>"
@@ -317,8 +358,8 @@ CUT = "doc_id long, n_bytes long, kept binary, spans array<struct<start: long, e
 def _cut(found: Iterator[tuple], width: int) -> Iterator[tuple]:
     import numpy as np
 
-    for ids, sizes, data, copies, spans in found:
-        texts, later = unpack_texts(sizes, data), set(copies or ())
+    for ids, sizes, copies, data, spans in found:
+        texts, later = unpack_texts(sizes, data), set(copies)
         own = np.concatenate([np.frombuffer(s, "<i4").reshape(-1, 3) for s in spans or ()] or [np.zeros((0, 3), "<i4")])
         own = own[np.lexsort((own[:, 1], own[:, 0]))].astype(np.int64)
         # One line for all texts of the chunk, with a gap after each.
@@ -356,21 +397,21 @@ def cut_repeats(
     if not 16 <= width <= 256:
         raise ValueError("width must be between 16 and 256 bytes")
     gram = min(width - 1, max(8, GRAM * width // WIDTH))
-    chunks = pack_texts(docs.select("doc_id", "text"), chunk_bytes)
-    copies = later_copies(chunks)
+    chunks = pack_texts(docs.select("doc_id", "text"), chunk_bytes, find_copies=True)
     known, buckets = shared_digits(chunks, width, gram, hot_chunks)
-    asked = chunks.join(copies, "chunk", "left").join(known, "chunk", "left")
+    # The same columns for both joins, so that Spark shuffles the texts once.
+    texts = chunks.select("chunk", "ids", "sizes", "copies", "data")
     sent = map_rows(
-        asked, ["chunk", "ids", "sizes", "data", "copies", "known"], RUN,
+        texts.join(known.hint("merge"), "chunk", "left"), ["chunk", "ids", "sizes", "copies", "data", "known"], RUNS,
         lambda found: _send_runs(found, width, gram, buckets),
     )
-    placed = sent.repartition(buckets, "digit").sortWithinPartitions("digit", "id")
+    placed = sent.repartition(buckets, "bucket").sortWithinPartitions("bucket", "chunk")
     spans = map_rows(
-        placed, ["digit", "id", "chunk", "places", "body"], "chunk long, spans binary",
+        placed, ["bucket", "chunk", "columns", "bodies"], "chunk long, spans binary",
         lambda found: _compare(found, width),
     )
-    spans = settle(spans.groupBy("chunk").agg(F.collect_list("spans").alias("spans")), "spans")
+    by_chunk = spans.groupBy("chunk").agg(F.collect_list("spans").alias("spans"))
     return map_rows(
-        chunks.join(copies, "chunk", "left").join(spans, "chunk", "left"),
-        ["ids", "sizes", "data", "copies", "spans"], CUT, lambda found: _cut(found, width),
+        texts.join(by_chunk.hint("merge"), "chunk", "left"),
+        ["ids", "sizes", "copies", "data", "spans"], CUT, lambda found: _cut(found, width),
     )

@@ -9,6 +9,7 @@ from collections import Counter, defaultdict
 from hashlib import sha256
 
 import duckdb
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 from rows import documents, odd_rows  # noqa: F401
@@ -122,7 +123,9 @@ def test_radix_finds_equal_windows_with_a_smaller_id():
     ids, groups = [rng.randint(0, 20) for _ in bodies], [rng.randint(0, 2) for _ in bodies]
     windows = [(g, i, b[k : k + 20]) for b, i, g in zip(bodies, ids, groups) for k in range(len(b) - 19)]
     wanted = [any(g == h and w == v and j < i for h, j, v in windows) for g, i, w in windows]
-    assert suffixes.radix(bodies, ids, groups, 20).tolist() == wanted and any(wanted)
+    flat, sizes = np.frombuffer(b"".join(bodies), np.uint8), np.array([len(b) for b in bodies])
+    found = suffixes.radix(flat, np.cumsum(sizes) - sizes, sizes, np.array(ids), np.array(groups), 20)
+    assert found.tolist() == wanted and any(wanted)
 
 
 # Merkle
