@@ -12,6 +12,7 @@ from appkpi.plans.catalog import SEED, TABLES, raw_name
 from appkpi.plans.contracts import CONTRACTS
 from appkpi.quality import freshness_report, quality_report, raise_on_errors
 from appkpi.quality.expectations import EXPECTATIONS, FRESHNESS
+from appkpi.quality.freshness import newest_loads
 from appkpi.session import require_utc
 from appkpi.sources.files import path_exists
 from appkpi.sources.landing import land_many
@@ -89,7 +90,6 @@ def refresh(
     raise_on_errors(tests)
     # landed tables that no table reads have an age as well
     unread = [n for n in FRESHNESS if n not in raw and path_exists(spark, path(n))]
-    # with their folders' day, of which only the newest is read
-    landed = {n: spark.read.parquet(path(n)) for n in [*raw, *unread]}
+    landed = {n: newest_loads(spark, path(n)) for n in [*raw, *unread]}
     ages = freshness_report(landed, FRESHNESS, as_of)
     return {**tables, "data_tests": tests, "freshness": ages}

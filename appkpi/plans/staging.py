@@ -79,18 +79,28 @@ def typed(raw: DataFrame, name: str) -> DataFrame:
     )
 
 
-def stage(raw: DataFrame, name: str) -> DataFrame:
-    """One staging table. Extras are computed after the de-duplication, on the rows kept."""
+def latest_typed(rows: DataFrame, name: str) -> DataFrame:
+    """The latest version of each key of typed rows, with the number that settles ties if there is one."""
     contract: Contract = CONTRACTS[name]
-    rows = typed(raw, name)
-    if contract.key:
-        # load columns are constant within a load, so they cannot break a tie
-        own = [f[0] for f in contract.fields if f[0] not in contract.key]
-        rows = keep_latest(rows, contract.key, tie_break=own).drop(LANDED_ROW)
+    # load columns are constant within a load, so they cannot break a tie
+    own = [f[0] for f in contract.fields if f[0] not in contract.key]
+    return keep_latest(rows, contract.key, tie_break=own)
+
+
+def with_extras(rows: DataFrame, name: str) -> DataFrame:
+    """Typed rows with the columns that are computed from them."""
     extras = EXTRAS.get(name)
     return rows.withColumns({c: f() for c, f in extras.items()}) if extras else rows
 
 
+def stage(raw: DataFrame, name: str) -> DataFrame:
+    """One staging table. Extras are computed after the de-duplication, on the rows kept."""
+    rows = typed(raw, name)
+    if CONTRACTS[name].key:
+        rows = latest_typed(rows, name).drop(LANDED_ROW)
+    return with_extras(rows, name)
+
+
 def stage_in_app_events(raw: DataFrame, mapping: DataFrame) -> DataFrame:
     """In-app events with their category. They carry no natural key and are not de-duplicated."""
     lookup = mapping.select("event_name", F.col("category").alias("event_category"))

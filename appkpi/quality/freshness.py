@@ -7,9 +7,10 @@ from dataclasses import dataclass
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from appkpi.sources.files import folder_names
 from appkpi.sources.landing import INGEST_DAY
 
 
@@ -19,12 +20,14 @@ class Freshness:
     error_hours: int
 
 
-def newest_day(raw: DataFrame) -> DataFrame:
-    """The newest load day of a raw table, if it is stored by day; only folder names are looked at."""
-    if INGEST_DAY not in raw.columns:
-        return raw
-    day = raw.agg(F.max(INGEST_DAY)).first()[0]
-    return raw.filter(F.col(INGEST_DAY) == F.lit(day))
+def newest_loads(spark: SparkSession, path: str) -> DataFrame:
+    """The newest load day of a raw table stored by day, from the names of its folders.
+
+    Only that day's files are opened. A table without such folders is read as it is.
+    """
+    prefix = f"{INGEST_DAY}="
+    days = [n for n in folder_names(spark, path) if n.startswith(prefix) and n[len(prefix) :][:1].isdigit()]
+    return spark.read.parquet(f"{path}/{max(days)}" if days else path)
 
 
 def freshness_report(
@@ -32,12 +35,12 @@ def freshness_report(
 ) -> DataFrame:
     """Newest load, its age in hours and a status per table. Never loaded counts as an error.
 
-    Of a table stored by load day only the newest day's folder is read.
+    Give :func:`newest_loads` of stored tables, whose older days then stay unread.
     """
 
     def one(name: str) -> DataFrame:
         rule = rules[name]
-        newest = newest_day(tables[name]).agg(F.max("_ingested_at").cast("timestamp").alias("newest_load"))
+        newest = tables[name].agg(F.max("_ingested_at").cast("timestamp").alias("newest_load"))
         age = (
             F.unix_micros(F.lit(as_of).cast("timestamp")) - F.unix_micros("newest_load")
         ) / 3_600_000_000

@@ -19,6 +19,37 @@ def write_finished(spark: SparkSession, path: str) -> bool:
     return path_exists(spark, f"{path}/_SUCCESS")
 
 
+def remove_empty(spark: SparkSession, path: str) -> None:
+    """Deletes a folder that holds nothing but the mark of a finished write.
+
+    A folder that another write is filling at the same time is not empty, and stays.
+    """
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    storage = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [f.getPath().getName() for f in storage.listStatus(target)]
+    if set(names) <= {"_SUCCESS"}:
+        for name in names:
+            storage.delete(spark._jvm.org.apache.hadoop.fs.Path(target, name), False)
+        storage.delete(target, False)
+
+
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; nothing in it is opened."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    storage = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    return sorted(f.getPath().getName() for f in storage.listStatus(target))
+
+
+def first_bytes(spark: SparkSession, path: str, most: int) -> bytes:
+    """The beginning of a file."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    stream = target.getFileSystem(spark._jsc.hadoopConfiguration()).open(target)
+    try:
+        return bytes(stream.readNBytes(most))
+    finally:
+        stream.close()
+
+
 def remove_folder(spark: SparkSession, path: str) -> None:
     """Deletes a folder of intermediate data, if it is there."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -11,6 +11,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from appkpi.operators.latest import LANDED_ROW
+from appkpi.sources.landing import INGEST_DAY, METADATA
+
 # Statistics fields that staging reads. Landing keeps whatever else there is.
 CAMPAIGN_STATS = (
     "sent",
@@ -26,7 +29,50 @@ CAMPAIGN_STATS = (
 )
 
 
-CAMPAIGN_LEAF_TEXTS = ("delivery_funnel", "conversion_goal_stats")
+LEAF_COLUMNS = (
+    "campaign_id",
+    "platform",
+    "locale",
+    "variation",
+    "delivery_funnel",
+    "conversion_goal_stats",
+)
+# What landing adds to every row, and how it stores them.
+LOAD_COLUMNS = (*METADATA, INGEST_DAY, LANDED_ROW)
+
+
+def merged_names(
+    found: Sequence[str], known: Sequence[str], taken: Sequence[str], prefix: str
+) -> dict[str, list[str]]:
+    """Columns for the keys ``found`` in answers, each with the spellings it is read from.
+
+    Spellings that differ in case are one column, as column names are: it is called as in ``known``, else
+    by the first spelling in order. Of a row that has several the first with a value counts, in the same order. A
+    key called like a column that is there already (``taken``) lands as ``prefix`` and its name.
+    """
+    known_as = {k.lower(): k for k in known}
+    spellings: dict[str, list[str]] = {k.lower(): [k] for k in known}
+    for name in sorted(set(found)):
+        own = spellings.setdefault(name.lower(), [])
+        if name not in own:
+            own.append(name)
+    used = {x.lower() for x in taken}
+    columns: dict[str, list[str]] = {}
+    for low, own in spellings.items():
+        name = known_as.get(low, own[0])
+        while name.lower() in used or (name != known_as.get(low) and name.lower() in spellings and name.lower() != low):
+            name = prefix + name
+        used.add(name.lower())
+        columns[name] = own
+    return columns
+
+
+def key_columns(keys: str, columns: dict[str, list[str]]) -> list[Column]:
+    """The columns of :func:`merged_names` from a map of texts; ``''`` where no spelling has a value."""
+    return [
+        F.coalesce(*[F.try_element_at(keys, F.lit(s)) for s in own], F.lit("")).alias(name)
+        for name, own in columns.items()
+    ]
 
 
 def _text(c: Column | str) -> Column:
@@ -38,20 +84,36 @@ def _last_where(array: str, test) -> Column:
     return F.try_element_at(F.filter(F.col(array), test), F.lit(-1))
 
 
+def _last_called(array: str, field: str, name: str) -> Column:
+    return _last_where(array, lambda entry: entry[field] == name)
+
+
 def flatten_metric_rows(
     rows: DataFrame, metric_set: str, dimensions: Sequence[str], metrics: Sequence[str]
 ) -> DataFrame:
     """Metric-set rows: one column per dimension, per metric and per confidence bound."""
 
-    def dimension(name: str) -> Column:
-        entry = _last_where("dimensions", lambda d: d["dimension"] == name)
-        return _text(F.coalesce(entry["stringValue"], entry["int64Value"])).alias(name)
+    # Each entry is found once, as a column of its own, before its fields are taken.
+    entries = rows.select(
+        "startTime",
+        "aggregationPeriod",
+        *[
+            _last_called("dimensions", "dimension", n).alias(f"__d{k}")
+            for k, n in enumerate(dimensions)
+        ],
+        *[
+            _last_called("metrics", "metric", n).alias(f"__m{k}")
+            for k, n in enumerate(metrics)
+        ],
+    )
+
+    def dimension(k: int, name: str) -> Column:
+        return _text(F.coalesce(F.col(f"__d{k}.stringValue"), F.col(f"__d{k}.int64Value"))).alias(name)
 
-    def metric(name: str) -> list[Column]:
-        entry = _last_where("metrics", lambda m: m["metric"] == name)
-        bounds = entry["decimalValueConfidenceInterval"]
+    def metric(k: int, name: str) -> list[Column]:
+        bounds = F.col(f"__m{k}.decimalValueConfidenceInterval")
         return [
-            _text(entry["decimalValue"]["value"]).alias(name),
+            _text(F.col(f"__m{k}.decimalValue.value")).alias(name),
             _text(bounds["lowerBound"]["value"]).alias(f"{name}_ci_lower"),
             _text(bounds["upperBound"]["value"]).alias(f"{name}_ci_upper"),
         ]
@@ -62,12 +124,12 @@ def flatten_metric_rows(
         F.lpad(_text("startTime.month"), 2, "0"),
         F.lpad(_text("startTime.day"), 2, "0"),
     )
-    return rows.select(
+    return entries.select(
         F.lit(metric_set).alias("metric_set"),
         day.alias("date"),
         _text("aggregationPeriod").alias("aggregation_period"),
-        *[dimension(d) for d in dimensions],
-        *[c for m in metrics for c in metric(m)],
+        *[dimension(k, d) for k, d in enumerate(dimensions)],
+        *[c for k, m in enumerate(metrics) for c in metric(k, m)],
     )
 
 
@@ -121,7 +183,8 @@ def flatten_campaign_stats(
     """Platform, locale and variation maps to one row per leaf; no leaf, no row.
 
     Without ``fields`` every statistic found becomes a column, beside those staging reads; an
-    extra pass over the answers finds their names, which are a few dozen.
+    extra pass over the answers finds their names, which are a few dozen. Names that differ in case
+    are one column, and a statistic called like a leaf or load column lands as ``stat_`` and its name.
     """
     leaves = (
         stats.select("campaign_id", F.explode("stats.platforms").alias("platform", "p"))
@@ -132,15 +195,16 @@ def flatten_campaign_stats(
     )
     if fields is None:
         names = leaves.select(F.explode(F.map_keys("v.performance_stats")).alias("name"))
-        found = {r["name"] for r in names.distinct().collect()}
-        own = {"campaign_id", "platform", "locale", "variation", *CAMPAIGN_LEAF_TEXTS}
-        fields = [*CAMPAIGN_STATS, *sorted(found - {*CAMPAIGN_STATS, *own})]
+        found = [r["name"] for r in names.distinct().collect()]
+        columns = merged_names(found, CAMPAIGN_STATS, (*LEAF_COLUMNS, *LOAD_COLUMNS), "stat_")
+    else:
+        columns = {f: [f] for f in fields}
     return leaves.select(
         "campaign_id",
         "platform",
         "locale",
         "variation",
-        *[_text(F.try_element_at("v.performance_stats", F.lit(f))).alias(f) for f in fields],
+        *key_columns("v.performance_stats", columns),
         F.coalesce("v.delivery_funnel", F.lit("{}")).alias("delivery_funnel"),
         F.coalesce("v.conversion_goal_stats", F.lit("{}")).alias("conversion_goal_stats"),
     )

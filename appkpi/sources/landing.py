@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from appkpi.operators.latest import LANDED_ROW
-from appkpi.sources.files import path_exists
+from appkpi.sources.files import path_exists, remove_empty
 
 log = logging.getLogger(__name__)
 
@@ -252,15 +252,21 @@ def append_raw(df: DataFrame, path: str) -> int:
 
 
 def land(df: DataFrame, path: str, load: Load) -> int:
-    """Stamp, align to the table if it exists, append. An input without rows writes nothing."""
-    if df.isEmpty():
-        log.warning("no rows for %s, nothing written", path)
-        return 0
+    """Stamp, align to the table if it exists, append. An input without rows writes nothing.
+
+    The input is read once: the rows are counted as they are written, and a write of no rows leaves
+    no file but the mark of its end, which goes as well if the table was not there before.
+    """
     stamped = stamp(df, load)
     existing = table_columns(df.sparkSession, path)
     if existing is not None:
         stamped = align_to_table(stamped, existing)
-    return append_raw(stamped, path)
+    rows = append_raw(stamped, path)
+    if not rows:
+        log.warning("no rows for %s, nothing written", path)
+        if existing is None:
+            remove_empty(df.sparkSession, path)
+    return rows
 
 
 def land_many(jobs: Sequence[tuple[str, Callable[[], int]]]) -> dict[str, int]:

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import logging
-import re
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,6 +10,7 @@ from pyspark.sql import functions as F
 
 from appkpi.operators.combine import union_branches
 from appkpi.operators.date_windows import in_date_range, months_between_dates
+from appkpi.sources.files import first_bytes, path_exists
 from appkpi.sources.landing import read_csv_report, snake_headers
 
 log = logging.getLogger(__name__)
@@ -23,33 +23,31 @@ MONTHLY_REPORTS = (
     ("stats/store_performance", "traffic_source", "raw_gcs_store_performance_traffic"),
 )
 MONTHLY_SOURCE = "play_console_gcs"
-UTF16_MARKS = ("FFFE", "FEFF")
+UTF16_MARKS = (b"\xff\xfe", b"\xfe\xff")
+# A header line lies within this many bytes of a file.
+HEADER_BYTES = 1 << 16
 
 
 def expected_months(
     spark: SparkSession, folder: str, suffix: str, package: str, date_from: date, date_to: date
 ) -> DataFrame:
-    """Every month of the range with its file, encoding and header; NULL path if missing."""
+    """Every month of the range with its file, encoding and header; NULL path if missing.
+
+    Files are asked for by name, one a month, so other months and packages are neither listed nor
+    opened, and of a file only the beginning is read.
+    """
     report = folder.rstrip("/").split("/")[-1]
-    name = rf"{report}_{re.escape(package)}_(\d{{6}})_{suffix}\.csv$"
-    files = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", f"{report}_{package}_*_{suffix}.csv")
-        .load(folder)
-        .select(
-            "path",
-            F.regexp_extract("path", name, 1).alias("month"),
-            F.hex(F.substring("content", 1, 2)).isin(*UTF16_MARKS).alias("utf16"),
-            "content",
-        )
-    )
-    text = F.when(F.col("utf16"), F.decode("content", "UTF-16")).otherwise(
-        F.decode("content", "UTF-8")
-    )
-    described = files.select(
-        "path", "month", "utf16", F.split_part(text, F.lit("\n"), F.lit(1)).alias("header")
-    )
-    return months_between_dates(spark, date_from, date_to).join(described, "month", "left")
+    found = []
+    for row in months_between_dates(spark, date_from, date_to).collect():
+        path = f"{folder.rstrip('/')}/{report}_{package}_{row['month']}_{suffix}.csv"
+        if not path_exists(spark, path):
+            found.append((row["month"], None, None, None))
+            continue
+        begin = first_bytes(spark, path, HEADER_BYTES)
+        utf16 = begin[:2] in UTF16_MARKS
+        text = begin.decode("utf-16" if utf16 else "utf-8", "ignore")
+        found.append((row["month"], path, utf16, text.split("\n")[0]))
+    return spark.createDataFrame(found, "month string, path string, utf16 boolean, header string")
 
 
 def read_monthly_stats(
@@ -57,7 +55,7 @@ def read_monthly_stats(
 ) -> DataFrame | None:
     """Rows of one report in the range, for one package; None if no month has a file.
 
-    What comes to the driver is one line per month of the range. Files are read in groups
+    What comes to the driver is the header of each month of the range. Files are read in groups
     of equal encoding and header, so that a column added in some month does not shift the
     others.
     """

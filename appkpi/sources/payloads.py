@@ -11,12 +11,14 @@ from pyspark.sql import functions as F
 
 from appkpi.operators.date_windows import since
 from appkpi.sources.flatten import (
+    LOAD_COLUMNS,
     flatten_android_reviews,
     flatten_campaign_stats,
     flatten_ios_reviews,
     flatten_metric_rows,
+    key_columns,
+    merged_names,
 )
-from appkpi.sources.landing import blank_for_null
 
 
 @dataclass(frozen=True)
@@ -168,15 +170,16 @@ def parse_campaign_list(answers: DataFrame, columns: Sequence[str] | None = None
     """Answer texts (``value``) to campaigns. An answer that is no list is left out.
 
     Without ``columns`` every key becomes a column, after those staging reads; an extra pass
-    finds their names.
+    finds their names. Keys that differ in case are one column, and a key called like a load column
+    lands as ``campaign_`` and its name.
     """
     campaigns = answers.filter(F.ltrim("value").startswith("[")).select(
         F.explode(F.from_json("value", "array<map<string, string>>")).alias("c")
     )
     if columns is None:
         names = campaigns.select(F.explode(F.map_keys("c")).alias("name")).distinct()
-        found = {r["name"] for r in names.collect()}
-        columns = [*CAMPAIGN_COLUMNS, *sorted(found - set(CAMPAIGN_COLUMNS))]
-    return blank_for_null(
-        campaigns.select(*[F.try_element_at("c", F.lit(k)).alias(k) for k in columns])
-    )
+        found = [r["name"] for r in names.collect()]
+        merged = merged_names(found, CAMPAIGN_COLUMNS, LOAD_COLUMNS, "campaign_")
+    else:
+        merged = {k: [k] for k in columns}
+    return campaigns.select(*key_columns("c", merged))

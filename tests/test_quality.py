@@ -16,6 +16,7 @@ from appkpi.quality import (
     raise_on_errors,
     unique,
 )
+from appkpi.quality.freshness import newest_loads
 from appkpi.quality.expectations import EXPECTATIONS, FRESHNESS
 
 ROWS = [("a", 1, "x"), ("a", 6, "y"), (None, None, None), (None, 0, "z"), ("b", 5, "x")]
@@ -75,13 +76,12 @@ def test_expectations_cover_known_tables_and_columns():
 
 
 def test_freshness_reads_the_newest_day_only(spark, folder):
-    loads = [(at(9, 5), day(9)), (at(8), day(8)), (at(9, 7), day(9))]
+    loads = [(at(9, 5), day(9)), (at(8), day(8)), (at(9, 7), day(9)), (at(1), None)]
     rows = spark.createDataFrame(loads, "_ingested_at timestamp, _ingest_date date")
     rows.write.partitionBy("_ingest_date").parquet(folder)
-    report = freshness_report(
-        {"t": spark.read.parquet(folder)}, {"t": Freshness(25, 49)}, datetime(2026, 6, 9, 8, tzinfo=UTC)
-    )
-    assert "PartitionFilters: [isnotnull(_ingest_date" in plan_of(report)
+    newest = newest_loads(spark, folder)
+    assert newest.inputFiles() and all("_ingest_date=2026-06-09" in f for f in newest.inputFiles())
+    report = freshness_report({"t": newest}, {"t": Freshness(25, 49)}, datetime(2026, 6, 9, 8, tzinfo=UTC))
     assert report.first()["age_hours"] == 1.0
 
 

@@ -4,7 +4,7 @@ from datetime import date
 
 import pytest
 from conftest import as_dicts
-from test_landing import metric_row, write
+from test_landing import write
 
 from appkpi.plans.build import table
 from appkpi.plans.catalog import RAW_PREFIX
@@ -101,7 +101,7 @@ def test_android_files(spark, tmp_path, at):
     for name in ("crashRateMetricSet", "anrRateMetricSet", "errorCountMetricSet",
                  "stuckBackgroundWakelockRateMetricSet", "excessiveWakeupRateMetricSet",
                  "slowStartRateMetricSet"):
-        write(root / name / "1.json", json.dumps({"rows": [metric_row()]}))
+        write(root / name / "1.json", json.dumps({"rows": [{"aggregationPeriod": "DAILY", "startTime": {"year": 2026, "month": 6, "day": 2}, "dimensions": [{"dimension": "versionCode", "stringValue": "12"}]}]}))
     write(root / "reviews" / "1.json", json.dumps({"reviews": [{"reviewId": "r"}]}))
     for kind in ("installs", "crashes"):
         write(root / "stats" / kind / f"{kind}_pkg_202606_overview.csv",
@@ -114,7 +114,7 @@ def test_android_files(spark, tmp_path, at):
     assert set(done.values()) == {1}
     crashes = raw(at, "play_raw/raw_gcs_crashes").first()
     assert (crashes["daily_crashes"], crashes["_source"]) == ("3", "play_console_gcs")
-    assert raw(at, "play_raw/raw_crash_rate").first()["versionCode"] == "1704"
+    assert raw(at, "play_raw/raw_crash_rate").first()["versionCode"] == "12"
 
 
 def test_ios_files(spark, tmp_path, at):

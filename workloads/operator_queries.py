@@ -39,6 +39,7 @@ from appkpi.plans import attribution, dashboards
 from appkpi.plans.build import table
 from appkpi.plans.catalog import raw_name
 from appkpi.plans.contracts import CONTRACTS
+from appkpi.plans.incremental import refresh_new_loads
 from appkpi.plans.staging import media_type, stage
 from appkpi.quality import (
     accepted_range,
@@ -50,7 +51,8 @@ from appkpi.quality import (
     unique,
 )
 from appkpi.quality.expectations import EXPECTATIONS, FRESHNESS
-from appkpi.sources import flatten, landing, payloads
+from appkpi.sources import flatten, landing, monthly, payloads
+from appkpi.sources.files import folder_names, path_exists
 from appkpi.sources.seeds import literal_table
 from appkpi.sources.tables import publish_view, read_raw, read_table, write_table
 from appkpi.streaming import stream_csv_to_raw, stream_latest
@@ -946,3 +948,118 @@ def incremental_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
         stream, path, f"{path}-work", EVENT_KEY, NEWEST_EVENT, "day", f"{path}-checkpoint"
     ).awaitTermination()
     return read_table(spark, path, rows.schema)
+
+
+MONTH_RANGE = date(2026, 5, 3), date(2026, 7, 31)
+OWN_PACKAGE = "com.example.app"
+# Orders dealt over the days of May and June 2026; those of one status belong to another package.
+MONTHLY_ROWS = """SELECT CAST(DATE '2026-05-01' + CAST(o_orderkey % 61 AS INT) AS DATE) AS day,
+    CASE WHEN o_orderstatus = 'F' THEN 'com.example.other' ELSE 'com.example.app' END AS package,
+    count(*) AS installs, sum(o_custkey) AS users FROM orders GROUP BY 1, 2"""
+
+
+def _monthly_file(spark: SparkSession, rows: DataFrame, folder: str, month: str, encoding: str) -> None:
+    """One report file of a month, as the store names it."""
+    written = scratch(spark, "month")
+    rows.coalesce(1).write.csv(written, header=True, encoding=encoding)
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    storage = path(written).getFileSystem(spark._jsc.hadoopConfiguration())
+    storage.mkdirs(path(folder))
+    (part,) = [n for n in folder_names(spark, written) if n.startswith("part-")]
+    storage.rename(path(f"{written}/{part}"), path(f"{folder}/installs_{OWN_PACKAGE}_{month}_overview.csv"))
+
+
+@query(
+    f"""SELECT CAST(day AS VARCHAR) AS date, package AS package_name, CAST(installs AS VARCHAR) AS daily_installs,
+    CASE WHEN month(day) = 5 THEN CAST(users AS VARCHAR) ELSE '' END AS user___total,
+    CASE WHEN month(day) = 5 THEN '202605' ELSE '202606' END AS month
+    FROM ({MONTHLY_ROWS}) WHERE package = '{OWN_PACKAGE}' AND day >= DATE '2026-05-03'"""
+)
+def monthly_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A UTF-16 month, a UTF-8 month with a column less and a month without a file; another package's rows go."""
+    read(spark, sf_dir, "orders").createOrReplaceTempView("orders_by_month")
+    days = spark.sql(MONTHLY_ROWS.replace("FROM orders", "FROM orders_by_month").replace(
+        "DATE '2026-05-01' + CAST(o_orderkey % 61 AS INT)", "date_add(DATE '2026-05-01', CAST(o_orderkey % 61 AS INT))"
+    ))
+    folder = f"{scratch(spark, 'monthly')}/stats/installs"
+    named = days.selectExpr(
+        "day", "day AS `Date`", "package AS `Package Name`", "installs AS `Daily Installs`", "users AS `User / Total`"
+    )
+    _monthly_file(spark, named.where("month(day) = 5").drop("day"), folder, "202605", "UTF-16")
+    _monthly_file(spark, named.where("month(day) = 6").drop("day", "User / Total"), folder, "202606", "UTF-8")
+    rows = monthly.read_monthly_stats(spark, folder, "overview", OWN_PACKAGE, *MONTH_RANGE)
+    return rows.withColumn("month", F.regexp_extract("_gcs_blob", r"_(\d{6})_overview", 1)).drop("_gcs_blob")
+
+
+@query("SELECT 'land' AS step, count(*) AS landed, 1 AS tables FROM customer UNION ALL SELECT 'empty', 0, 0")
+def empty_input(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that are counted as they are written, and an input without rows, which leaves no table."""
+    rows = read(spark, sf_dir, "customer").selectExpr("cast(c_custkey AS string) AS a")
+    paths = {"land": scratch(spark, "raw"), "empty": scratch(spark, "raw")}
+    counts = {"land": landing.land(rows, paths["land"], LOAD), "empty": landing.land(rows.where("a < '0'"), paths["empty"], LOAD)}
+    return spark.createDataFrame(
+        [(k, n, int(path_exists(spark, paths[k]))) for k, n in counts.items()], "step string, landed long, tables int"
+    )
+
+
+@query(
+    """SELECT CAST(o_orderkey AS VARCHAR) AS campaign_id, o_orderstatus AS platform, 'l' AS locale, 'v' AS variation,
+    CASE WHEN o_custkey % 3 = 0 THEN '' ELSE CAST(o_custkey AS VARCHAR) END AS sent,
+    '' AS impression, '' AS click, '' AS ctr, '' AS attempted, '' AS failed, '' AS device_start, '' AS delivery_rate,
+    '' AS sent_rate, '' AS failure_rate,
+    CASE WHEN o_custkey % 2 = 0 THEN o_orderpriority ELSE '' END AS stat_platform,
+    CASE WHEN o_custkey % 2 = 1 THEN o_orderpriority ELSE '' END AS stat__source,
+    '{}' AS delivery_funnel, '{}' AS conversion_goal_stats FROM orders"""
+)
+def campaign_stats_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics whose names differ in case, or are those of leaf and load columns."""
+    entry = """concat('{"platforms":{"', o_orderstatus, '":{"locales":{"l":{"variations":{"v":{"performance_stats":{',
+        CASE o_custkey % 3 WHEN 0 THEN '' WHEN 1 THEN concat('"sent":', o_custkey, ',"Sent":0,')
+            ELSE concat('"SENT":', o_custkey, ',') END,
+        CASE o_custkey % 2 WHEN 0 THEN '"platform"' ELSE '"_source"' END, ':"', o_orderpriority, '"}}}}}}}}') AS entry"""
+    entries = read(spark, sf_dir, "orders").selectExpr("cast(o_orderkey AS string) AS campaign_id", entry)
+    return flatten.flatten_campaign_stats(payloads.parse_campaign_stats(entries))
+
+
+@query(
+    """SELECT CAST(c_custkey AS VARCHAR) AS campaign_id, '' AS channel, c_mktsegment AS status,
+    '' AS campaign_delivery_type, '' AS created_at, '' AS sent_time, '' AS basic_details, '' AS segmentation_details,
+    '' AS conversion_goal_details, c_name AS "campaign__run_id" FROM customer"""
+)
+def campaign_list_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Campaigns that spell a key in two ways, and have one called like a load column."""
+    value = """concat('[{"campaign_id":', c_custkey, ',"', CASE WHEN c_custkey % 2 = 0 THEN 'Status' ELSE 'status' END,
+        '":"', c_mktsegment, '","_run_id":"', c_name, '"}]') AS value"""
+    return payloads.parse_campaign_list(read(spark, sf_dir, "customer").selectExpr(value))
+
+
+@query(
+    """SELECT month AS date, media_source, campaign, '' AS country_code, 'android' AS platform,
+    impressions, impressions + 1 AS clicks, 1 AS installs, 2.0 AS cost FROM (
+      SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS month, o_orderpriority AS media_source,
+        o_orderstatus AS campaign, o_orderkey AS impressions FROM orders
+      QUALIFY row_number() OVER (PARTITION BY month, media_source, campaign
+        ORDER BY CAST(o_custkey AS BIGINT) % 3 DESC, o_orderkey DESC) = 1)"""
+)
+def incremental_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders landed in three loads, each folded into the stored tables before the next one comes."""
+    raw_root, tables = scratch(spark, "raw"), scratch(spark, "tables")
+    rows = read(spark, sf_dir, "orders").selectExpr(
+        "cast(date_trunc('month', o_orderdate) AS date) || ' 00:00:00' AS `Install Time`",
+        "o_orderpriority AS `Media Source`", "o_orderstatus AS `Campaign`", "'' AS `GEO`",
+        "cast(cast(o_orderkey AS bigint) AS string) AS `Impressions`",
+        "cast(cast(o_orderkey AS bigint) + 1 AS string) AS `Clicks`", "'1' AS `Installs`", "'2' AS `Cost`",
+        "cast(o_custkey AS bigint) % 3 AS part", f"cast(o_orderkey AS bigint) AS {LANDED_ROW}",
+    )
+    staging, mart = "stg_appsflyer_campaign_performance", "mart_appsflyer_campaign_performance"
+    for number in range(3):
+        load = landing.Load("generated", date(2026, 1, 1), date(2026, 1, 1), "app", "android",
+                            datetime(2026, 1, 1 + number, tzinfo=UTC), f"run-{number}")
+        stamped = landing.stamp(rows.where(F.col("part") == number).drop("part"), load)
+        stamped.withColumn(landing.INGEST_DAY, F.to_date("_ingested_at")).write.mode("append").partitionBy(
+            landing.INGEST_DAY
+        ).parquet(f"{raw_root}/{raw_name(staging).replace('.', '/')}")
+        found, _ = refresh_new_loads(spark, raw_root, tables, [mart])
+    return found[mart].select(
+        "date", "media_source", "campaign", "country_code", "platform", "impressions", "clicks", "installs", "cost"
+    )
