@@ -246,7 +246,8 @@ def count_stream(docs: DataFrame, least: int, longest: int, chunk_bytes: int) ->
             F.collect_list(F.struct("order", "frequent", "asked", "totals")).alias("told")
         )
         sent = map_rows(
-            chunks.join(answers, "chunk"), [*names, "told"], SENT,
+            # The same join at every size.
+            chunks.join(answers.hint("merge"), "chunk"), [*names, "told"], SENT,
             lambda found, orders=orders: _count_order(found, orders, longest, buckets),
         )
         told = add_up(sent)
