@@ -1,15 +1,20 @@
 """Hashed maximum-entropy language model with a class-factored softmax.
 
-P(word | history) = P(class | history) * P(word | class). A word's class is that of the bucket of
-its first bytes; buckets are clustered by the documents they occur in. P(class | history) is a
-softmax over weights of hashed features of the history: the last word (2-gram), the last two words
-as one (3-gram), and the second and third last words alone (skips). P(word | class) is the share
-of the word among the class's training tokens, with one more for each word and one for all
-unseen ones. The end of a text is a token and a class of its own.
-
-Counts come from all training texts. The weights are trained on all of them as well: every task
-takes gradient steps over its texts, and the weights of all tasks are averaged, each row by how
-often the tasks met it; a further round starts from the average. Words are 64-bit hashes.
+P(word | history) = P(class | history) * P(bucket | class, last word) * P(word | bucket). A word's
+bucket is a hash of the whole word; buckets are clustered into classes by the texts they occur in.
+
+P(class | history) is a softmax over weights of hashed features of the history: the last word
+(2-gram), the last two words (3-gram), and the second and third last words alone (skips).
+P(bucket | class, last word) is a softmax as well: each bucket starts from its share of the class,
+and each pair of last word and bucket that occurs has a weight of its own, so these weights grow
+with the corpus. They lie in a table of shards by the pair's hash; no task holds more than a shard.
+P(word | bucket) is the share of the word among the bucket's training tokens, with one more for each
+word and one for all unseen ones. The end of a text is a token, a bucket and a class of its own.
+
+Counts come from all training texts, and all weights are trained on all of them. Class weights:
+every task takes gradient steps over its texts, and the weights of all tasks are averaged, each row
+by how often the tasks met it. Pair weights: all pairs of a last word and a class meet in one shard,
+which takes gradient steps on their counts. Words are 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -21,22 +26,33 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from appkpi.llm.common import map_rows, settle
-from appkpi.llm.words import hash_words_and_starts, mix
+from appkpi.llm.words import hash_words, mix
 
-PREFIX_BYTES = 4
-BUCKET_BITS = 12
-PROFILE = 32
-CLASSES = 24
-PAIR_BITS = 13
+BUCKET_BITS = 13
+PROFILE = 16
+CLASSES = 12
+PAIR_BITS = 15
 ROUNDS = 1
 BATCH_TOKENS = 8192
 STEP = 0.3
 # Words that every task knows by heart: 16 bytes each. The others are joined.
 HOT_WORDS = 200_000
+# Pairs and contexts with at least this share of all tokens, so at most so many: every task knows their weights.
+HOT_SHARE = 200_000
 # Words whose counts a task holds before it passes them on.
 FLUSH_TOKENS = 4_000_000
+# Words of the texts that are looked up together.
+SCORE_TOKENS = 1_000_000
 # Rows of weights that are averaged together.
 SLICE_ROWS = 512
+# Shards of the word counts; shards of the pairs, of which there are more where they would pass SHARD_TOKENS.
+WORD_SHARDS = 1024
+PAIR_SHARDS = 64
+SHARD_TOKENS = 1 << 21
+# Shards that share the rare pairs of a frequent context.
+SPREAD = 16
+PAIR_STEPS = 6
+PAIR_PULL = 0.3
 
 BUCKETS = 1 << BUCKET_BITS
 # Rows of weights: three history places, each with a row for "before the text", then word pairs.
@@ -45,55 +61,139 @@ ROWS = HISTORY_ROWS + (1 << PAIR_BITS)
 
 
 def words_and_buckets(text: str | None):
-    """Word hashes and prefix buckets of a text in lower case (A-Z)."""
+    """Word hashes and buckets of a text in lower case (A-Z)."""
+    words = hash_words((text or "").encode().lower())
+    return words, buckets_of(words)
+
+
+def buckets_of(words):
     import numpy as np
 
-    words, starts = hash_words_and_starts((text or "").encode().lower(), PREFIX_BYTES)
-    return words, (mix(starts) >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
+    return (mix(words) >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
 
 
-def word_counts(training: DataFrame) -> DataFrame:
-    """``word`` (hash), ``bucket`` and ``n`` of every word of the texts."""
+def pair_codes(words, classes, buckets):
+    """For each word of a text the hash of its pair: last word and class, with the bucket in the low bits."""
+    import numpy as np
 
-    def rows(found: Iterator[tuple]) -> Iterator[tuple]:
-        import numpy as np
+    last = np.zeros(len(words), np.uint64)
+    last[1:] = words[:-1]
+    context = mix(last + (classes + 1).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    return context_of(context) | buckets.astype(np.uint64)
 
-        def flush(held: list) -> Iterator[tuple]:
-            word, bucket = (np.concatenate(x) for x in zip(*held, strict=True))
-            word, at, n = np.unique(word, return_index=True, return_counts=True)
-            yield from zip(word.view(np.int64).tolist(), bucket[at].tolist(), n.tolist(), strict=True)
 
-        held, size = [], 0
-        for (text,) in found:
-            held.append(words_and_buckets(text))
-            size += len(held[-1][0])
-            if size >= FLUSH_TOKENS or len(held) >= 100_000:
-                yield from flush(held)
-                held, size = [], 0
-        if held:
-            yield from flush(held)
+def context_of(codes):
+    import numpy as np
+
+    return codes & np.uint64((1 << 64) - BUCKETS)
+
+
+def shard_of(hashes, shards: int):
+    import numpy as np
+
+    return ((hashes >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)).astype(np.int64)
+
+
+def spread_shard(codes, shards: int):
+    """The shard of a pair whose context is frequent: one of the ``SPREAD`` that follow its context's."""
+    import numpy as np
+
+    return (shard_of(codes, shards) + (mix(codes) % np.uint64(SPREAD)).astype(np.int64)) % shards
+
+
+def counted(hashes, times=None):
+    """Distinct hashes in order, and how often each occurs."""
+    import numpy as np
+
+    if times is None:
+        return np.unique(hashes, return_counts=True)
+    order = np.argsort(hashes)
+    hashes, times = hashes[order], times[order]
+    first = np.flatnonzero(np.diff(hashes, prepend=~hashes[:1]))
+    return hashes[first], np.add.reduceat(times, first) if len(first) else times
+
+
+def in_shards(hashes, times, shards: int) -> Iterator[tuple]:
+    """(shard, hashes, times) of hashes in order, as bytes."""
+    import numpy as np
 
-    counted = map_rows(training, ["text"], "word long, bucket int, n long", rows)
-    return counted.groupBy("word").agg(F.min("bucket").alias("bucket"), F.sum("n").alias("n"))
+    edges = np.searchsorted(shard_of(hashes, shards), np.arange(shards + 1))
+    for k in np.flatnonzero(np.diff(edges)).tolist():
+        own = slice(edges[k], edges[k + 1])
+        yield k, hashes[own].tobytes(), times[own].astype(np.int64).tobytes()
 
 
-def profiles(training: DataFrame):
-    """For each bucket the mean mix of buckets, in ``PROFILE`` groups, of the texts it occurs in."""
+def of_shards(found: Iterator[tuple]) -> Iterator[tuple]:
+    """(shard, hashes, times) with each hash once, from rows in order of shard."""
     import numpy as np
 
+    shard, held, size = None, [], 0
+
+    def together():
+        return counted(*(np.concatenate(x) for x in zip(*held, strict=True)))
+
+    for at, hashes, times in found:
+        if at != shard:
+            if held:
+                yield shard, *together()
+            shard, held, size = at, [], 0
+        held.append((np.frombuffer(hashes, np.uint64), np.frombuffer(times, np.int64)))
+        size += len(held[-1][0])
+        if size >= FLUSH_TOKENS and len(held) > 1:
+            held = [together()]
+            # What stays is not counted again, so that it isn't merged at every step.
+            size = 0
+    if held:
+        yield shard, *together()
+
+
+def by_shard(parts: DataFrame) -> DataFrame:
+    return parts.repartition("shard").sortWithinPartitions("shard")
+
+
+def count_texts(training: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``word`` (hash), ``bucket`` and ``n`` of every word, and slices of the buckets' profiles.
+
+    A bucket's profile is the mean mix of buckets, in ``PROFILE`` groups, of the texts it occurs in.
+    """
+
     def rows(found: Iterator[tuple]) -> Iterator[tuple]:
+        import numpy as np
+
+        def flush() -> Iterator[tuple]:
+            for shard, words, times in in_shards(*counted(np.concatenate(held)), WORD_SHARDS):
+                yield shard, words, times, None
+
         total = np.zeros((BUCKETS, PROFILE), np.float32)
+        held, size = [], 0
         for (text,) in found:
-            _, bucket = words_and_buckets(text)
-            if len(bucket):
-                kinds, n = np.unique(bucket, return_counts=True)
-                share = np.bincount(kinds % PROFILE, n, PROFILE) / n.sum()
-                total[kinds] += n[:, None].astype(np.float32) * share.astype(np.float32)
+            words, bucket = words_and_buckets(text)
+            if not len(bucket):
+                continue
+            n = np.bincount(bucket, minlength=BUCKETS)
+            kinds = np.flatnonzero(n)
+            n = n[kinds].astype(np.float32)
+            total[kinds] += n[:, None] * (np.bincount(kinds % PROFILE, n, PROFILE) / n.sum()).astype(np.float32)
+            held.append(words)
+            size += len(words)
+            if size >= FLUSH_TOKENS or len(held) >= 100_000:
+                yield from flush()
+                held, size = [], 0
+        if held:
+            yield from flush()
         for at in range(0, BUCKETS, SLICE_ROWS):
-            yield at // SLICE_ROWS, total[at : at + SLICE_ROWS].tobytes()
+            yield at // SLICE_ROWS, None, None, total[at : at + SLICE_ROWS].tobytes()
 
-    parts = map_rows(training, ["text"], "slice int, value binary", rows)
-    return np.concatenate([x for x, in _summed(parts, 1)]).reshape(BUCKETS, PROFILE)
+    def merge(found: Iterator[tuple]) -> Iterator[tuple]:
+        for _, words, times in of_shards(found):
+            yield from zip(words.view("int64").tolist(), buckets_of(words).tolist(), times.tolist(), strict=True)
+
+    parts = settle(
+        map_rows(training, ["text"], "shard int, words binary, times binary, value binary", rows), "text-counts"
+    )
+    words = by_shard(parts.where("value is null").select("shard", "words", "times"))
+    counts = map_rows(words, ["shard", "words", "times"], "word long, bucket int, n long", merge)
+    return counts, parts.where("value is not null").select(F.col("shard").alias("slice"), "value")
 
 
 def _summed(parts: DataFrame, columns: int) -> list[tuple]:
@@ -188,6 +288,13 @@ class Model:
     texts: int
     hot: object
     hot_counts: object
+    # Share of each bucket in its class, natural log of what frequent contexts and pairs add, shards of the rest.
+    share: object
+    contexts: object = None
+    context_logs: object = None
+    pairs: object = None
+    pair_logs: object = None
+    shards: int = PAIR_SHARDS
 
     def classes_of(self, buckets):
         import numpy as np
@@ -224,7 +331,7 @@ def descend(model: Model, past, rows, classes, met) -> None:
 
 
 def train_weights(training: DataFrame, model: Model):
-    """Weights after a pass of all tasks over their texts, averaged."""
+    """Weights after a pass of all tasks over their texts, averaged, and counts of the pairs met."""
     import numpy as np
 
     start = training.sparkSession.sparkContext.broadcast(model)
@@ -236,6 +343,11 @@ def train_weights(training: DataFrame, model: Model):
         past = np.ones_like(own.weights)
         met = np.zeros(ROWS, np.float32)
         held, size = [], 0
+        codes, pairs = [], 0
+
+        def flush() -> Iterator[tuple]:
+            for shard, *values in in_shards(*counted(np.concatenate(codes)), own.shards):
+                yield shard, *values, True
 
         def step() -> None:
             at, classes = (np.concatenate(x, axis=-1) for x in zip(*held, strict=True))
@@ -244,59 +356,169 @@ def train_weights(training: DataFrame, model: Model):
 
         for (text,) in found:
             words, buckets = words_and_buckets(text)
-            held.append((history_rows(words, buckets), own.classes_of(buckets)))
-            size += len(words) + 1
+            classes = own.classes_of(buckets)
+            held.append((history_rows(words, buckets), classes))
+            codes.append(pair_codes(words, classes[:-1], buckets))
+            size, pairs = size + len(words) + 1, pairs + len(words)
+            if pairs >= FLUSH_TOKENS or len(codes) >= 100_000:
+                yield from flush()
+                codes, pairs = [], 0
             if size >= BATCH_TOKENS:
                 step()
                 held, size = [], 0
         if held:
             step()
+        if codes:
+            yield from flush()
         for at in range(0, ROWS, SLICE_ROWS):
             n = met[at : at + SLICE_ROWS]
             value = own.weights[at : at + SLICE_ROWS] * n[:, None]
-            yield at // SLICE_ROWS, value.astype(np.float32).tobytes(), n.tobytes()
+            yield at // SLICE_ROWS, value.astype(np.float32).tobytes(), n.tobytes(), False
 
-    parts = map_rows(training, ["text"], "slice int, value binary, weight binary", rows)
-    slices = _summed(parts, 2)
+    schema = "slice int, value binary, weight binary, pairs boolean"
+    parts = settle(map_rows(training, ["text"], schema, rows), "trained")
+    met_pairs = parts.where("pairs").select(F.col("slice").alias("shard"), "value", "weight")
+    slices = _summed(parts.where("not pairs"), 2)
     if not slices:
-        return model.weights
+        return model.weights, met_pairs
     met = np.concatenate([n for _, n in slices])[:, None]
     total = np.concatenate([v for v, _ in slices]).reshape(ROWS, -1)
-    return np.where(met > 0, total / np.maximum(met, 1), model.weights).astype(np.float32)
+    return np.where(met > 0, total / np.maximum(met, 1), model.weights).astype(np.float32), met_pairs
+
+
+def fit_pairs(share, codes, times):
+    """(context, log of its normaliser, its tokens) and the weight of each pair, of pairs in order.
+
+    P(bucket | context) is share * exp(weight) / normaliser, where pairs never met have weight zero.
+    Each step follows the gradient of the likelihood, drawn to zero, scaled by its curvature: first
+    every weight by itself, then all weights of a context together.
+    """
+    import numpy as np
+
+    first = np.flatnonzero(np.diff(context_of(codes), prepend=~codes[:1]))
+    size = np.diff(first, append=len(codes))
+    total = np.add.reduceat(times, first)
+    own, n = share[(codes & np.uint64(BUCKETS - 1)).astype(np.int64)], np.repeat(total, size)
+    weight = np.log((times + PAIR_PULL) / (n * own + PAIR_PULL))
+    rest = np.maximum(1e-9, 1 - np.add.reduceat(own, first))
+
+    def masses():
+        met = own * np.exp(weight)
+        return met, rest + np.add.reduceat(met, first)
+
+    for _ in range(PAIR_STEPS):
+        met, norm = masses()
+        due = n * met / np.repeat(norm, size)
+        weight += np.clip((times - due - PAIR_PULL * weight) / (due + PAIR_PULL), -1, 1)
+        met, norm = masses()
+        left = rest / norm
+        slope = total * left - PAIR_PULL * np.add.reduceat(weight, first)
+        weight += np.repeat(np.clip(slope / (total * left * (1 - left) + PAIR_PULL * size), -1, 1), size)
+    return context_of(codes[first]), np.log(masses()[1]), total, weight
 
 
-def train(training: DataFrame, rounds: int = ROUNDS) -> tuple[Model, DataFrame]:
-    """The model of the ``text`` column and the counts of all its words."""
+PAIRS = "shard int, codes binary, logs binary, contexts binary, context_logs binary, hot boolean"
+
+
+def train_pairs(met: DataFrame, model: Model) -> DataFrame:
+    """Weights of all pairs, by shard. Rows marked ``hot`` are for every task; they are few, whatever the corpus."""
+    shared = met.sparkSession.sparkContext.broadcast((model.share, model.shards, max(1, model.tokens / HOT_SHARE)))
+
+    def rows(found: Iterator[tuple]) -> Iterator[tuple]:
+        import numpy as np
+
+        share, shards, least = shared.value
+        for shard, codes, times in of_shards(found):
+            contexts, log_z, total, weight = fit_pairs(share, codes, times)
+            frequent = total >= least
+            size = np.diff(np.searchsorted(context_of(codes), contexts), append=len(codes))
+            in_frequent, hot = np.repeat(frequent, size), times >= least
+            # A pair of a context that is not frequent holds all it adds; in a frequent one the task adds the rest.
+            logs = weight - np.where(in_frequent, 0, np.repeat(log_z, size))
+
+            def row(k, pairs, of=None, hot=False):
+                of = np.zeros(len(contexts), bool) if of is None else of
+                return (
+                    k, codes[pairs].tobytes(), logs[pairs].astype(np.float32).tobytes(),
+                    contexts[of].tobytes(), (-log_z[of]).astype(np.float32).tobytes(), hot,
+                )
+
+            yield row(shard, ~in_frequent, ~frequent)
+            if frequent.any():
+                yield row(shard, hot, frequent, True)
+                rest = in_frequent & ~hot
+                place = spread_shard(codes, shards)
+                for k in np.unique(place[rest]).tolist():
+                    yield row(k, rest & (place == k))
+
+    names = ["shard", "value", "weight"]
+    return settle(map_rows(by_shard(met.select(*names)), names, PAIRS, rows), "pair-weights")
+
+
+def at_places(table, keys):
+    """Places of ``keys`` in an ordered table, and whether they are there."""
+    import numpy as np
+
+    if not len(table):
+        return np.zeros(len(keys), np.int64), np.zeros(len(keys), bool)
+    at = np.searchsorted(table, keys)
+    at[at == len(table)] = 0
+    return at, table[at] == keys
+
+
+def train(training: DataFrame, rounds: int = ROUNDS) -> tuple[Model, DataFrame, DataFrame]:
+    """The model of the ``text`` column, the counts of all its words and the weights of all its pairs.
+
+    Null and empty texts are one token, the end. Repeated rows count as often as they stand there. A
+    table without rows gives counts of zero. Columns other than ``text`` are not read.
+    """
     import numpy as np
 
     training = training.select("text")
-    counts = settle(word_counts(training), "word-counts")
+    counts, profile = count_texts(training)
+    counts = settle(counts, "word-counts")
     texts = training.count()
     # One row per bucket: a fixed number.
     of_bucket = counts.groupBy("bucket").agg(F.sum("n").alias("n"), F.count("*").alias("kinds")).collect()
     tokens, kinds = np.zeros(BUCKETS), np.zeros(BUCKETS)
     for r in of_bucket:
         tokens[r["bucket"]], kinds[r["bucket"]] = r["n"], r["kinds"]
-    classes = cluster(profiles(training), tokens) if texts else np.zeros(BUCKETS, np.int64)
-    mass = np.ones(CLASSES + 1)
-    np.add.at(mass, classes, tokens + kinds)
+    slices = _summed(profile, 1)
+    classes = np.zeros(BUCKETS, np.int64)
+    if slices and tokens.any():
+        classes = cluster(np.concatenate([x for x, in slices]).reshape(BUCKETS, PROFILE), tokens)
+    # Each bucket has a place for unseen words.
+    of_buckets = tokens + kinds + 1
+    mass = np.zeros(CLASSES + 1)
+    np.add.at(mass, classes, of_buckets)
     # The end of a text is the only word of its class.
     mass[CLASSES] = texts + 1
     hot = hot_words(counts)
+    all_tokens = int(tokens.sum()) + texts
     model = Model(
         weights=np.zeros((ROWS, CLASSES + 1), np.float32),
-        prior=np.log(mass / mass.sum()).astype(np.float32),
+        prior=np.log(np.maximum(mass, 1e-9) / mass.sum()).astype(np.float32),
         classes=classes,
-        log_mass=np.log10(mass),
-        tokens=int(tokens.sum()) + texts,
+        log_mass=np.log10(np.maximum(mass, 1e-9)),
+        tokens=all_tokens,
         kinds=int(kinds.sum()) + (texts > 0),
         texts=texts,
         hot=hot[0],
         hot_counts=hot[1],
+        share=of_buckets / mass[classes],
+        shards=max(PAIR_SHARDS, -(-all_tokens // SHARD_TOKENS)),
     )
-    for _ in range(rounds if texts else 0):
-        model.weights = train_weights(training, model)
-    return model, counts
+    for _ in range(max(1, rounds)):
+        model.weights, met = train_weights(training, model)
+    pairs = train_pairs(met, model)
+    for names, kind in ((("contexts", "context_logs"), "contexts"), (("codes", "logs"), "pairs")):
+        # At most ``HOT_SHARE`` of each.
+        found = pairs.where("hot").select(*names).collect()
+        keys = np.frombuffer(b"".join(r[0] for r in found), np.uint64)
+        logs, order = np.frombuffer(b"".join(r[1] for r in found), np.float32), np.argsort(keys)
+        setattr(model, kind, keys[order])
+        setattr(model, "context_logs" if kind == "contexts" else "pair_logs", logs[order])
+    return model, counts, pairs.where("not hot").drop("hot")
 
 
 def hot_words(counts: DataFrame, most: int = HOT_WORDS):
@@ -320,24 +542,95 @@ def hot_words(counts: DataFrame, most: int = HOT_WORDS):
 
 
 SCORED = (
-    "doc_id long, held_out boolean, n_tokens long, hot_known long, class_part double, hot_log double, "
-    "rare array<long>, times array<long>"
+    "row long, doc_id long, held_out boolean, n_tokens long, hot_known long, log_part double, hot_log double, "
+    "rare array<long>, times array<long>, shard int, codes binary, places binary, repeats binary"
 )
 
 
-def score(docs: DataFrame, model: Model, counts: DataFrame, held_out: Column) -> DataFrame:
+def look_up(pairs: DataFrame, asked: DataFrame) -> DataFrame:
+    """``row`` and the logs of the pairs a row asks for, from the shards they lie in."""
+    from appkpi.llm.common import _arrow_schema, in_small_batches, unpack
+
+    asked = asked.select(
+        "shard", F.lit(1).alias("kind"), "row", "codes", F.col("places").alias("a"), F.col("repeats").alias("b"),
+        F.lit(None).cast("binary").alias("c"),
+    )
+    known = pairs.select(
+        "shard", F.lit(0).alias("kind"), F.lit(None).cast("long").alias("row"), "codes", F.col("logs").alias("a"),
+        F.col("contexts").alias("b"), F.col("context_logs").alias("c"),
+    )
+    both = known.unionByName(asked).repartition("shard").sortWithinPartitions("shard", "kind")
+    target = _arrow_schema(pairs.sparkSession, "row long, log_part double")
+
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        def ordered(keys, logs):
+            keys, logs = np.concatenate(keys or [np.zeros(0, np.uint64)]), np.concatenate(logs or [np.zeros(0)])
+            order = np.argsort(keys)
+            return keys[order], logs[order]
+
+        shard, tables, held = None, None, ([], [], [], [])
+        for at, kind, row, codes, a, b, c in unpack(batches):
+            if at != shard:
+                shard, tables, held = at, None, ([], [], [], [])
+            codes = np.frombuffer(codes, np.uint64)
+            if kind == 0:
+                types = (np.float32, np.uint64, np.float32)
+                for own, x in zip(held, (codes, *map(np.frombuffer, (a, b, c), types)), strict=True):
+                    own.append(x)
+                continue
+            if tables is None:
+                tables = ordered(*held[:2]), ordered(*held[2:])
+            (keys, logs), (contexts, context_logs) = tables
+            value = np.zeros(len(codes))
+            place, found = at_places(contexts, context_of(codes))
+            value[found] = context_logs[place[found]]
+            place, found = at_places(keys, codes)
+            value[found] = logs[place[found]]
+            doc, own = np.unique(np.frombuffer(a, np.uint32), return_inverse=True)
+            part = np.bincount(own, value * np.frombuffer(b, np.uint32), len(doc))
+            yield pa.RecordBatch.from_arrays([pa.array(row + doc.astype(np.int64)), pa.array(part)], schema=target)
+
+    return in_small_batches(both).mapInArrow(run, "row long, log_part double")
+
+
+def score(docs: DataFrame, model: Model, counts: DataFrame, pairs: DataFrame, held_out: Column) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of each row's text.
 
     Null texts count as empty: one token, the end. Words beyond the hot ones meet their counts in a
-    join on the word, once per text. Rows may repeat or lack ids. Other columns are not read.
+    join on the word, once per text; pairs meet their weights in their shard, some million tokens of
+    texts at a time. Rows may repeat or lack ids; without one, ``held_out`` may be null. Other columns are not read.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def rows(found: Iterator[tuple]) -> Iterator[tuple]:
         import numpy as np
+        from pyspark import TaskContext
 
         model = shared.value
-        for doc_id, held, text in found:
+        row = TaskContext.get().partitionId() << 40
+        held, size, start = [], 0, row
+
+        def flush() -> Iterator[tuple]:
+            codes = np.concatenate(held)
+            place = np.repeat(np.arange(len(held), dtype=np.uint32), [len(c) for c in held])
+            frequent = at_places(model.contexts, context_of(codes))[1]
+            shard = np.where(frequent, spread_shard(codes, model.shards), shard_of(codes, model.shards))
+            order = np.lexsort((codes, place, shard))
+            codes, place, shard = codes[order], place[order], shard[order]
+            new = np.ones(len(codes), bool)
+            new[1:] = (codes[1:] != codes[:-1]) | (place[1:] != place[:-1])
+            first = np.flatnonzero(new)
+            times = np.diff(first, append=len(codes)).astype(np.uint32)
+            codes, place, shard = codes[first], place[first], shard[first]
+            edges = np.flatnonzero(np.diff(shard, prepend=-1))
+            for a, b in zip(edges.tolist(), [*edges[1:].tolist(), len(codes)], strict=True):
+                own = slice(a, b)
+                yield start, *[None] * 8, int(shard[a]), codes[own].tobytes(), place[own].tobytes(), times[own].tobytes()
+
+        for doc_id, is_held, text in found:
             words, buckets = words_and_buckets(text)
             classes, history = model.classes_of(buckets), history_rows(words, buckets)
             part = -model.log_mass[classes].sum()
@@ -345,23 +638,37 @@ def score(docs: DataFrame, model: Model, counts: DataFrame, held_out: Column) ->
                 log_p = model.log_probabilities(history[:, at : at + BATCH_TOKENS])
                 own = classes[at : at + BATCH_TOKENS]
                 part += float(log_p[np.arange(len(own)), own].sum(dtype=np.float64)) / np.log(10)
+            codes = pair_codes(words, classes[:-1], buckets)
+            at, there = at_places(model.contexts, context_of(codes))
+            part += float(model.context_logs[at[there]].sum(dtype=np.float64)) / np.log(10)
+            at, there = at_places(model.pairs, codes)
+            part += float(model.pair_logs[at[there]].sum(dtype=np.float64)) / np.log(10)
+            held.append(codes[~there])
+            size += len(held[-1])
             word, n = np.unique(words.view(np.int64), return_counts=True)
-            at = np.searchsorted(model.hot, word)
-            at[at == len(model.hot)] = 0
-            hot = model.hot[at] == word if len(model.hot) else np.zeros(len(word), bool)
+            at, hot = at_places(model.hot, word)
             hot_log = float((n[hot] * np.log10(model.hot_counts[at[hot]] + 1)).sum())
             known = int(n[hot].sum())
-            yield doc_id, held, len(classes), known, part, hot_log, word[~hot].tolist(), n[~hot].tolist()
-
-    scored = settle(
+            yield (
+                row, doc_id, is_held, len(classes), known, part, hot_log, word[~hot].tolist(), n[~hot].tolist(),
+                *[None] * 4,
+            )
+            row += 1
+            if size >= SCORE_TOKENS or len(held) >= 100_000:
+                yield from flush()
+                held, size, start = [], 0, row
+        if size:
+            yield from flush()
+
+    both = settle(
         map_rows(
-            docs.select("doc_id", held_out.alias("held_out"), "text"),
-            ["doc_id", "held_out", "text"],
-            SCORED,
-            rows,
-        ).withColumn("row", F.monotonically_increasing_id()),
+            docs.select("doc_id", held_out.alias("held_out"), "text"), ["doc_id", "held_out", "text"], SCORED, rows
+        ),
         "scored",
     )
+    scored = both.where("shard is null").drop("shard", "codes", "places", "repeats")
+    found = look_up(pairs, both.where("shard is not null").select("row", "shard", "codes", "places", "repeats"))
+    of_pairs = found.groupBy("row").agg((F.sum("log_part") / F.log(F.lit(10.0))).alias("pair_log"))
     rare = scored.select("row", F.explode(F.arrays_zip("rare", "times")).alias("w")).select(
         "row", F.col("w.rare").alias("word"), F.col("w.times").alias("k")
     )
@@ -373,12 +680,12 @@ def score(docs: DataFrame, model: Model, counts: DataFrame, held_out: Column) ->
     end_log, ends_known = F.log10(F.lit(model.texts + 1.0)), F.lit(int(model.texts > 0))
     logs = F.col("hot_log") + F.coalesce("rare_log", F.lit(0.0)) + end_log
     space = F.log10(F.lit(float(model.tokens + model.kinds + 1)))
-    return scored.join(known, "row", "left").select(
+    return scored.join(known, "row", "left").join(of_pairs, "row", "left").select(
         "doc_id",
         "held_out",
         "n_tokens",
         (F.col("hot_known") + F.coalesce("rare_known", F.lit(0)) + ends_known).cast("long").alias("n_known"),
         F.lit(model.tokens).cast("long").alias("train_tokens"),
         (logs - F.col("n_tokens") * space).alias("base_score"),
-        (logs + F.col("class_part")).alias("score"),
+        (logs + F.col("log_part") + F.coalesce("pair_log", F.lit(0.0))).alias("score"),
     )

@@ -99,8 +99,8 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op4_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
-    model, counts = lm.train(docs.where(fold(7) != 2))
-    return lm.score(docs, model, counts, fold(7) == 2)
+    model, counts, pairs = lm.train(docs.where(fold(7) != 2))
+    return lm.score(docs, model, counts, pairs, fold(7) == 2)
 
 
 @query()

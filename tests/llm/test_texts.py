@@ -414,8 +414,10 @@ def test_model_beats_the_word_shares(documents, two_languages, odd_rows, monkeyp
     rows = two_languages + [(1000 + k, t) for k, (_, t) in enumerate(odd_rows)]
     docs = documents(rows).repartition(3)
     held = F.col("doc_id") % 7 == 2
-    model, counts = lm.train(docs.where("doc_id % 7 <> 2"))
-    found = lm.score(docs, model, counts, held).collect()
+    monkeypatch.setattr(lm, "SCORE_TOKENS", 500)
+    monkeypatch.setattr(lm, "HOT_SHARE", 50)
+    model, counts, pairs = lm.train(docs.where("doc_id % 7 <> 2"))
+    found = lm.score(docs, model, counts, pairs, held).collect()
     assert len(found) == len(rows)
     seen = Counter()
     for i, text in rows:
@@ -432,24 +434,67 @@ def test_model_beats_the_word_shares(documents, two_languages, odd_rows, monkeyp
     assert sum(r.score for r in held_out) > sum(r.base_score for r in held_out) + 0.15 * sum(r.n_tokens for r in held_out)
 
 
-def test_probabilities_of_all_words_sum_to_one(documents, two_languages):
-    model, counts = lm.train(documents(two_languages))
-    kinds = np.bincount(model.classes[[r.bucket for r in counts.collect()]], minlength=lm.CLASSES)
-    mass = np.zeros(lm.CLASSES)
-    for r in counts.collect():
-        mass[model.classes[r.bucket]] += r.n + 1
-    # In each class the words and one place for unseen ones.
-    assert np.allclose((mass + 1)[kinds > 0], (10 ** model.log_mass[:-1])[kinds > 0])
-    words, buckets = lm.words_and_buckets(two_languages[0][1])
-    log_p = model.log_probabilities(lm.history_rows(words, buckets))
+def plain_pairs(pairs):
+    """Natural log that each pair adds, and each context where a pair is not known."""
+    known, contexts = {}, {}
+    for r in pairs.collect():
+        for out, keys, logs in ((known, r.codes, r.logs), (contexts, r.contexts, r.context_logs)):
+            out.update(zip(np.frombuffer(keys, np.uint64).tolist(), np.frombuffer(logs, np.float32).tolist()))
+    return known, contexts
+
+
+@pytest.mark.parametrize("hot_share", [1, 200, 200_000])
+def test_probabilities_of_all_words_sum_to_one(documents, two_languages, hot_share, monkeypatch):
+    monkeypatch.setattr(lm, "HOT_SHARE", hot_share)
+    model, counts, pairs = lm.train(documents(two_languages))
+    words = {r.word: r for r in counts.collect()}
+    known, contexts = plain_pairs(pairs)
+    of_hot = dict(zip(model.contexts.tolist(), model.context_logs.tolist()))
+    hot_pairs = dict(zip(model.pairs.tolist(), model.pair_logs.tolist()))
+
+    def pair_log(code):
+        context = code & ~(lm.BUCKETS - 1)
+        if context in of_hot:
+            return of_hot[context] + hot_pairs.get(code, known.get(code, 0))
+        return known.get(code, contexts.get(context, 0))
+
+    text = two_languages[0][1]
+    text_words, buckets = lm.words_and_buckets(text)
+    log_p = model.log_probabilities(lm.history_rows(text_words, buckets))
     assert np.allclose(np.exp(log_p).sum(axis=1), 1, atol=1e-4)
+    # After a word: every bucket of every class, and inside a bucket its words and one place for unseen ones.
+    last = np.repeat(text_words[3], lm.BUCKETS)
+    every = np.arange(lm.BUCKETS)
+    codes = np.array([lm.pair_codes(np.array([h, h]), model.classes[[b, b]], np.array([b, b]))[1] for h, b in zip(last, every)])
+    chance = model.share * np.exp([pair_log(c) for c in codes.tolist()])
+    assert np.allclose(np.bincount(model.classes, chance, lm.CLASSES)[np.unique(model.classes)], 1, atol=1e-3)
+    # The score of the text, word by word.
+    score = 0.0
+    pair_codes = lm.pair_codes(text_words, model.classes[buckets], buckets).tolist()
+    for k, word in enumerate([*text_words.view(np.int64).tolist(), None]):
+        c = lm.CLASSES if word is None else model.classes[buckets[k]]
+        n = model.texts if word is None else words[word].n
+        pair = 0 if word is None else pair_log(pair_codes[k])
+        score += (log_p[k, c] + pair) / math.log(10) + math.log10(n + 1) - model.log_mass[c]
+    found = lm.score(documents([two_languages[0]]), model, counts, pairs, F.lit(True)).first()
+    assert found.score == pytest.approx(score, rel=1e-5)
+
+
+def test_pair_weights_follow_the_counts(documents, two_languages):
+    """Where the pull to zero is weak against the counts, a pair's chance is its share of the context."""
+    share = np.full(lm.BUCKETS, 1 / lm.BUCKETS)
+    codes = np.array([1 << 40 | 5, 1 << 40 | 9, 2 << 40 | 5], np.uint64)
+    contexts, log_z, total, weight = lm.fit_pairs(share, codes, np.array([6000, 2000, 900]))
+    assert contexts.tolist() == [1 << 40, 2 << 40] and total.tolist() == [8000, 900]
+    chance = np.exp(weight - log_z[[0, 0, 1]]) / lm.BUCKETS
+    assert np.allclose(chance, [0.75, 0.25, 1], atol=0.01)
 
 
 def test_language_model_of_no_texts(documents):
     none = documents([(1, "a")]).limit(0)
-    model, counts = lm.train(none)
-    assert lm.score(none, model, counts, F.lit(False)).count() == 0
-    r = lm.score(documents([(1, "a b")]), model, counts, F.lit(True)).first()
+    model, counts, pairs = lm.train(none)
+    assert lm.score(none, model, counts, pairs, F.lit(False)).count() == 0
+    r = lm.score(documents([(1, "a b")]), model, counts, pairs, F.lit(True)).first()
     assert (r.n_tokens, r.n_known, r.train_tokens) == (3, 0, 0)
 
 
