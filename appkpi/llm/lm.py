@@ -31,7 +31,7 @@ from appkpi.llm.words import hash_words, mix
 BUCKET_BITS = 13
 PROFILE = 16
 CLASSES = 12
-PAIR_BITS = 15
+PAIR_BITS = 14
 ROUNDS = 1
 BATCH_TOKENS = 8192
 STEP = 0.3
@@ -94,11 +94,34 @@ def shard_of(hashes, shards: int):
     return ((hashes >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)).astype(np.int64)
 
 
-def spread_shard(codes, shards: int):
+def spread_shard(shard, codes, shards: int):
     """The shard of a pair whose context is frequent: one of the ``SPREAD`` that follow its context's."""
     import numpy as np
 
-    return (shard_of(codes, shards) + (mix(codes) % np.uint64(SPREAD)).astype(np.int64)) % shards
+    return (shard + (mix(codes) % np.uint64(SPREAD)).astype(np.int64)) % shards
+
+
+def in_shard(codes, shard):
+    """Pairs as their shard knows them: 48 bits of the hash, and the shard. Shards, so hashes, grow with the corpus."""
+    import numpy as np
+
+    high = np.asarray(shard, np.int64).astype(np.uint64) << np.uint64(48)
+    return codes & np.uint64((1 << 48) - 1) | high
+
+
+def packed(codes) -> bytes:
+    """The 48 bits of each pair."""
+    import numpy as np
+
+    return np.ascontiguousarray(codes, "<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+
+
+def unpacked(raw: bytes, shard: int):
+    import numpy as np
+
+    codes = np.zeros((len(raw) // 6, 8), np.uint8)
+    codes[:, :6] = np.frombuffer(raw, np.uint8).reshape(-1, 6)
+    return in_shard(codes.view("<u8").ravel(), shard)
 
 
 def counted(hashes, times=None):
@@ -113,17 +136,17 @@ def counted(hashes, times=None):
     return hashes[first], np.add.reduceat(times, first) if len(first) else times
 
 
-def in_shards(hashes, times, shards: int) -> Iterator[tuple]:
+def in_shards(hashes, times, shards: int, pairs: bool = False) -> Iterator[tuple]:
     """(shard, hashes, times) of hashes in order, as bytes."""
     import numpy as np
 
     edges = np.searchsorted(shard_of(hashes, shards), np.arange(shards + 1))
     for k in np.flatnonzero(np.diff(edges)).tolist():
         own = slice(edges[k], edges[k + 1])
-        yield k, hashes[own].tobytes(), times[own].astype(np.int64).tobytes()
+        yield k, packed(hashes[own]) if pairs else hashes[own].tobytes(), times[own].astype(np.uint32).tobytes()
 
 
-def of_shards(found: Iterator[tuple]) -> Iterator[tuple]:
+def of_shards(found: Iterator[tuple], pairs: bool = False) -> Iterator[tuple]:
     """(shard, hashes, times) with each hash once, from rows in order of shard."""
     import numpy as np
 
@@ -137,8 +160,9 @@ def of_shards(found: Iterator[tuple]) -> Iterator[tuple]:
             if held:
                 yield shard, *together()
             shard, held, size = at, [], 0
-        held.append((np.frombuffer(hashes, np.uint64), np.frombuffer(times, np.int64)))
-        size += len(held[-1][0])
+        hashes = unpacked(hashes, at) if pairs else np.frombuffer(hashes, np.uint64)
+        held.append((hashes, np.frombuffer(times, np.uint32).astype(np.int64)))
+        size += len(hashes)
         if size >= FLUSH_TOKENS and len(held) > 1:
             held = [together()]
             # What stays is not counted again, so that it isn't merged at every step.
@@ -197,7 +221,7 @@ def count_texts(training: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def _summed(parts: DataFrame, columns: int) -> list[tuple]:
-    """Arrays of each slice summed over all tasks, in order of slice; they have a fixed size."""
+    """Slices and their arrays summed over all tasks, in order of slice; they have a fixed size."""
     import numpy as np
 
     names = ["value", "weight"][:columns]
@@ -205,12 +229,16 @@ def _summed(parts: DataFrame, columns: int) -> list[tuple]:
     def rows(found: Iterator[tuple]) -> Iterator[tuple]:
         total: dict[int, list] = {}
         for at, *values in found:
-            arrays = [np.frombuffer(v, np.float32).astype(np.float64) for v in values]
+            arrays = [np.frombuffer(values[-1], np.float32).astype(np.float64)]
+            if columns == 2:
+                # Weights travel in half precision and count as often as their row was met.
+                value = np.frombuffer(values[0], np.float16).reshape(len(arrays[0]), -1)
+                arrays.insert(0, (value * arrays[0][:, None]).ravel())
             own = total.setdefault(at, [np.zeros_like(a) for a in arrays])
             for a, b in zip(own, arrays, strict=True):
                 a += b
         for at, arrays in total.items():
-            yield at, *(a.tobytes() for a in arrays)
+            yield at, *(a.astype(np.float32).tobytes() for a in arrays)
 
     schema = ", ".join(["slice int", *(f"{c} binary" for c in names)])
     # Twice, so that no task reads a slice of every task of a large table.
@@ -222,8 +250,8 @@ def _summed(parts: DataFrame, columns: int) -> list[tuple]:
     def again(found: Iterator[tuple]) -> Iterator[tuple]:
         total: dict[int, list] = {}
         for at, *values in found:
-            arrays = [np.frombuffer(v, np.float64) for v in values]
-            own = total.setdefault(at, [np.zeros_like(a) for a in arrays])
+            arrays = [np.frombuffer(v, np.float32) for v in values]
+            own = total.setdefault(at, [np.zeros(len(a)) for a in arrays])
             for a, b in zip(own, arrays, strict=True):
                 a += b
         for at, arrays in total.items():
@@ -231,7 +259,7 @@ def _summed(parts: DataFrame, columns: int) -> list[tuple]:
 
     last = map_rows(halves.repartition("slice"), ["slice", *names], schema, again)
     found = sorted(last.collect())
-    return [tuple(np.frombuffer(v, np.float64) for v in r[1:]) for r in found]
+    return [(r[0], *(np.frombuffer(v, np.float64) for v in r[1:])) for r in found]
 
 
 def cluster(profile, tokens):
@@ -301,14 +329,22 @@ class Model:
 
         return np.append(self.classes[buckets], CLASSES)
 
-    def log_probabilities(self, rows):
-        """Natural log of P(class | history), for every class."""
-        import numpy as np
-
+    def pulls(self, rows):
+        """What each class of each history has in the exponent, the largest being zero."""
         w = self.weights
-        z = self.prior + w[rows[0]] + w[rows[1]] + w[rows[2]] + w[rows[3]]
+        z = self.prior + w[rows[0]]
+        for own in rows[1:]:
+            z += w[own]
         z -= z.max(axis=1, keepdims=True)
-        return z - np.log(np.exp(z).sum(axis=1, keepdims=True))
+        return z
+
+    def log_probabilities(self, rows, classes):
+        """Natural log of P(class | history) of one class for each history."""
+        import numpy as np
+
+        z = self.pulls(rows)
+        own = z[np.arange(len(classes)), classes]
+        return own - np.log(np.exp(z, out=z).sum(axis=1))
 
 
 def descend(model: Model, past, rows, classes, met) -> None:
@@ -316,10 +352,12 @@ def descend(model: Model, past, rows, classes, met) -> None:
     import numpy as np
 
     n = len(classes)
-    pull = np.exp(model.log_probabilities(rows))
+    pull = model.pulls(rows)
+    np.exp(pull, out=pull)
+    pull /= pull.sum(axis=1, keepdims=True)
     pull[np.arange(n), classes] -= 1
     for own in rows:
-        order = np.argsort(own, kind="stable")
+        order = np.argsort(own)
         first = np.flatnonzero(np.diff(own[order], prepend=-1))
         row = own[order[first]]
         slope = np.add.reduceat(pull[order], first, axis=0)
@@ -346,7 +384,7 @@ def train_weights(training: DataFrame, model: Model):
         codes, pairs = [], 0
 
         def flush() -> Iterator[tuple]:
-            for shard, *values in in_shards(*counted(np.concatenate(codes)), own.shards):
+            for shard, *values in in_shards(*counted(np.concatenate(codes)), own.shards, True):
                 yield shard, *values, True
 
         def step() -> None:
@@ -372,8 +410,9 @@ def train_weights(training: DataFrame, model: Model):
             yield from flush()
         for at in range(0, ROWS, SLICE_ROWS):
             n = met[at : at + SLICE_ROWS]
-            value = own.weights[at : at + SLICE_ROWS] * n[:, None]
-            yield at // SLICE_ROWS, value.astype(np.float32).tobytes(), n.tobytes(), False
+            if n.any():
+                value = np.where(n[:, None] > 0, own.weights[at : at + SLICE_ROWS], 0)
+                yield at // SLICE_ROWS, value.astype(np.float16).tobytes(), n.tobytes(), False
 
     schema = "slice int, value binary, weight binary, pairs boolean"
     parts = settle(map_rows(training, ["text"], schema, rows), "trained")
@@ -381,9 +420,11 @@ def train_weights(training: DataFrame, model: Model):
     slices = _summed(parts.where("not pairs"), 2)
     if not slices:
         return model.weights, met_pairs
-    met = np.concatenate([n for _, n in slices])[:, None]
-    total = np.concatenate([v for v, _ in slices]).reshape(ROWS, -1)
-    return np.where(met > 0, total / np.maximum(met, 1), model.weights).astype(np.float32), met_pairs
+    weights = model.weights.copy()
+    for at, value, n in slices:
+        own = weights[at * SLICE_ROWS : (at + 1) * SLICE_ROWS]
+        own[n > 0] = (value.reshape(len(n), -1) / np.maximum(n, 1)[:, None])[n > 0]
+    return weights, met_pairs
 
 
 def fit_pairs(share, codes, times):
@@ -428,7 +469,7 @@ def train_pairs(met: DataFrame, model: Model) -> DataFrame:
         import numpy as np
 
         share, shards, least = shared.value
-        for shard, codes, times in of_shards(found):
+        for shard, codes, times in of_shards(found, True):
             contexts, log_z, total, weight = fit_pairs(share, codes, times)
             frequent = total >= least
             size = np.diff(np.searchsorted(context_of(codes), contexts), append=len(codes))
@@ -439,7 +480,7 @@ def train_pairs(met: DataFrame, model: Model) -> DataFrame:
             def row(k, pairs, of=None, hot=False):
                 of = np.zeros(len(contexts), bool) if of is None else of
                 return (
-                    k, codes[pairs].tobytes(), logs[pairs].astype(np.float32).tobytes(),
+                    k, codes[pairs].tobytes() if hot else packed(codes[pairs]), logs[pairs].astype(np.float32).tobytes(),
                     contexts[of].tobytes(), (-log_z[of]).astype(np.float32).tobytes(), hot,
                 )
 
@@ -447,7 +488,7 @@ def train_pairs(met: DataFrame, model: Model) -> DataFrame:
             if frequent.any():
                 yield row(shard, hot, frequent, True)
                 rest = in_frequent & ~hot
-                place = spread_shard(codes, shards)
+                place = spread_shard(shard, codes, shards)
                 for k in np.unique(place[rest]).tolist():
                     yield row(k, rest & (place == k))
 
@@ -486,7 +527,7 @@ def train(training: DataFrame, rounds: int = ROUNDS) -> tuple[Model, DataFrame,
     slices = _summed(profile, 1)
     classes = np.zeros(BUCKETS, np.int64)
     if slices and tokens.any():
-        classes = cluster(np.concatenate([x for x, in slices]).reshape(BUCKETS, PROFILE), tokens)
+        classes = cluster(np.concatenate([x for _, x in slices]).reshape(BUCKETS, PROFILE), tokens)
     # Each bucket has a place for unseen words.
     of_buckets = tokens + kinds + 1
     mass = np.zeros(CLASSES + 1)
@@ -575,7 +616,7 @@ def look_up(pairs: DataFrame, asked: DataFrame) -> DataFrame:
         for at, kind, row, codes, a, b, c in unpack(batches):
             if at != shard:
                 shard, tables, held = at, None, ([], [], [], [])
-            codes = np.frombuffer(codes, np.uint64)
+            codes = unpacked(codes, at)
             if kind == 0:
                 types = (np.float32, np.uint64, np.float32)
                 for own, x in zip(held, (codes, *map(np.frombuffer, (a, b, c), types)), strict=True):
@@ -589,7 +630,7 @@ def look_up(pairs: DataFrame, asked: DataFrame) -> DataFrame:
             value[found] = context_logs[place[found]]
             place, found = at_places(keys, codes)
             value[found] = logs[place[found]]
-            doc, own = np.unique(np.frombuffer(a, np.uint32), return_inverse=True)
+            doc, own = np.unique(np.frombuffer(a, np.uint32).cumsum(), return_inverse=True)
             part = np.bincount(own, value * np.frombuffer(b, np.uint32), len(doc))
             yield pa.RecordBatch.from_arrays([pa.array(row + doc.astype(np.int64)), pa.array(part)], schema=target)
 
@@ -614,37 +655,35 @@ def score(docs: DataFrame, model: Model, counts: DataFrame, pairs: DataFrame, he
         held, size, start = [], 0, row
 
         def flush() -> Iterator[tuple]:
-            codes = np.concatenate(held)
-            place = np.repeat(np.arange(len(held), dtype=np.uint32), [len(c) for c in held])
-            frequent = at_places(model.contexts, context_of(codes))[1]
-            shard = np.where(frequent, spread_shard(codes, model.shards), shard_of(codes, model.shards))
-            order = np.lexsort((codes, place, shard))
-            codes, place, shard = codes[order], place[order], shard[order]
-            new = np.ones(len(codes), bool)
-            new[1:] = (codes[1:] != codes[:-1]) | (place[1:] != place[:-1])
-            first = np.flatnonzero(new)
-            times = np.diff(first, append=len(codes)).astype(np.uint32)
-            codes, place, shard = codes[first], place[first], shard[first]
+            place = np.repeat(np.arange(len(held)), [len(x[0]) for x in held])
+            shard, codes, times = (np.concatenate(x) for x in zip(*held, strict=True))
+            order = np.argsort(shard * len(held) + place)
+            shard, place, codes, times = shard[order], place[order], codes[order], times[order]
             edges = np.flatnonzero(np.diff(shard, prepend=-1))
             for a, b in zip(edges.tolist(), [*edges[1:].tolist(), len(codes)], strict=True):
-                own = slice(a, b)
-                yield start, *[None] * 8, int(shard[a]), codes[own].tobytes(), place[own].tobytes(), times[own].tobytes()
+                # Places as steps, which are small numbers.
+                steps = np.diff(place[a:b], prepend=0).astype(np.uint32)
+                values = packed(codes[a:b]), steps.tobytes(), times[a:b].tobytes()
+                yield start, *[None] * 8, int(shard[a]), *values
 
         for doc_id, is_held, text in found:
             words, buckets = words_and_buckets(text)
             classes, history = model.classes_of(buckets), history_rows(words, buckets)
             part = -model.log_mass[classes].sum()
             for at in range(0, len(classes), BATCH_TOKENS):
-                log_p = model.log_probabilities(history[:, at : at + BATCH_TOKENS])
-                own = classes[at : at + BATCH_TOKENS]
-                part += float(log_p[np.arange(len(own)), own].sum(dtype=np.float64)) / np.log(10)
-            codes = pair_codes(words, classes[:-1], buckets)
-            at, there = at_places(model.contexts, context_of(codes))
-            part += float(model.context_logs[at[there]].sum(dtype=np.float64)) / np.log(10)
+                ends = slice(at, at + BATCH_TOKENS)
+                log_p = model.log_probabilities(history[:, ends], classes[ends])
+                part += float(log_p.sum(dtype=np.float64)) / np.log(10)
+            codes, times = counted(pair_codes(words, classes[:-1], buckets))
+            shard = shard_of(codes, model.shards)
+            codes = in_shard(codes, shard)
+            at, frequent = at_places(model.contexts, context_of(codes))
+            part += float(times[frequent] @ model.context_logs[at[frequent]].astype(np.float64)) / np.log(10)
             at, there = at_places(model.pairs, codes)
-            part += float(model.pair_logs[at[there]].sum(dtype=np.float64)) / np.log(10)
-            held.append(codes[~there])
-            size += len(held[-1])
+            part += float(times[there] @ model.pair_logs[at[there]].astype(np.float64)) / np.log(10)
+            shard = np.where(frequent, spread_shard(shard, codes, model.shards), shard)
+            held.append((shard[~there], codes[~there], times[~there].astype(np.uint32)))
+            size += len(held[-1][0])
             word, n = np.unique(words.view(np.int64), return_counts=True)
             at, hot = at_places(model.hot, word)
             hot_log = float((n[hot] * np.log10(model.hot_counts[at[hot]] + 1)).sum())

@@ -438,8 +438,11 @@ def plain_pairs(pairs):
     """Natural log that each pair adds, and each context where a pair is not known."""
     known, contexts = {}, {}
     for r in pairs.collect():
-        for out, keys, logs in ((known, r.codes, r.logs), (contexts, r.contexts, r.context_logs)):
-            out.update(zip(np.frombuffer(keys, np.uint64).tolist(), np.frombuffer(logs, np.float32).tolist()))
+        for out, keys, logs in (
+            (known, lm.unpacked(r.codes, r.shard), r.logs),
+            (contexts, np.frombuffer(r.contexts, np.uint64), r.context_logs),
+        ):
+            out.update(zip(((r.shard, k) for k in keys.tolist()), np.frombuffer(logs, np.float32).tolist()))
     return known, contexts
 
 
@@ -453,14 +456,21 @@ def test_probabilities_of_all_words_sum_to_one(documents, two_languages, hot_sha
     hot_pairs = dict(zip(model.pairs.tolist(), model.pair_logs.tolist()))
 
     def pair_log(code):
-        context = code & ~(lm.BUCKETS - 1)
+        code = np.array([code], np.uint64)
+        shard = lm.shard_of(code, model.shards)
+        code = lm.in_shard(code, shard)
+        context, at = int(lm.context_of(code)[0]), int(shard[0])
         if context in of_hot:
-            return of_hot[context] + hot_pairs.get(code, known.get(code, 0))
-        return known.get(code, contexts.get(context, 0))
+            at = int(lm.spread_shard(shard, code, model.shards)[0])
+            rest = known.get((at, int(lm.in_shard(code, at)[0])), 0)
+            return of_hot[context] + hot_pairs.get(int(code[0]), rest)
+        return known.get((at, int(code[0])), contexts.get((at, context), 0))
 
     text = two_languages[0][1]
     text_words, buckets = lm.words_and_buckets(text)
-    log_p = model.log_probabilities(lm.history_rows(text_words, buckets))
+    history = lm.history_rows(text_words, buckets)
+    n = len(text_words) + 1
+    log_p = np.stack([model.log_probabilities(history, np.full(n, c)) for c in range(lm.CLASSES + 1)], axis=1)
     assert np.allclose(np.exp(log_p).sum(axis=1), 1, atol=1e-4)
     # After a word: every bucket of every class, and inside a bucket its words and one place for unseen ones.
     last = np.repeat(text_words[3], lm.BUCKETS)
