@@ -6,7 +6,7 @@ import os
 import re
 from functools import lru_cache
 
-# Words a worker remembers; beyond it the cache starts anew, which changes no result.
+# Words a worker remembers. When half of them are new, those not met since the last time go; no result changes.
 CACHED_WORDS = 400_000
 
 # Letters, numbers and blanks for which every library agrees on case, composition and classes.
@@ -45,12 +45,16 @@ class Words(dict):
     def __init__(self, ids_of) -> None:
         super().__init__()
         self.ids_of = ids_of
+        self.before: dict[str, bytes] = {}
 
     def __missing__(self, word: str) -> bytes:
         import array
 
-        ids = array.array("H", self.ids_of(word)).tobytes()
-        if len(self) >= CACHED_WORDS:
+        ids = self.before.get(word)
+        if ids is None:
+            ids = array.array("H", self.ids_of(word)).tobytes()
+        if len(self) >= CACHED_WORDS // 2:
+            self.before = self.copy()
             self.clear()
         self[word] = ids
         return ids
@@ -76,7 +80,10 @@ class LibraryCoder:
         shown, model = {b: letters[b] for b in range(256)}, self.tokenizer.model
 
         def ids_of(word: str) -> list[int]:
-            spelled = word.encode().decode("latin-1").translate(shown)
+            if word.isascii() and word.isprintable():
+                spelled = word.replace(" ", letters[32])
+            else:
+                spelled = word.encode().decode("latin-1").translate(shown)
             return [t.id for t in model.tokenize(spelled)]
 
         self.words = Words(ids_of)
