@@ -8,7 +8,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 
-from appkpi.plans.catalog import SEED, TABLES, raw_name
+from appkpi.plans.catalog import SEED, TABLES, needed, raw_name
 from appkpi.plans.contracts import CONTRACTS
 from appkpi.quality import freshness_report, quality_report, raise_on_errors
 from appkpi.quality.expectations import EXPECTATIONS, FRESHNESS
@@ -35,28 +35,38 @@ def build_all(
     raw: Mapping[str, DataFrame],
     root: str,
     mapping: DataFrame | None = None,
+    names: Sequence[str] | None = None,
+    day_folders: bool = True,
 ) -> dict[str, DataFrame]:
-    """Full refresh of every table under ``root``; also published as temporary views.
+    """Full refresh of every table (or ``names`` and what they read) under ``root``, published as views too.
+
+    ``day_folders=False`` stores a copy that is read whole, as data tests read it, in as few files as its size needs.
 
     Stored tables are read back by their readers, so a lost executor costs the tasks of
     the table being written and not the chain behind it.
     """
     require_utc(spark)
     lookup = event_mapping(spark) if mapping is None else mapping
-    done: dict[str, DataFrame] = {**raw, SEED: lookup}
-    publish_view(done[SEED], SEED)
-    for name, spec in TABLES.items():
-        df = spec.build(*[done[i] for i in spec.inputs])
+    done = {SEED: publish_view(lookup, SEED)}
+    for name in needed(names):
+        spec = TABLES[name]
+        df = spec.build(*[done[i] if i in done else raw[i] for i in spec.inputs])
         if spec.stored:
             path = f"{root}/{name}"
-            write_table(df, path, spec.partition_by, spec.cluster_by)
+            if day_folders:
+                write_table(df, path, spec.partition_by, spec.cluster_by)
+            else:
+                write_table(df, path)
             df = read_table(spark, path, df.schema)
         done[name] = publish_view(df, name)
-    return {name: done[name] for name in (SEED, *TABLES)}
+    return done
 
 
 def run_data_tests(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """The data tests of every table in ``tables``, one report."""
+    """The data tests of every table in ``tables``, one report.
+
+    Give stored tables: each test then reads its columns, and none repeats the plan behind the table.
+    """
     reports = [
         quality_report(df, name, EXPECTATIONS[name])
         for name, df in tables.items()

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import partial
 
@@ -216,3 +216,14 @@ TABLES: dict[str, Table] = {
         "platform",
     ),
 }
+
+
+def needed(names: Sequence[str] | None) -> list[str]:
+    """The tables asked for and all that they read, inputs first."""
+    if names is None:
+        return list(TABLES)
+    wanted = set(names)
+    for name in reversed(TABLES):
+        if name in wanted:
+            wanted |= {i for i in TABLES[name].inputs if i in TABLES}
+    return [n for n in TABLES if n in wanted]

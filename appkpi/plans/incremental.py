@@ -21,14 +21,14 @@ from pyspark.sql import functions as F
 
 from appkpi.operators.latest import INGESTED_AT, LANDED_ROW, RUN_ID
 from appkpi.operators.retention import OFFSETS
-from appkpi.plans.catalog import SEED, TABLES, Table, raw_name
+from appkpi.plans.catalog import SEED, TABLES, Table, needed, raw_name
 from appkpi.plans.contracts import CONTRACTS
 from appkpi.plans.staging import latest_typed, stage_in_app_events, typed, with_extras
 from appkpi.session import require_utc
 from appkpi.sources.files import path_exists, remove_folder, write_finished
-from appkpi.sources.landing import INGEST_DAY
+from appkpi.sources.landing import INGEST_DAY, STREAM_BATCH
 from appkpi.sources.seeds import event_mapping
-from appkpi.sources.tables import write_table
+from appkpi.sources.tables import read_raw, write_table
 
 EVENTS = "stg_appsflyer_in_app_events"
 # Loads that arrive this many days after a later one are still found.
@@ -64,17 +64,6 @@ def day_column(name: str) -> str | None:
     return "event_date" if name == EVENTS else TABLES[name].partition_by if name in TABLES else None
 
 
-def needed(names: Sequence[str] | None) -> list[str]:
-    """The tables asked for and all that they read, inputs first."""
-    if names is None:
-        return list(TABLES)
-    wanted = set(names)
-    for name in reversed(TABLES):
-        if name in wanted:
-            wanted |= {i for i in TABLES[name].inputs if i in TABLES}
-    return [n for n in TABLES if n in wanted]
-
-
 # ---- loads ---------------------------------------------------------------------------
 
 
@@ -97,7 +86,7 @@ def new_loads(spark: SparkSession, raw_path: str, done_path: str, late_days: int
     found = loads.collect()
     if not found:
         return raw, None
-    return raw.drop(INGEST_DAY), spark.createDataFrame(found, loads.schema)
+    return raw.drop(INGEST_DAY, STREAM_BATCH), spark.createDataFrame(found, loads.schema)
 
 
 def _load_key(loads: DataFrame) -> str:
@@ -221,7 +210,7 @@ def refresh_new_loads(
                 else:
                     changed[name] = fold(spark, name, rows, path, staged)
             if name == EVENTS:
-                tables[name] = stage_in_app_events(spark.read.parquet(raw_path).drop(INGEST_DAY), lookup)
+                tables[name] = stage_in_app_events(read_raw(spark, raw_path), lookup)
             else:
                 tables[name] = _read(spark, path)
             continue

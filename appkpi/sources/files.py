@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import codecs
+
 from pyspark.sql import SparkSession
 
+READ_BYTES = 1 << 16
+
 
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a file or folder is there, on whatever storage the path names."""
@@ -50,6 +54,34 @@ def first_bytes(spark: SparkSession, path: str, most: int) -> bytes:
         stream.close()
 
 
+def first_line(spark: SparkSession, path: str, encoding: str = "UTF-8") -> str:
+    """The first line that is not blank, without its end; empty if there is none.
+
+    Compressed files are read through the codec that their suffix names. No more is read than the
+    line needs, in steps of ``READ_BYTES``.
+    """
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    conf = spark._jsc.hadoopConfiguration()
+    stream = target.getFileSystem(conf).open(target)
+    try:
+        codec = spark._jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(target)
+        if codec is not None:
+            stream = codec.createInputStream(stream)
+        decoder = codecs.getincrementaldecoder(encoding)("replace")
+        text = ""
+        while True:
+            part = bytes(stream.readNBytes(READ_BYTES))
+            *lines, text = (text + decoder.decode(part, final=not part)).split("\n")
+            for line in lines if part else [*lines, text]:
+                line = line.removeprefix("\ufeff").rstrip("\r")
+                if line.strip():
+                    return line
+            if not part:
+                return ""
+    finally:
+        stream.close()
+
+
 def remove_folder(spark: SparkSession, path: str) -> None:
     """Deletes a folder of intermediate data, if it is there."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from appkpi.operators.latest import LANDED_ROW
-from appkpi.sources.landing import INGEST_DAY, METADATA
+from appkpi.sources.landing import INGEST_DAY, METADATA, STREAM_BATCH
 
 # Statistics fields that staging reads. Landing keeps whatever else there is.
 CAMPAIGN_STATS = (
@@ -38,7 +38,7 @@ LEAF_COLUMNS = (
     "conversion_goal_stats",
 )
 # What landing adds to every row, and how it stores them.
-LOAD_COLUMNS = (*METADATA, INGEST_DAY, LANDED_ROW)
+LOAD_COLUMNS = (*METADATA, INGEST_DAY, STREAM_BATCH, LANDED_ROW)
 
 
 def merged_names(

@@ -10,9 +10,11 @@ from __future__ import annotations
 import logging
 import uuid
 from collections.abc import Callable, Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import UTC, date, datetime
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -20,11 +22,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from appkpi.operators.latest import LANDED_ROW
-from appkpi.sources.files import path_exists, remove_empty
+from appkpi.sources.files import first_line, path_exists, remove_empty
 
 log = logging.getLogger(__name__)
 
 INGEST_DAY = "_ingest_date"
+# Folder below the day in tables that a stream writes: the stream and its batch.
+STREAM_BATCH = "_stream_batch"
+# Files whose headers are looked up at the same time.
+HEADER_THREADS = 16
 METADATA = {
     "_ingested_at": "timestamp",
     "_source": "string",
@@ -65,21 +71,18 @@ def snake_headers(df: DataFrame, slash: bool = False) -> DataFrame:
 def files_by_header(
     spark: SparkSession, paths: str | Sequence[str], encoding: str = "UTF-8"
 ) -> list[list[str]]:
-    """File names grouped by their header line, found in one distributed pass.
+    """File names grouped by their header line; files without one are left out.
 
-    Only file names and header lines reach the driver, which lists the files anyway.
+    Of each file only the beginning is opened, several files at a time; the names are those that
+    the driver lists for any read. So the content is read once, by the load itself.
     """
-    lines = spark.read.option("encoding", encoding).text(paths).select(
-        F.col("_metadata.file_path").alias("path"),
-        F.struct(
-            F.col("_metadata.file_block_start").alias("start"),
-            F.monotonically_increasing_id().alias("line"),
-        ).alias("position"),
-        "value",
-    )
-    headers = lines.groupBy("path").agg(F.min_by("value", "position").alias("header"))
-    groups = headers.groupBy("header").agg(F.sort_array(F.collect_list("path")).alias("paths"))
-    return [row["paths"] for row in groups.orderBy("header").collect()]
+    files = sorted(unquote(name) for name in spark.read.text(paths).inputFiles())
+    groups: dict[str, list[str]] = {}
+    with ThreadPoolExecutor(HEADER_THREADS) as pool:
+        for name, line in zip(files, pool.map(lambda f: first_line(spark, f, encoding), files), strict=True):
+            if line:
+                groups.setdefault(line, []).append(name)
+    return [groups[line] for line in sorted(groups)]
 
 
 def _read_by_header(
@@ -222,7 +225,7 @@ def table_columns(spark: SparkSession, path: str) -> list[str] | None:
         return None
     try:
         stored = spark.read.parquet(path).columns
-        return [c for c in stored if c not in (INGEST_DAY, LANDED_ROW)]
+        return [c for c in stored if c not in (INGEST_DAY, STREAM_BATCH, LANDED_ROW)]
     except AnalysisException as error:
         if error.getCondition() == "UNABLE_TO_INFER_SCHEMA":  # a folder without any file
             return None

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from appkpi.operators.date_windows import in_date_range
-from appkpi.sources.landing import INGEST_DAY
+from appkpi.sources.landing import INGEST_DAY, STREAM_BATCH
 
 
 def publish_view(df: DataFrame, name: str) -> DataFrame:
@@ -65,8 +65,8 @@ def read_raw(
     path: str,
     ingested_from: date | None = None,
 ) -> DataFrame:
-    """A raw table without its storage column, optionally only the loads since a day."""
+    """A raw table without its storage columns, optionally only the loads since a day."""
     df = spark.read.parquet(path)
     if ingested_from is not None:
         df = df.filter(F.col(INGEST_DAY) >= F.lit(ingested_from))
-    return df.drop(INGEST_DAY)
+    return df.drop(INGEST_DAY, STREAM_BATCH)

@@ -27,7 +27,8 @@ from appkpi.sources import (
     stamp,
 )
 from appkpi.sources.flatten import flatten_campaign_stats, merged_names
-from appkpi.sources.landing import METADATA
+from appkpi.sources.files import READ_BYTES, first_line
+from appkpi.sources.landing import METADATA, files_by_header
 from appkpi.sources.payloads import parse_campaign_list, parse_campaign_stats
 
 LOAD = Load("vendor", date(2026, 6, 1), date(2026, 6, 2), "app-1", "android")
@@ -131,6 +132,27 @@ def test_files_without_a_line_give_no_rows(spark, tmp_path, folder):
     assert land(read_tsv_report(spark, source, mixed_headers=True), folder, LOAD) == 1
 
 
+def test_first_line(spark, tmp_path):
+    wide = "\t".join(f"column {i}" for i in range(READ_BYTES // 5))
+    for text, line in (
+        (wide + "\n1\t2\n", wide), ("A,B", "A,B"), ("\n  \n \nA,B\r\n1,2\n", "A,B"), ("\tA\n", "\tA"),
+        ("", ""), (" \n\n ", ""), ("\ufeffA\n", "A"),
+    ):
+        assert first_line(spark, write(tmp_path / "plain" / "a.csv", text)) == line
+        assert first_line(spark, gz(tmp_path / "packed" / "a.gz", text)) == line
+
+
+def test_every_file_lies_in_one_scan(spark, tmp_path):
+    for name, header in (("a 1", "A,B"), ("b%20", "B,A"), ("c", "A,B"), ("d", "")):
+        write(tmp_path / "in" / f"{name}.csv", f"{header}\n1,2\n" if header else "")
+    source = str(tmp_path / "in")
+    names = [[f.rsplit("/", 1)[1] for f in group] for group in files_by_header(spark, source)]
+    assert names == [["a 1.csv", "c.csv"], ["b%20.csv"]]
+    rows = read_csv_report(spark, source, mixed_headers=True)
+    assert sorted((r["A"], r["B"]) for r in rows.collect()) == [("1", "2"), ("1", "2"), ("2", "1")]
+    assert len(rows.inputFiles()) == 3
+
+
 def test_headers_are_compared_in_the_file_s_encoding(spark, tmp_path):
     for name, text in (("a", "Date,Counts\n1,2\n"), ("b", "Counts,Date\n4,3\n")):
         (tmp_path / f"{name}.csv").write_bytes(text.encode("utf-16"))

@@ -9,7 +9,7 @@ from appkpi.plans.build import refresh
 from appkpi.plans.catalog import TABLES, raw_name
 from appkpi.plans.contracts import CONTRACTS
 from appkpi.session import require_utc
-from appkpi.sources import Load, publish_view, read_raw, read_table, write_table
+from appkpi.sources import Load, land, publish_view, read_csv_report, read_raw, read_table, write_table
 from appkpi.sources.landing import METADATA, append_raw, stamp
 from appkpi.streaming import checkpoint_folder, stream_csv_to_raw, stream_latest
 
@@ -113,6 +113,45 @@ def test_new_files_are_landed_once(spark, tmp_path, folder):
     assert [r["Id"] for r in run()] == ["1", "2", "3"]
 
 
+def test_a_repeated_batch_replaces_what_it_had_landed(spark, tmp_path, folder):
+    incoming, progress = tmp_path / "in", tmp_path / "progress"
+    incoming.mkdir()
+    load = Load("s", day(1), day(2))
+
+    def run():
+        stream_csv_to_raw(spark, str(incoming), ["Id"], folder, load, str(progress)).awaitTermination()
+        return as_dicts(spark.read.parquet(folder), "Id")
+
+    (incoming / "1.csv").write_text("Id\n1\n2\n")
+    first = run()
+    # As if the run had stopped before it noted that the batch is done.
+    for mark in ("0", ".0.crc"):
+        (progress / "commits" / mark).unlink(missing_ok=True)
+    (incoming / "2.csv").write_text("Id\n3\n")
+    again = run()
+    assert again[:2] == first and [r["Id"] for r in again] == ["1", "2", "3"]
+
+
+def test_ties_settle_alike_in_streamed_and_landed_tables(spark, tmp_path, folder):
+    incoming = tmp_path / "in"
+    incoming.mkdir()
+    (incoming / "1.csv").write_text("k,v\na,9\na,1\na,5\n,2\n,1\n")
+    load = Load("s", day(1), day(2))
+    stream_csv_to_raw(spark, str(incoming), ["k", "v"], folder, load, f"{folder}-cp").awaitTermination()
+    land(read_csv_report(spark, str(incoming)), f"{folder}-landed", load)
+    found = [
+        as_dicts(keep_latest(read_raw(spark, path), ["k"]).select("k", "v"), "k")
+        for path in (folder, f"{folder}-landed")
+    ]
+    assert found[0] == found[1] == [{"k": "", "v": "1"}, {"k": "a", "v": "5"}]
+
+
+def test_a_file_sinks_table_is_not_landed_into(spark, tmp_path):
+    (tmp_path / "raw" / "_spark_metadata").mkdir(parents=True)
+    with pytest.raises(ValueError, match="file sink"):
+        stream_csv_to_raw(spark, str(tmp_path), ["k"], str(tmp_path / "raw"), Load("s", day(1), day(2)))
+
+
 SCHEMA = "k string, d date, v int, _ingested_at timestamp, _run_id string"
 
 

@@ -36,12 +36,13 @@ from appkpi.operators import (
 )
 from appkpi.operators.latest import LANDED_ROW
 from appkpi.plans import attribution, dashboards
-from appkpi.plans.build import table
+from appkpi.plans.build import build_all, run_data_tests, table
 from appkpi.plans.catalog import raw_name
 from appkpi.plans.contracts import CONTRACTS
 from appkpi.plans.incremental import refresh_new_loads
 from appkpi.plans.staging import media_type, stage
 from appkpi.quality import (
+    Check,
     accepted_range,
     accepted_values,
     freshness_report,
@@ -586,7 +587,45 @@ def stream_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
             spark, folder, ["Customer Key", "Segment"], path, LOAD,
             checkpoint=f"{path}-checkpoint", files_per_batch=2,
         ).awaitTermination()
-    return read_raw(spark, path).drop("_ingested_at")
+    return read_raw(spark, path).drop("_ingested_at", LANDED_ROW)
+
+
+@query(
+    """SELECT CAST(c_nationkey AS VARCHAR) AS nation, CAST(max(c_custkey) AS VARCHAR) AS customer
+    FROM customer GROUP BY c_nationkey"""
+)
+def stream_ties(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of a streamed load that share a key: the one that stands last in its file stays."""
+    folder, path = scratch(spark, "incoming"), scratch(spark, "raw")
+    rows = read(spark, sf_dir, "customer").repartition("c_nationkey").sortWithinPartitions("c_custkey")
+    rows.selectExpr("c_nationkey AS nation", "c_custkey AS customer").write.csv(folder, header=True)
+    stream_csv_to_raw(
+        spark, folder, ["nation", "customer"], path, LOAD, checkpoint=f"{path}-checkpoint"
+    ).awaitTermination()
+    return keep_latest(read_raw(spark, path), ["nation"]).select("nation", "customer")
+
+
+@query(
+    """SELECT CAST(c_custkey AS VARCHAR) AS customer_key,
+    CASE WHEN c_custkey % 2 = 0 THEN c_mktsegment ELSE '' END AS segment,
+    CASE WHEN c_custkey % 2 = 1 THEN c_name ELSE '' END AS full_name,
+    CASE WHEN c_custkey % 2 = 1 THEN CAST(c_nationkey AS VARCHAR) ELSE '' END AS nation FROM customer"""
+)
+def land_mixed_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A folder of gzip files with two headers, columns in another order, and files without a line."""
+    customers, folder = read(spark, sf_dir, "customer"), scratch(spark, "incoming")
+    shapes = {
+        "c_custkey % 2 = 0": ("c_custkey AS `Customer Key`", "c_mktsegment AS `Segment`"),
+        "c_custkey % 2 = 1": ("c_name AS `Full Name`", "c_custkey AS `Customer-Key`", "c_nationkey AS `Nation`"),
+    }
+    for rows, shape in shapes.items():
+        customers.where(rows).selectExpr(*shape).write.mode("append").csv(
+            folder, sep="\t", header=True, compression="gzip"
+        )
+    customers.where("c_custkey IS NULL").select("c_name").repartition(2).write.mode("append").csv(
+        folder, sep="\t", header=False, compression="gzip"
+    )
+    return landing.read_tsv_report(spark, folder, mixed_headers=True)
 
 
 # ---- nested payloads ----
@@ -906,6 +945,43 @@ def dq_table_tests(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _registered_sql(names: list[str]) -> str:
+    """The registered tests of some tables, each counted by a statement of its own."""
+
+    def failing(check: Check) -> str:
+        if check.breaks is not None:
+            return _count(check.sql)
+        keys = ", ".join(check.columns)
+        # One column: NULLs are no key. Several: NULL is a value like others.
+        some = f"WHERE {keys} IS NOT NULL" if len(check.columns) == 1 else ""
+        return f"SELECT count(*) FROM (SELECT 1 FROM t {some} GROUP BY {keys} HAVING count(*) > 1)"
+
+    return " UNION ALL ".join(
+        "SELECT * FROM ("
+        + _report_sql(
+            name, [(c.kind, ",".join(c.columns), c.severity, failing(c)) for c in EXPECTATIONS[name]], table_sql(name)
+        )
+        + ")"
+        for name in names
+    )
+
+
+def _registered_tests(vendor: str) -> None:
+    """Registers the tests of one vendor's tables, which are stored once and then tested."""
+    names = [n for n in EXPECTATIONS if n.split("_", 1)[1].startswith(vendor)]
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        tables = build_all(spark, RawTables(spark, sf_dir), scratch(spark, "tables"), names=names, day_folders=False)
+        return run_data_tests({n: tables[n] for n in names})
+
+    run.__name__ = f"dq_{vendor}_tables"
+    query(_registered_sql(names))(run)
+
+
+for _vendor in ("appsflyer", "moengage", "play_console", "appstore"):
+    _registered_tests(_vendor)
+
+
 FRESH_AS_OF = datetime(2024, 2, 2, tzinfo=UTC)
 
 
