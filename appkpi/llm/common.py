@@ -28,11 +28,34 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+# Shuffle files of a finished write are of no use: the table is read from then on.
+DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def settle(df: DataFrame, name: str) -> DataFrame:
     """The rows as a written table: a step that is not computed again, whoever is lost."""
-    path = new_folder(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = new_folder(spark, name)
+    before = spark.conf.get(DROP_SHUFFLES, None)
+    spark.conf.set(DROP_SHUFFLES, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(DROP_SHUFFLES)
+        else:
+            spark.conf.set(DROP_SHUFFLES, before)
+    table = spark.read.schema(df.schema).parquet(path)
+    table._settled_in = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Removes tables that ``settle`` returned. What was made of them must be written by now."""
+    for table in tables:
+        spark = table.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(table._settled_in)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -21,11 +21,12 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import pairwise
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from appkpi.llm.common import map_rows, settle
+from appkpi.llm.common import discard, map_rows, pack, settle, unpack
 from appkpi.llm.words import hash_words, mix
 
 BUCKET_BITS = 13
@@ -102,25 +103,25 @@ def spread_shard(shard, codes, shards: int):
 
 
 def in_shard(codes, shard):
-    """Pairs as their shard knows them: 48 bits of the hash, and the shard. Shards, so hashes, grow with the corpus."""
+    """Pairs as their shard knows them: 40 bits of the hash, and the shard. Shards, so hashes, grow with the corpus."""
     import numpy as np
 
-    high = np.asarray(shard, np.int64).astype(np.uint64) << np.uint64(48)
-    return codes & np.uint64((1 << 48) - 1) | high
+    high = np.asarray(shard, np.int64).astype(np.uint64) << np.uint64(40)
+    return codes & np.uint64((1 << 40) - 1) | high
 
 
 def packed(codes) -> bytes:
-    """The 48 bits of each pair."""
+    """The 40 bits of each pair."""
     import numpy as np
 
-    return np.ascontiguousarray(codes, "<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+    return np.ascontiguousarray(codes, "<u8").view(np.uint8).reshape(-1, 8)[:, :5].tobytes()
 
 
 def unpacked(raw: bytes, shard: int):
     import numpy as np
 
-    codes = np.zeros((len(raw) // 6, 8), np.uint8)
-    codes[:, :6] = np.frombuffer(raw, np.uint8).reshape(-1, 6)
+    codes = np.zeros((len(raw) // 5, 8), np.uint8)
+    codes[:, :5] = np.frombuffer(raw, np.uint8).reshape(-1, 5)
     return in_shard(codes.view("<u8").ravel(), shard)
 
 
@@ -175,7 +176,7 @@ def by_shard(parts: DataFrame) -> DataFrame:
     return parts.repartition("shard").sortWithinPartitions("shard")
 
 
-def count_texts(training: DataFrame) -> tuple[DataFrame, DataFrame]:
+def count_texts(training: DataFrame) -> tuple[DataFrame, list[tuple]]:
     """``word`` (hash), ``bucket`` and ``n`` of every word, and slices of the buckets' profiles.
 
     A bucket's profile is the mean mix of buckets, in ``PROFILE`` groups, of the texts it occurs in.
@@ -217,7 +218,10 @@ def count_texts(training: DataFrame) -> tuple[DataFrame, DataFrame]:
     )
     words = by_shard(parts.where("value is null").select("shard", "words", "times"))
     counts = map_rows(words, ["shard", "words", "times"], "word long, bucket int, n long", merge)
-    return counts, parts.where("value is not null").select(F.col("shard").alias("slice"), "value")
+    counts = settle(counts, "word-counts")
+    slices = _summed(parts.where("value is not null").select(F.col("shard").alias("slice"), "value"), 1)
+    discard(parts)
+    return counts, slices
 
 
 def _summed(parts: DataFrame, columns: int) -> list[tuple]:
@@ -330,12 +334,16 @@ class Model:
         return np.append(self.classes[buckets], CLASSES)
 
     def pulls(self, rows):
-        """What each class of each history has in the exponent, the largest being zero."""
-        w = self.weights
-        z = self.prior + w[rows[0]]
+        """What each class (first axis) of each history has in the exponent, the largest being zero."""
+        import numpy as np
+
+        z = np.take(self.weights, rows[0], axis=0)
         for own in rows[1:]:
-            z += w[own]
-        z -= z.max(axis=1, keepdims=True)
+            z += np.take(self.weights, own, axis=0)
+        # Thirteen classes: sums and maxima over long rows are ten times as fast.
+        z = np.ascontiguousarray(z.T)
+        z += self.prior[:, None]
+        z -= z.max(axis=0)
         return z
 
     def log_probabilities(self, rows, classes):
@@ -343,8 +351,8 @@ class Model:
         import numpy as np
 
         z = self.pulls(rows)
-        own = z[np.arange(len(classes)), classes]
-        return own - np.log(np.exp(z, out=z).sum(axis=1))
+        own = z[classes, np.arange(len(classes))]
+        return own - np.log(np.exp(z, out=z).sum(axis=0))
 
 
 def descend(model: Model, past, rows, classes, met) -> None:
@@ -354,22 +362,31 @@ def descend(model: Model, past, rows, classes, met) -> None:
     n = len(classes)
     pull = model.pulls(rows)
     np.exp(pull, out=pull)
-    pull /= pull.sum(axis=1, keepdims=True)
-    pull[np.arange(n), classes] -= 1
+    pull /= pull.sum(axis=0)
+    pull[classes, np.arange(n)] -= 1
+    pull = np.ascontiguousarray(pull.T)
     for own in rows:
-        order = np.argsort(own)
-        first = np.flatnonzero(np.diff(own[order], prepend=-1))
-        row = own[order[first]]
-        slope = np.add.reduceat(pull[order], first, axis=0)
-        times = np.diff(first, append=n)
-        slope += 0.02 * model.weights[row]
-        past[row] += slope**2
-        model.weights[row] -= STEP * slope / np.sqrt(past[row])
-        met[row] += times
+        # As 16-bit numbers where they fit, which are sorted by their digits.
+        own = own.astype(np.uint16 if ROWS <= 1 << 16 else np.uint32)
+        order = np.argsort(own, kind="stable")
+        own = own[order]
+        first = np.flatnonzero(own[1:] != own[:-1]) + 1
+        first = np.concatenate([np.zeros(1, first.dtype), first])
+        row = own[first].astype(np.int64)
+        slope = np.add.reduceat(np.take(pull, order, axis=0), first, axis=0)
+        weight = np.take(model.weights, row, axis=0)
+        slope += 0.02 * weight
+        so_far = np.take(past, row, axis=0)
+        so_far += slope * slope
+        past[row] = so_far
+        slope *= STEP
+        slope /= np.sqrt(so_far, out=so_far)
+        model.weights[row] = weight - slope
+        met[row] += np.diff(first, append=n)
 
 
 def train_weights(training: DataFrame, model: Model):
-    """Weights after a pass of all tasks over their texts, averaged, and counts of the pairs met."""
+    """Weights after a pass of all tasks over their texts, averaged, and the table with counts of the pairs met."""
     import numpy as np
 
     start = training.sparkSession.sparkContext.broadcast(model)
@@ -416,15 +433,14 @@ def train_weights(training: DataFrame, model: Model):
 
     schema = "slice int, value binary, weight binary, pairs boolean"
     parts = settle(map_rows(training, ["text"], schema, rows), "trained")
-    met_pairs = parts.where("pairs").select(F.col("slice").alias("shard"), "value", "weight")
     slices = _summed(parts.where("not pairs"), 2)
     if not slices:
-        return model.weights, met_pairs
+        return model.weights, parts
     weights = model.weights.copy()
     for at, value, n in slices:
         own = weights[at * SLICE_ROWS : (at + 1) * SLICE_ROWS]
         own[n > 0] = (value.reshape(len(n), -1) / np.maximum(n, 1)[:, None])[n > 0]
-    return weights, met_pairs
+    return weights, parts
 
 
 def fit_pairs(share, codes, times):
@@ -462,7 +478,7 @@ PAIRS = "shard int, codes binary, logs binary, contexts binary, context_logs bin
 
 
 def train_pairs(met: DataFrame, model: Model) -> DataFrame:
-    """Weights of all pairs, by shard. Rows marked ``hot`` are for every task; they are few, whatever the corpus."""
+    """Weights of all pairs counted in ``met``, by shard. Rows marked ``hot`` are for every task; they are few, whatever the corpus."""
     shared = met.sparkSession.sparkContext.broadcast((model.share, model.shards, max(1, model.tokens / HOT_SHARE)))
 
     def rows(found: Iterator[tuple]) -> Iterator[tuple]:
@@ -493,7 +509,8 @@ def train_pairs(met: DataFrame, model: Model) -> DataFrame:
                     yield row(k, rest & (place == k))
 
     names = ["shard", "value", "weight"]
-    return settle(map_rows(by_shard(met.select(*names)), names, PAIRS, rows), "pair-weights")
+    met = met.where("pairs").select(F.col("slice").alias("shard"), "value", "weight")
+    return settle(map_rows(by_shard(met), names, PAIRS, rows), "pair-weights")
 
 
 def at_places(table, keys):
@@ -516,15 +533,13 @@ def train(training: DataFrame, rounds: int = ROUNDS) -> tuple[Model, DataFrame,
     import numpy as np
 
     training = training.select("text")
-    counts, profile = count_texts(training)
-    counts = settle(counts, "word-counts")
+    counts, slices = count_texts(training)
     texts = training.count()
     # One row per bucket: a fixed number.
     of_bucket = counts.groupBy("bucket").agg(F.sum("n").alias("n"), F.count("*").alias("kinds")).collect()
     tokens, kinds = np.zeros(BUCKETS), np.zeros(BUCKETS)
     for r in of_bucket:
         tokens[r["bucket"]], kinds[r["bucket"]] = r["n"], r["kinds"]
-    slices = _summed(profile, 1)
     classes = np.zeros(BUCKETS, np.int64)
     if slices and tokens.any():
         classes = cluster(np.concatenate([x for _, x in slices]).reshape(BUCKETS, PROFILE), tokens)
@@ -549,9 +564,13 @@ def train(training: DataFrame, rounds: int = ROUNDS) -> tuple[Model, DataFrame,
         share=of_buckets / mass[classes],
         shards=max(PAIR_SHARDS, -(-all_tokens // SHARD_TOKENS)),
     )
+    met = None
     for _ in range(max(1, rounds)):
+        if met is not None:
+            discard(met)
         model.weights, met = train_weights(training, model)
     pairs = train_pairs(met, model)
+    discard(met)
     for names, kind in ((("contexts", "context_logs"), "contexts"), (("codes", "logs"), "pairs")):
         # At most ``HOT_SHARE`` of each.
         found = pairs.where("hot").select(*names).collect()
@@ -582,67 +601,127 @@ def hot_words(counts: DataFrame, most: int = HOT_WORDS):
     return word[order], n[order]
 
 
-SCORED = (
-    "row long, doc_id long, held_out boolean, n_tokens long, hot_known long, log_part double, hot_log double, "
-    "rare array<long>, times array<long>, shard int, codes binary, places binary, repeats binary"
+ASKED = (
+    "shard int, kind int, row long, codes binary, a binary, b binary, c binary, "
+    "doc_id long, held_out boolean, n_tokens long, known long, log_part double, base_log double"
 )
+# What a row of ASKED is: weights or counts of a shard, a question to them, or a text's own part.
+KNOWN, QUESTION, TEXT = 0, 1, 2
+FOUND = "row long, doc_id long, held_out boolean, n_tokens long, known long, log_part double, base_log double"
 
 
-def look_up(pairs: DataFrame, asked: DataFrame) -> DataFrame:
-    """``row`` and the logs of the pairs a row asks for, from the shards they lie in."""
-    from appkpi.llm.common import _arrow_schema, in_small_batches, unpack
+def known_words(counts: DataFrame, shards: int) -> DataFrame:
+    """The counts of all words as rows of ``ASKED``: their shards follow those of the pairs."""
+    from appkpi.llm.common import _arrow_schema, in_small_batches
+
+    target = _arrow_schema(counts.sparkSession, ASKED)
+
+    def rows(batches) -> Iterator[tuple]:
+        import numpy as np
+
+        def flush() -> Iterator[tuple]:
+            words, n = (np.concatenate(x) for x in zip(*held, strict=True))
+            order = np.argsort(words)
+            words, n = words[order], n[order]
+            edges = np.searchsorted(shard_of(words, WORD_SHARDS), np.arange(WORD_SHARDS + 1))
+            for k in np.flatnonzero(np.diff(edges)).tolist():
+                own = slice(edges[k], edges[k + 1])
+                yield shards + k, KNOWN, None, words[own].tobytes(), n[own].tobytes(), *[None] * 8
+
+        held, size = [], 0
+        for batch in batches:
+            held.append((batch.column(0).to_numpy().view(np.uint64), batch.column(1).to_numpy()))
+            size += batch.num_rows
+            if size >= FLUSH_TOKENS:
+                yield from flush()
+                held, size = [], 0
+        if size:
+            yield from flush()
+
+    def run(batches):
+        yield from pack(rows(batches), target)
+
+    return in_small_batches(counts.select("word", "n")).mapInArrow(run, ASKED)
+
+
+def look_up(known: DataFrame, asked: DataFrame, shards: int) -> DataFrame:
+    """Parts of the rows' scores: those the texts have themselves, and those of the shards they ask.
+
+    Shards below ``shards`` hold pairs, those from there on words.
+    """
+    from appkpi.llm.common import _arrow_schema, in_small_batches
 
-    asked = asked.select(
-        "shard", F.lit(1).alias("kind"), "row", "codes", F.col("places").alias("a"), F.col("repeats").alias("b"),
-        F.lit(None).cast("binary").alias("c"),
-    )
-    known = pairs.select(
-        "shard", F.lit(0).alias("kind"), F.lit(None).cast("long").alias("row"), "codes", F.col("logs").alias("a"),
-        F.col("contexts").alias("b"), F.col("context_logs").alias("c"),
-    )
     both = known.unionByName(asked).repartition("shard").sortWithinPartitions("shard", "kind")
-    target = _arrow_schema(pairs.sparkSession, "row long, log_part double")
+    target = _arrow_schema(asked.sparkSession, FOUND)
 
     def run(batches):
         import numpy as np
         import pyarrow as pa
 
-        def ordered(keys, logs):
-            keys, logs = np.concatenate(keys or [np.zeros(0, np.uint64)]), np.concatenate(logs or [np.zeros(0)])
+        def ordered(keys, values):
+            keys, values = (np.concatenate(x or [np.zeros(0, np.uint64)]) for x in (keys, values))
             order = np.argsort(keys)
-            return keys[order], logs[order]
+            return keys[order], values[order]
 
-        shard, tables, held = None, None, ([], [], [], [])
-        for at, kind, row, codes, a, b, c in unpack(batches):
+        def own_parts():
+            return pa.RecordBatch.from_arrays(
+                [pa.array(c, f.type) for c, f in zip(zip(*texts, strict=True), target, strict=True)], schema=target
+            )
+
+        shard, tables, held, texts = None, None, ([], [], [], []), []
+        for at, kind, row, codes, a, b, c, *text in unpack(batches):
             if at != shard:
                 shard, tables, held = at, None, ([], [], [], [])
-            codes = unpacked(codes, at)
-            if kind == 0:
-                types = (np.float32, np.uint64, np.float32)
-                for own, x in zip(held, (codes, *map(np.frombuffer, (a, b, c), types)), strict=True):
+            of_words = at >= shards
+            if kind == TEXT:
+                texts.append((row, *text))
+                if len(texts) >= 10_000:
+                    yield own_parts()
+                    texts = []
+                continue
+            codes = np.frombuffer(codes, np.uint64) if of_words else unpacked(codes, at)
+            if kind == KNOWN:
+                given = (codes, np.frombuffer(a, np.int64 if of_words else np.float32))
+                if not of_words:
+                    given += (np.frombuffer(b, np.uint64), np.frombuffer(c, np.float32))
+                for own, x in zip(held, given, strict=False):
                     own.append(x)
                 continue
             if tables is None:
                 tables = ordered(*held[:2]), ordered(*held[2:])
-            (keys, logs), (contexts, context_logs) = tables
-            value = np.zeros(len(codes))
-            place, found = at_places(contexts, context_of(codes))
-            value[found] = context_logs[place[found]]
-            place, found = at_places(keys, codes)
-            value[found] = logs[place[found]]
+            (keys, values), (contexts, context_logs) = tables
             doc, own = np.unique(np.frombuffer(a, np.uint32).cumsum(), return_inverse=True)
-            part = np.bincount(own, value * np.frombuffer(b, np.uint32), len(doc))
-            yield pa.RecordBatch.from_arrays([pa.array(row + doc.astype(np.int64)), pa.array(part)], schema=target)
+            times = np.frombuffer(b, np.uint32)
+            place, found = at_places(keys, codes)
+            if of_words:
+                value = np.zeros(len(codes))
+                value[found] = np.log10(values[place[found]] + 1.0)
+                met = np.bincount(own[found], times[found], len(doc)).astype(np.int64)
+                parts = met, np.zeros(len(doc)), np.bincount(own, value * times, len(doc))
+            else:
+                value = np.zeros(len(codes))
+                near, there = at_places(contexts, context_of(codes))
+                value[there] = context_logs[near[there]]
+                value[found] = values[place[found]]
+                part = np.bincount(own, value * times, len(doc)) / np.log(10)
+                parts = np.zeros(len(doc), np.int64), part, np.zeros(len(doc))
+            nothing = [pa.nulls(len(doc), target.field(k).type) for k in range(1, 4)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(row + doc.astype(np.int64)), *nothing, *map(pa.array, parts)], schema=target
+            )
+        if texts:
+            yield own_parts()
 
-    return in_small_batches(both).mapInArrow(run, "row long, log_part double")
+    return in_small_batches(both).mapInArrow(run, FOUND)
 
 
 def score(docs: DataFrame, model: Model, counts: DataFrame, pairs: DataFrame, held_out: Column) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of each row's text.
 
-    Null texts count as empty: one token, the end. Words beyond the hot ones meet their counts in a
-    join on the word, once per text; pairs meet their weights in their shard, some million tokens of
-    texts at a time. Rows may repeat or lack ids; without one, ``held_out`` may be null. Other columns are not read.
+    Null texts count as empty: one token, the end. What a task does not know by heart it asks for: words and
+    pairs go to the shards that hold their counts and weights, some million tokens of texts at a time, and the
+    texts' own parts travel with them. Rows may repeat or lack ids; without one, ``held_out`` may be null.
+    Other columns are not read.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -652,29 +731,33 @@ def score(docs: DataFrame, model: Model, counts: DataFrame, pairs: DataFrame, he
 
         model = shared.value
         row = TaskContext.get().partitionId() << 40
-        held, size, start = [], 0, row
+        pairs, words, size, start = [], [], 0, row
 
-        def flush() -> Iterator[tuple]:
+        def questions(held, first, as_bytes) -> Iterator[tuple]:
             place = np.repeat(np.arange(len(held)), [len(x[0]) for x in held])
             shard, codes, times = (np.concatenate(x) for x in zip(*held, strict=True))
             order = np.argsort(shard * len(held) + place)
             shard, place, codes, times = shard[order], place[order], codes[order], times[order]
-            edges = np.flatnonzero(np.diff(shard, prepend=-1))
-            for a, b in zip(edges.tolist(), [*edges[1:].tolist(), len(codes)], strict=True):
+            edges = [*np.flatnonzero(np.diff(shard, prepend=-1)).tolist(), len(codes)]
+            for a, b in pairwise(edges):
                 # Places as steps, which are small numbers.
                 steps = np.diff(place[a:b], prepend=0).astype(np.uint32)
-                values = packed(codes[a:b]), steps.tobytes(), times[a:b].tobytes()
-                yield start, *[None] * 8, int(shard[a]), *values
+                values = as_bytes(codes[a:b]), steps.tobytes(), times[a:b].tobytes()
+                yield first + int(shard[a]), QUESTION, start, *values, *[None] * 7
+
+        def flush() -> Iterator[tuple]:
+            yield from questions(pairs, 0, packed)
+            yield from questions(words, model.shards, lambda codes: codes.tobytes())
 
         for doc_id, is_held, text in found:
-            words, buckets = words_and_buckets(text)
-            classes, history = model.classes_of(buckets), history_rows(words, buckets)
+            hashes, buckets = words_and_buckets(text)
+            classes, history = model.classes_of(buckets), history_rows(hashes, buckets)
             part = -model.log_mass[classes].sum()
             for at in range(0, len(classes), BATCH_TOKENS):
                 ends = slice(at, at + BATCH_TOKENS)
                 log_p = model.log_probabilities(history[:, ends], classes[ends])
                 part += float(log_p.sum(dtype=np.float64)) / np.log(10)
-            codes, times = counted(pair_codes(words, classes[:-1], buckets))
+            codes, times = counted(pair_codes(hashes, classes[:-1], buckets))
             shard = shard_of(codes, model.shards)
             codes = in_shard(codes, shard)
             at, frequent = at_places(model.contexts, context_of(codes))
@@ -682,49 +765,50 @@ def score(docs: DataFrame, model: Model, counts: DataFrame, pairs: DataFrame, he
             at, there = at_places(model.pairs, codes)
             part += float(times[there] @ model.pair_logs[at[there]].astype(np.float64)) / np.log(10)
             shard = np.where(frequent, spread_shard(shard, codes, model.shards), shard)
-            held.append((shard[~there], codes[~there], times[~there].astype(np.uint32)))
-            size += len(held[-1][0])
-            word, n = np.unique(words.view(np.int64), return_counts=True)
-            at, hot = at_places(model.hot, word)
+            pairs.append((shard[~there], codes[~there], times[~there].astype(np.uint32)))
+            word, n = counted(hashes)
+            at, hot = at_places(model.hot, word.view(np.int64))
             hot_log = float((n[hot] * np.log10(model.hot_counts[at[hot]] + 1)).sum())
+            rare = word[~hot]
+            words.append((shard_of(rare, WORD_SHARDS), rare, n[~hot].astype(np.uint32)))
+            size += len(pairs[-1][0]) + len(rare)
             known = int(n[hot].sum())
+            # A text's own part goes to any shard: it meets the others by its row.
             yield (
-                row, doc_id, is_held, len(classes), known, part, hot_log, word[~hot].tolist(), n[~hot].tolist(),
-                *[None] * 4,
+                int(row % model.shards), TEXT, row, *[None] * 4,
+                doc_id, is_held, len(classes), known, float(part), hot_log,
             )
             row += 1
-            if size >= SCORE_TOKENS or len(held) >= 100_000:
+            if size >= SCORE_TOKENS or len(pairs) >= 100_000:
                 yield from flush()
-                held, size, start = [], 0, row
+                pairs, words, size, start = [], [], 0, row
         if size:
             yield from flush()
 
-    both = settle(
-        map_rows(
-            docs.select("doc_id", held_out.alias("held_out"), "text"), ["doc_id", "held_out", "text"], SCORED, rows
-        ),
-        "scored",
-    )
-    scored = both.where("shard is null").drop("shard", "codes", "places", "repeats")
-    found = look_up(pairs, both.where("shard is not null").select("row", "shard", "codes", "places", "repeats"))
-    of_pairs = found.groupBy("row").agg((F.sum("log_part") / F.log(F.lit(10.0))).alias("pair_log"))
-    rare = scored.select("row", F.explode(F.arrays_zip("rare", "times")).alias("w")).select(
-        "row", F.col("w.rare").alias("word"), F.col("w.times").alias("k")
-    )
-    known = (
-        rare.join(counts.select("word", "n"), "word")
-        .groupBy("row")
-        .agg(F.sum("k").alias("rare_known"), F.sum(F.col("k") * F.log10(F.col("n") + 1)).alias("rare_log"))
+    names = ["doc_id", "held_out", "text"]
+    asked = map_rows(docs.select("doc_id", held_out.alias("held_out"), "text"), names, ASKED, rows)
+    empty = [F.lit(None).cast(kind).alias(name) for name, kind in (c.split() for c in ASKED.split(", ")[7:])]
+    of_pairs = pairs.select(
+        "shard", F.lit(KNOWN).alias("kind"), F.lit(None).cast("long").alias("row"), "codes", F.col("logs").alias("a"),
+        F.col("contexts").alias("b"), F.col("context_logs").alias("c"), *empty,
     )
+    found = look_up(of_pairs.unionByName(known_words(counts, model.shards)), asked, model.shards)
     end_log, ends_known = F.log10(F.lit(model.texts + 1.0)), F.lit(int(model.texts > 0))
-    logs = F.col("hot_log") + F.coalesce("rare_log", F.lit(0.0)) + end_log
     space = F.log10(F.lit(float(model.tokens + model.kinds + 1)))
-    return scored.join(known, "row", "left").join(of_pairs, "row", "left").select(
+    whole = found.groupBy("row").agg(
+        F.max("doc_id").alias("doc_id"),
+        F.max("held_out").alias("held_out"),
+        F.max("n_tokens").alias("n_tokens"),
+        F.sum("known").alias("known"),
+        F.sum("log_part").alias("log_part"),
+        (F.sum("base_log") + end_log).alias("logs"),
+    )
+    return whole.select(
         "doc_id",
         "held_out",
         "n_tokens",
-        (F.col("hot_known") + F.coalesce("rare_known", F.lit(0)) + ends_known).cast("long").alias("n_known"),
+        (F.col("known") + ends_known).cast("long").alias("n_known"),
         F.lit(model.tokens).cast("long").alias("train_tokens"),
-        (logs - F.col("n_tokens") * space).alias("base_score"),
-        (logs + F.col("log_part") + F.coalesce("pair_log", F.lit(0.0))).alias("score"),
+        (F.col("logs") - F.col("n_tokens") * space).alias("base_score"),
+        (F.col("logs") + F.col("log_part")).alias("score"),
     )
