@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from appkpi.llm.common import discard, map_rows, pack, settle, unpack
-from appkpi.llm.words import hash_words, mix
+from appkpi.llm.words import hash_texts, hash_words, mix
 
 BUCKET_BITS = 13
 PROFILE = 16
@@ -42,6 +42,9 @@ HOT_WORDS = 200_000
 HOT_SHARE = 200_000
 # Words whose counts a task holds before it passes them on.
 FLUSH_TOKENS = 4_000_000
+# Texts that are hashed and scored together: so many bytes (a longer text stands alone), so many rows.
+GROUP_BYTES = 1 << 16
+GROUP_ROWS = 1 << 12
 # Words of the texts that are looked up together.
 SCORE_TOKENS = 1_000_000
 # Rows of weights that are averaged together.
@@ -67,18 +70,52 @@ def words_and_buckets(text: str | None):
     return words, buckets_of(words)
 
 
+def in_groups(found: Iterator[tuple]) -> Iterator[tuple]:
+    """(rows without their text, word hashes, buckets, words of each text) of some texts at a time; the text is last."""
+
+    def together() -> tuple:
+        words, sizes = hash_texts(raws)
+        return rows, words, buckets_of(words), sizes
+
+    rows, raws, size = [], [], 0
+    for *row, text in found:
+        raw = (text or "").encode().lower()
+        if raws and (size + len(raw) > GROUP_BYTES or len(raws) >= GROUP_ROWS):
+            yield together()
+            rows, raws, size = [], [], 0
+        rows.append(row)
+        raws.append(raw)
+        size += len(raw) + 1
+    if raws:
+        yield together()
+
+
+def with_ends(values, sizes, end):
+    """The values of the words of some texts, with ``end`` after each text."""
+    import numpy as np
+
+    tokens = np.full(len(values) + len(sizes), end, values.dtype)
+    tokens[np.arange(len(values)) + np.repeat(np.arange(len(sizes)), sizes)] = values
+    return tokens
+
+
 def buckets_of(words):
     import numpy as np
 
     return (mix(words) >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
 
 
-def pair_codes(words, classes, buckets):
-    """For each word of a text the hash of its pair: last word and class, with the bucket in the low bits."""
+def pair_codes(words, classes, buckets, sizes=None):
+    """For each word the hash of its pair: last word and class, with the bucket in the low bits.
+
+    The words are those of one text, or of texts with ``sizes`` words each.
+    """
     import numpy as np
 
     last = np.zeros(len(words), np.uint64)
     last[1:] = words[:-1]
+    if sizes is not None:
+        last[(np.cumsum(sizes) - sizes)[sizes > 0]] = 0
     context = mix(last + (classes + 1).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
     return context_of(context) | buckets.astype(np.uint64)
 
@@ -191,14 +228,15 @@ def count_texts(training: DataFrame) -> tuple[DataFrame, list[tuple]]:
 
         total = np.zeros((BUCKETS, PROFILE), np.float32)
         held, size = [], 0
-        for (text,) in found:
-            words, bucket = words_and_buckets(text)
-            if not len(bucket):
+        for _, words, bucket, sizes in in_groups(found):
+            if not len(words):
                 continue
-            n = np.bincount(bucket, minlength=BUCKETS)
-            kinds = np.flatnonzero(n)
-            n = n[kinds].astype(np.float32)
-            total[kinds] += n[:, None] * (np.bincount(kinds % PROFILE, n, PROFILE) / n.sum()).astype(np.float32)
+            text = np.repeat(np.arange(len(sizes)), sizes)
+            share = np.bincount(text * PROFILE + bucket % PROFILE, minlength=len(sizes) * PROFILE)
+            share = share.reshape(-1, PROFILE).astype(np.float32) / np.maximum(sizes, 1)[:, None].astype(np.float32)
+            order = np.argsort(bucket.astype(np.uint16), kind="stable")
+            kinds, first = np.unique(bucket[order], return_index=True)
+            total[kinds] += np.add.reduceat(np.take(share, text[order], axis=0), first, axis=0)
             held.append(words)
             size += len(words)
             if size >= FLUSH_TOKENS or len(held) >= 100_000:
@@ -290,19 +328,30 @@ def cluster(profile, tokens):
     return near
 
 
-def history_rows(words, buckets):
-    """For each token of a text and its end, the four rows of weights of its history."""
+def history_rows(words, buckets, sizes=None):
+    """For each token of a text and its end, the four rows of weights of its history.
+
+    The words are those of one text, or of texts with ``sizes`` words each; every text has an end.
+    """
     import numpy as np
 
-    n = len(words) + 1
+    sizes = np.array([len(words)]) if sizes is None else sizes
+    words, buckets = with_ends(words, sizes, 0), with_ends(buckets, sizes, BUCKETS)
+    n = len(words)
+    starts = np.cumsum(sizes + 1) - sizes - 1
     rows = np.empty((4, n), np.int64)
     for back in range(1, 4):
         own = rows[back - 1]
-        own[:back] = (back - 1) * (BUCKETS + 1) + BUCKETS
-        own[back:] = (back - 1) * (BUCKETS + 1) + buckets[: n - back]
+        own[:back] = BUCKETS
+        own[back:] = buckets[: max(0, n - back)]
+        # Ends and the first places of a text have none of its words before them.
+        for k in range(back):
+            own[np.minimum(starts + k, starts + sizes)] = BUCKETS
+        own += (back - 1) * (BUCKETS + 1)
     pair = np.zeros(n, np.uint64)
-    pair[1:] = words
-    pair[2:] += words[: n - 2] * np.uint64(3)
+    pair[2:] = words[: max(0, n - 2)] * np.uint64(3)
+    pair[starts] = 0
+    pair[1:] += words[:-1]
     rows[3] = HISTORY_ROWS + (mix(pair) >> np.uint64(64 - PAIR_BITS)).astype(np.int64)
     return rows
 
@@ -328,10 +377,11 @@ class Model:
     pair_logs: object = None
     shards: int = PAIR_SHARDS
 
-    def classes_of(self, buckets):
+    def classes_of(self, buckets, sizes=None):
+        """Classes of the words and ends of one text, or of texts with ``sizes`` words each."""
         import numpy as np
 
-        return np.append(self.classes[buckets], CLASSES)
+        return with_ends(self.classes[buckets], np.array([len(buckets)]) if sizes is None else sizes, CLASSES)
 
     def pulls(self, rows):
         """What each class (first axis) of each history has in the exponent, the largest being zero."""
@@ -404,25 +454,26 @@ def train_weights(training: DataFrame, model: Model):
             for shard, *values in in_shards(*counted(np.concatenate(codes)), own.shards, True):
                 yield shard, *values, True
 
-        def step() -> None:
+        def step(last: bool = False) -> None:
             at, classes = (np.concatenate(x, axis=-1) for x in zip(*held, strict=True))
-            for a in range(0, len(classes), BATCH_TOKENS):
+            done = len(classes) if last else len(classes) // BATCH_TOKENS * BATCH_TOKENS
+            for a in range(0, done, BATCH_TOKENS):
                 descend(own, past, at[:, a : a + BATCH_TOKENS], classes[a : a + BATCH_TOKENS], met)
+            held[:] = [(at[:, done:], classes[done:])]
 
-        for (text,) in found:
-            words, buckets = words_and_buckets(text)
-            classes = own.classes_of(buckets)
-            held.append((history_rows(words, buckets), classes))
-            codes.append(pair_codes(words, classes[:-1], buckets))
-            size, pairs = size + len(words) + 1, pairs + len(words)
+        for _, words, buckets, sizes in in_groups(found):
+            classes = own.classes_of(buckets, sizes)
+            held.append((history_rows(words, buckets, sizes), classes))
+            codes.append(pair_codes(words, own.classes[buckets], buckets, sizes))
+            size, pairs = size + len(classes), pairs + len(words)
             if pairs >= FLUSH_TOKENS or len(codes) >= 100_000:
                 yield from flush()
                 codes, pairs = [], 0
             if size >= BATCH_TOKENS:
                 step()
-                held, size = [], 0
-        if held:
-            step()
+                size = len(held[0][1])
+        if size:
+            step(last=True)
         if codes:
             yield from flush()
         for at in range(0, ROWS, SLICE_ROWS):
@@ -691,20 +742,17 @@ def look_up(known: DataFrame, asked: DataFrame, shards: int) -> DataFrame:
                 tables = ordered(*held[:2]), ordered(*held[2:])
             (keys, values), (contexts, context_logs) = tables
             doc, own = np.unique(np.frombuffer(a, np.uint32).cumsum(), return_inverse=True)
-            times = np.frombuffer(b, np.uint32)
             place, found = at_places(keys, codes)
+            value, none = np.zeros(len(codes)), np.zeros(len(doc))
             if of_words:
-                value = np.zeros(len(codes))
                 value[found] = np.log10(values[place[found]] + 1.0)
-                met = np.bincount(own[found], times[found], len(doc)).astype(np.int64)
-                parts = met, np.zeros(len(doc)), np.bincount(own, value * times, len(doc))
+                met = np.bincount(own[found], minlength=len(doc)).astype(np.int64)
+                parts = met, none, np.bincount(own, value, len(doc))
             else:
-                value = np.zeros(len(codes))
                 near, there = at_places(contexts, context_of(codes))
                 value[there] = context_logs[near[there]]
                 value[found] = values[place[found]]
-                part = np.bincount(own, value * times, len(doc)) / np.log(10)
-                parts = np.zeros(len(doc), np.int64), part, np.zeros(len(doc))
+                parts = none.astype(np.int64), np.bincount(own, value, len(doc)) / np.log(10), none
             nothing = [pa.nulls(len(doc), target.field(k).type) for k in range(1, 4)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(row + doc.astype(np.int64)), *nothing, *map(pa.array, parts)], schema=target
@@ -734,52 +782,57 @@ def score(docs: DataFrame, model: Model, counts: DataFrame, pairs: DataFrame, he
         pairs, words, size, start = [], [], 0, row
 
         def questions(held, first, as_bytes) -> Iterator[tuple]:
-            place = np.repeat(np.arange(len(held)), [len(x[0]) for x in held])
-            shard, codes, times = (np.concatenate(x) for x in zip(*held, strict=True))
-            order = np.argsort(shard * len(held) + place)
-            shard, place, codes, times = shard[order], place[order], codes[order], times[order]
+            shard, codes, place = (np.concatenate(x) for x in zip(*held, strict=True))
+            order = np.argsort(shard * (row - start) + place)
+            shard, place, codes = shard[order], place[order], codes[order]
             edges = [*np.flatnonzero(np.diff(shard, prepend=-1)).tolist(), len(codes)]
             for a, b in pairwise(edges):
                 # Places as steps, which are small numbers.
                 steps = np.diff(place[a:b], prepend=0).astype(np.uint32)
-                values = as_bytes(codes[a:b]), steps.tobytes(), times[a:b].tobytes()
-                yield first + int(shard[a]), QUESTION, start, *values, *[None] * 7
+                yield first + int(shard[a]), QUESTION, start, as_bytes(codes[a:b]), steps.tobytes(), *[None] * 8
 
         def flush() -> Iterator[tuple]:
             yield from questions(pairs, 0, packed)
             yield from questions(words, model.shards, lambda codes: codes.tobytes())
 
-        for doc_id, is_held, text in found:
-            hashes, buckets = words_and_buckets(text)
-            classes, history = model.classes_of(buckets), history_rows(hashes, buckets)
-            part = -model.log_mass[classes].sum()
+        hot_logs = np.log10(model.hot_counts + 1.0)
+        for texts, hashes, buckets, sizes in in_groups(found):
+            classes, history = model.classes_of(buckets, sizes), history_rows(hashes, buckets, sizes)
+            part = -model.log_mass[classes]
             for at in range(0, len(classes), BATCH_TOKENS):
                 ends = slice(at, at + BATCH_TOKENS)
-                log_p = model.log_probabilities(history[:, ends], classes[ends])
-                part += float(log_p.sum(dtype=np.float64)) / np.log(10)
-            codes, times = counted(pair_codes(hashes, classes[:-1], buckets))
+                part[ends] += model.log_probabilities(history[:, ends], classes[ends]) / np.log(10)
+            part = np.add.reduceat(part, np.cumsum(sizes + 1) - sizes - 1)
+            text = np.repeat(np.arange(len(sizes)), sizes)
+
+            # Equal pairs and words side by side: tables are walked in their order.
+            codes = pair_codes(hashes, model.classes[buckets], buckets, sizes)
+            order = np.argsort(codes)
+            codes, of = codes[order], text[order]
             shard = shard_of(codes, model.shards)
             codes = in_shard(codes, shard)
             at, frequent = at_places(model.contexts, context_of(codes))
-            part += float(times[frequent] @ model.context_logs[at[frequent]].astype(np.float64)) / np.log(10)
+            logs = np.where(frequent, model.context_logs[at] if len(model.contexts) else 0.0, 0.0).astype(np.float64)
             at, there = at_places(model.pairs, codes)
-            part += float(times[there] @ model.pair_logs[at[there]].astype(np.float64)) / np.log(10)
+            logs[there] += model.pair_logs[at[there]]
+            part += np.bincount(of, logs, len(sizes)) / np.log(10)
             shard = np.where(frequent, spread_shard(shard, codes, model.shards), shard)
-            pairs.append((shard[~there], codes[~there], times[~there].astype(np.uint32)))
-            word, n = counted(hashes)
+            pairs.append((shard[~there], codes[~there], of[~there] + (row - start)))
+
+            order = np.argsort(hashes)
+            word, of = hashes[order], text[order]
             at, hot = at_places(model.hot, word.view(np.int64))
-            hot_log = float((n[hot] * np.log10(model.hot_counts[at[hot]] + 1)).sum())
+            hot_log = np.bincount(of[hot], hot_logs[at[hot]], len(sizes))
+            known = np.bincount(of[hot], minlength=len(sizes))
             rare = word[~hot]
-            words.append((shard_of(rare, WORD_SHARDS), rare, n[~hot].astype(np.uint32)))
+            words.append((shard_of(rare, WORD_SHARDS), rare, of[~hot] + (row - start)))
             size += len(pairs[-1][0]) + len(rare)
-            known = int(n[hot].sum())
-            # A text's own part goes to any shard: it meets the others by its row.
-            yield (
-                int(row % model.shards), TEXT, row, *[None] * 4,
-                doc_id, is_held, len(classes), known, float(part), hot_log,
-            )
-            row += 1
-            if size >= SCORE_TOKENS or len(pairs) >= 100_000:
+            own_parts = (sizes + 1).tolist(), known.tolist(), part.tolist(), hot_log.tolist()
+            for (doc_id, is_held), *own in zip(texts, *own_parts, strict=True):
+                # A text's own part goes to any shard: it meets the others by its row.
+                yield int(row % model.shards), TEXT, row, *[None] * 4, doc_id, is_held, *own
+                row += 1
+            if size >= SCORE_TOKENS or row - start >= 100_000:
                 yield from flush()
                 pairs, words, size, start = [], [], 0, row
         if size:

@@ -66,13 +66,34 @@ def _long_word(word: bytes, most: int):
     return np.array([xxh64_intdigest(word)], np.uint64), _hash_piece(word[: most or 1], 0)[0]
 
 
-def _hash_piece(raw: bytes, most: int):
+def hash_texts(raws: list[bytes]):
+    """Hashes of the words of all texts, in order, and how many words each text has."""
     import numpy as np
 
-    up, down, is_word = _tables()
+    raw = b"\n".join(raws)
+    if len(raws) == 1 or len(raw) > PIECE_BYTES:
+        found = [hash_words(r) for r in raws]
+        return np.concatenate([np.zeros(0, np.uint64), *found]), np.array([len(x) for x in found], np.int64)
+    starts, ends = _edges(raw)
+    # Each text ends with a blank of its own.
+    borders = np.searchsorted(starts, np.cumsum([len(r) + 1 for r in raws]))
+    return _hash_piece(raw, 0, (starts, ends))[0], np.diff(borders, prepend=0)
+
+
+def _edges(raw: bytes):
+    import numpy as np
+
+    is_word = _tables()[2]
+    edge = np.flatnonzero(np.diff(is_word[np.frombuffer(raw, np.uint8)], prepend=np.int8(0), append=np.int8(0)))
+    return edge[::2], edge[1::2]
+
+
+def _hash_piece(raw: bytes, most: int, edges=None):
+    import numpy as np
+
+    up, down, _ = _tables()
     b = np.frombuffer(raw, np.uint8)
-    edge = np.flatnonzero(np.diff(is_word[b], prepend=np.int8(0), append=np.int8(0)))
-    starts, ends = edge[::2], edge[1::2]
+    starts, ends = edges or _edges(raw)
     sums = np.zeros(len(b) + 1, np.uint64)
     np.cumsum((b.astype(np.uint64) + np.uint64(1)) * up[: len(b)], out=sums[1:])
     before, scale, size = sums[starts], down[starts], ends - starts

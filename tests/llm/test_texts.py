@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import math
 import random
+from pathlib import Path
 import re
 import zlib
 from collections import Counter
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from rows import documents, odd_rows  # noqa: F401
-from appkpi.llm import bpe, lines, lm, packing, quality, token_files, toxicity, warc
+from appkpi.llm import bpe, common, lines, lm, packing, quality, token_files, toxicity, warc
 from appkpi.llm.queries import ORACLE, QUERIES
 from appkpi.llm.tokens import library_coder, vocabulary_path
 from appkpi.llm.words import PIECE_BYTES, hash_words, hash_words_and_starts
@@ -500,6 +501,36 @@ def test_pair_weights_follow_the_counts(documents, two_languages):
     assert np.allclose(chance, [0.75, 0.25, 1], atol=0.01)
 
 
+@pytest.mark.parametrize("group_bytes", [1, 40, 1 << 16])
+def test_texts_together_are_as_texts_alone(odd_rows, group_bytes, monkeypatch):
+    """No text sees the words of another, whichever texts are hashed together; empty ones take their place."""
+    monkeypatch.setattr(lm, "GROUP_BYTES", group_bytes)
+    texts = [t for _, t in odd_rows] + ["", None, "a", "b a", " ", "a b a", "x" * (PIECE_BYTES + 9), "", "c d e f g"]
+    classes = np.arange(lm.BUCKETS) % lm.CLASSES
+    at = 0
+    for rows, words, buckets, sizes in lm.in_groups((k, t) for k, t in enumerate(texts)):
+        assert [k for (k,) in rows] == list(range(at, at + len(sizes)))
+        alone = [lm.words_and_buckets(t) for t in texts[at : at + len(sizes)]]
+        assert sizes.tolist() == [len(w) for w, _ in alone]
+        assert words.tolist() == [h for w, _ in alone for h in w.tolist()]
+        history = np.concatenate([lm.history_rows(w, b) for w, b in alone], axis=1)
+        assert (lm.history_rows(words, buckets, sizes) == history).all()
+        pairs = np.concatenate([lm.pair_codes(w, classes[b], b) for w, b in alone])
+        assert (lm.pair_codes(words, classes[buckets], buckets, sizes) == pairs).all()
+        at += len(sizes)
+    assert at == len(texts)
+
+
+def test_used_steps_are_removed(documents, two_languages, tmp_path):
+    """Training leaves the tables that scoring reads, and nothing else."""
+    docs = documents(two_languages[:30])
+    folder = Path(common.new_folder(docs.sparkSession, "x").removeprefix("file:")).parent
+    before = set(folder.iterdir()) if folder.exists() else set()
+    lm.train(docs)
+    left = {p.name.rsplit("-", 1)[0] for p in set(folder.iterdir()) - before}
+    assert left == {"word-counts", "pair-weights"}
+
+
 def test_language_model_of_no_texts(documents):
     none = documents([(1, "a")]).limit(0)
     model, counts, pairs = lm.train(none)
