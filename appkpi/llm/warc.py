@@ -1,15 +1,21 @@
 """WARC archives as a chunked record table.
 
-An archive is a table of rows (record, chunk, data): chunk 0 holds the record's WARC header, the
-chunks after it hold the payload in pieces of at most ``CHUNK_BYTES``, so that no reader or writer
-needs a whole record in one buffer. The data of a record's chunks in order, followed by two line
-ends, are the bytes of its WARC record. Each chunk carries the SHA-256 of the payload up to its
-end, which a reader checks as it goes.
+An archive is a table of rows (record, chunk, data): chunk 0 holds the record's WARC header and the
+HTTP header its block begins with, the chunks after it hold the payload in pieces of at most
+``CHUNK_BYTES``, so that no reader or writer needs a whole record in one buffer. The data of a
+record's chunks in order, followed by two line ends, are the bytes of its WARC record. Each chunk
+carries the SHA-256 of the payload up to its end, which a reader checks as it goes.
+
+Record ids are name-based UUIDs. One that revisits refer to is made of its page_id and payload digest,
+which the writer of a revisit knows without seeing the record; rows that repeat both are one record
+stored twice. All others also contain the place of their row in the write.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
+from datetime import UTC, datetime
 from itertools import groupby
 from operator import itemgetter
 
@@ -58,25 +64,42 @@ def with_originals(pages: DataFrame, least_bytes: int = LEAST_REVISIT_BYTES) ->
     )
 
 
-def header(page_id: int | None, url: str, original: int | None, length: int, digest: str) -> bytes:
-    """The WARC header; ``length`` and ``digest`` are those of the full payload."""
-    kind = "response" if original is None else "revisit"
+def record_id(*parts) -> str:
+    return f"<{uuid.uuid5(uuid.NAMESPACE_URL, '/'.join(map(str, parts))).urn}>"
+
+
+def header(
+    page_id: int | None, url: str, original: int | None, length: int, digest: str, record: int, date: str
+) -> bytes:
+    """The WARC header and the HTTP header; ``length`` and ``digest`` are those of the full payload."""
+    own = (page_id, digest)
+    if original is not None or page_id is None or length < LEAST_REVISIT_BYTES:
+        own += (record,)
+    http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {length}\r\n\r\n"
     fields = [
         "WARC/1.1",
-        f"WARC-Type: {kind}",
-        f"WARC-Record-ID: <urn:page:{'' if page_id is None else page_id}>",
+        f"WARC-Type: {'response' if original is None else 'revisit'}",
+        f"WARC-Record-ID: {record_id(*own)}",
+        f"WARC-Date: {date}",
         f"WARC-Target-URI: {''.join(c if c >= ' ' else '%%%02X' % ord(c) for c in url)}",
+        "Content-Type: application/http; msgtype=response",
         f"WARC-Payload-Digest: sha256:{digest}",
         f"X-Payload-Length: {length}",
-        f"Content-Length: {length if original is None else 0}",
+        f"X-Page-ID: {'' if page_id is None else page_id}",
+        f"Content-Length: {len(http) + (length if original is None else 0)}",
     ]
     if original is not None:
-        fields += [f"WARC-Profile: {SAME_PAYLOAD}", f"WARC-Refers-To: <urn:page:{original}>"]
-    return "\r\n".join([*fields, "", ""]).encode()
+        fields += [
+            f"WARC-Profile: {SAME_PAYLOAD}",
+            f"WARC-Refers-To: {record_id(original, digest)}",
+            f"X-Refers-To-Page-ID: {original}",
+        ]
+    return ("\r\n".join([*fields, "", ""]) + http).encode()
 
 
-def chunks(pages: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
-    """The chunk rows of one record per row of ``with_originals``."""
+def chunks(pages: DataFrame, chunk_bytes: int = CHUNK_BYTES, at: datetime | None = None) -> DataFrame:
+    """The chunk rows of one record per row of ``with_originals``; ``at`` is their date, now if not given."""
+    date = (at or datetime.now(UTC)).astimezone(UTC).strftime("%Y-%m-%dT%H:%M:%SZ")
 
     def rows(found: Iterator[tuple]) -> Iterator[tuple]:
         import hashlib
@@ -90,7 +113,7 @@ def chunks(pages: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
             for piece in utf8_pieces(html, chunk_bytes):
                 digest.update(piece)
                 length += len(piece)
-            head = header(page_id, url, original, length, digest.hexdigest())
+            head = header(page_id, url, original, length, digest.hexdigest(), record, date)
             stored = original is None and length > 0
             yield record, 0, not stored, head, hashlib.sha256().hexdigest()
             if stored:
@@ -111,9 +134,9 @@ def utf8_pieces(text: str, size: int) -> Iterator[bytes]:
         yield text[at : at + step].encode()
 
 
-def write(pages: DataFrame, folder: str, chunk_bytes: int = CHUNK_BYTES) -> None:
+def write(pages: DataFrame, folder: str, chunk_bytes: int = CHUNK_BYTES, at: datetime | None = None) -> None:
     """Writes ``pages`` (page_id, url, html) as a chunked archive table; other columns are not stored."""
-    chunks(with_originals(pages), chunk_bytes).write.parquet(folder)
+    chunks(with_originals(pages), chunk_bytes, at).write.parquet(folder)
 
 
 RECORD = (
@@ -142,12 +165,13 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
 def read_record(record: int, parts: Iterator[tuple]) -> tuple:
     import hashlib
 
-    digest, length, due, fields, ended = hashlib.sha256(), 0, 0, {}, False
+    digest, length, due, fields, ended, http = hashlib.sha256(), 0, 0, {}, False, 0
     for _, number, last, data, so_far in parts:
         if number != due or ended:
             raise ValueError(f"chunk {due} of record {record} is missing")
         if number == 0:
-            fields = parse_header(data)
+            head, block = data.split(b"\r\n\r\n", 1)
+            fields, http = parse_header(head), len(block)
         else:
             digest.update(data)
             length += len(data)
@@ -155,13 +179,13 @@ def read_record(record: int, parts: Iterator[tuple]) -> tuple:
             raise ValueError(f"chunk {number} of record {record} is damaged")
         due, ended = due + 1, last
     said, full = fields["WARC-Payload-Digest"].removeprefix("sha256:"), int(fields["X-Payload-Length"])
-    if not ended or length != int(fields["Content-Length"]):
+    if not ended or http + length != int(fields["Content-Length"]):
         raise ValueError(f"record {record} is cut short")
     if fields["WARC-Type"] == "response" and digest.hexdigest() != said:
         raise ValueError(f"record {record} does not match its digest")
     return (
-        number_in(fields["WARC-Record-ID"]), full, said, fields["WARC-Type"],
-        number_in(fields.get("WARC-Refers-To", "")),
+        number_in(fields["X-Page-ID"]), full, said, fields["WARC-Type"],
+        number_in(fields.get("X-Refers-To-Page-ID", "")),
     )
 
 
@@ -170,7 +194,5 @@ def parse_header(data: bytes) -> dict[str, str]:
     return dict(line.split(": ", 1) for line in lines[1:] if line)
 
 
-def number_in(name: str) -> int | None:
-    """The id in <urn:page:id>."""
-    digits = name.removeprefix("<urn:page:").removesuffix(">")
+def number_in(digits: str) -> int | None:
     return int(digits) if digits else None

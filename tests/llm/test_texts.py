@@ -5,10 +5,11 @@ from __future__ import annotations
 import hashlib
 import math
 import random
-from pathlib import Path
 import re
 import zlib
 from collections import Counter
+from datetime import UTC, datetime
+from pathlib import Path
 
 import duckdb
 import numpy as np
@@ -295,6 +296,27 @@ def test_archive_comes_back(spark, folder):
     assert f"Content-Length: {len(body)}".encode() in head
 
 
+def test_headers_have_what_the_standard_requires(spark, folder):
+    """Mandatory fields, one record id each, revisits that name the record they stand for, HTTP blocks."""
+    same = "é" * 60
+    rows = [(1, "http://a/", same), (2, "http://b/", same), (3, None, "x"), (3, None, "x"), (None, "u", same), (4, "u", None)]
+    warc.write(pages_of(spark, rows).repartition(2), folder, at=datetime(2026, 3, 1, 12, 30, 5, tzinfo=UTC))
+    heads = [r.data for r in spark.read.parquet(folder).where("chunk = 0").collect()]
+    fields = [warc.parse_header(h.split(b"\r\n\r\n", 1)[0]) for h in heads]
+    for head, own in zip(heads, fields, strict=True):
+        assert head.startswith(b"WARC/1.1\r\n")
+        assert own["WARC-Date"] == "2026-03-01T12:30:05Z"
+        assert re.fullmatch(r"<urn:uuid:[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}>", own["WARC-Record-ID"])
+        assert own["WARC-Type"] in ("response", "revisit") and int(own["Content-Length"]) > 0
+        assert own["Content-Type"] == "application/http; msgtype=response"
+        block = head.split(b"\r\n\r\n", 1)[1]
+        assert block.startswith(b"HTTP/1.1 200 OK\r\n") and block.endswith(b"\r\n\r\n")
+        assert f"Content-Length: {own['X-Payload-Length']}".encode() in block
+    assert len({f["WARC-Record-ID"] for f in fields}) == len(rows)
+    first = next(f["WARC-Record-ID"] for f in fields if f["X-Page-ID"] == "1")
+    assert [f["WARC-Refers-To"] for f in fields if f["WARC-Type"] == "revisit"] == [first, first]
+
+
 @pytest.mark.parametrize("where", ["chunk <> 1", "not last", "chunk <> 0"])
 def test_archive_with_a_chunk_lost(spark, folder, where):
     warc.write(pages_of(spark, [(1, "u", "x" * 5000)]), folder, chunk_bytes=1000)
