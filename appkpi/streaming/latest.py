@@ -4,15 +4,41 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from appkpi.operators.latest import keep_latest
 from appkpi.sources.files import path_exists, remove_folder, write_finished
+from appkpi.sources.versions import newest_version, read_version, write_version
 from appkpi.streaming.landing import checkpoint_folder
 
 
+def _with_current(
+    current: DataFrame,
+    batch: DataFrame,
+    keys: Sequence[str],
+    order_by: Sequence[str] | None,
+    partition_by: str | None,
+) -> DataFrame:
+    """The latest versions among the batch and the days of the table that it touches."""
+    new = keep_latest(batch, keys, order_by)
+    if partition_by:
+        # the calendar bounds this list; a literal filter prunes the other folders
+        days = [r[0] for r in batch.select(partition_by).distinct().collect()]
+        touched = F.col(partition_by).isin([d for d in days if d is not None])
+        if None in days:
+            touched = touched | F.col(partition_by).isNull()
+        current = current.filter(touched)
+    return keep_latest(current.unionByName(new), keys, order_by)
+
+
+def _stream_of(spark: SparkSession) -> str:
+    """Equal over restarts of one checkpoint, another for a new one: a restart finds its own
+    finished work, and a stream that begins anew cannot mistake an old one's for its own."""
+    return spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+
+
 def _merge_batch(
     batch: DataFrame,
     path: str,
@@ -23,24 +49,16 @@ def _merge_batch(
     partition_by: str | None,
 ) -> None:
     spark = batch.sparkSession
-    # Equal over restarts of one checkpoint, another for a new one: a restart finds its own
-    # finished copy, and a stream that begins anew cannot mistake an old one for its own.
-    stream = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+    stream = _stream_of(spark)
     staged = f"{work}/stream={stream}/batch={number}"
     # This batch is under way, so the one before it is done for good.
     remove_folder(spark, f"{work}/stream={stream}/batch={number - 1}")
     if not write_finished(spark, staged):
-        new = keep_latest(batch, keys, order_by)
         if path_exists(spark, path):
             current = spark.read.schema(batch.schema).parquet(path).select(*batch.columns)
-            if partition_by:
-                # the calendar bounds this list; a literal filter prunes the other folders
-                days = [r[0] for r in batch.select(partition_by).distinct().collect()]
-                touched = F.col(partition_by).isin([d for d in days if d is not None])
-                if None in days:
-                    touched = touched | F.col(partition_by).isNull()
-                current = current.filter(touched)
-            new = keep_latest(current.unionByName(new), keys, order_by)
+            new = _with_current(current, batch, keys, order_by, partition_by)
+        else:
+            new = keep_latest(batch, keys, order_by)
         new.write.mode("overwrite").parquet(staged)
     writer = spark.read.parquet(staged).write.mode("overwrite")
     if partition_by:
@@ -48,6 +66,21 @@ def _merge_batch(
     writer.parquet(path)
 
 
+def _merge_version(
+    batch: DataFrame,
+    path: str,
+    number: int,
+    keys: Sequence[str],
+    order_by: Sequence[str] | None,
+    partition_by: str | None,
+) -> None:
+    spark = batch.sparkSession
+    name = f"{_stream_of(spark)}/{number}"
+    if newest_version(spark, path)[1] != name:
+        new = _with_current(read_version(spark, path, batch.schema), batch, keys, order_by, partition_by)
+        write_version(new, path, partition_by, name)
+
+
 def stream_latest(
     rows: DataFrame,
     path: str,
@@ -56,6 +89,7 @@ def stream_latest(
     order_by: Sequence[str] | None = None,
     partition_by: str | None = None,
     checkpoint: str | None = None,
+    versioned: bool = False,
 ) -> StreamingQuery:
     """Folds a stream of versions into the table at ``path`` and stops.
 
@@ -67,14 +101,17 @@ def stream_latest(
     idempotent, and a run that stopped while replacing finds its finished copy in ``work``.
     Copies carry the stream's id and are removed once the next batch begins, so ``work`` may be
     shared and used again. ``partition_by`` is a day or another column of few values per batch.
+
+    ``versioned`` tables are for readers that run meanwhile: each batch is written once, as a version
+    of the days it touches, and ``read_version`` sees it whole or not at all; ``work`` is not used.
     """
     if partition_by and partition_by not in keys:
         raise ValueError(f"{partition_by!r} must be part of the key, or rows could move")
     return (
         rows.writeStream.foreachBatch(
-            lambda batch, number: _merge_batch(
-                batch, path, work, number, keys, order_by, partition_by
-            )
+            lambda batch, number: _merge_version(batch, path, number, keys, order_by, partition_by)
+            if versioned
+            else _merge_batch(batch, path, work, number, keys, order_by, partition_by)
         )
         .option(
             "checkpointLocation",

@@ -11,6 +11,7 @@ from appkpi.plans.contracts import CONTRACTS
 from appkpi.session import require_utc
 from appkpi.sources import Load, land, publish_view, read_csv_report, read_raw, read_table, write_table
 from appkpi.sources.landing import METADATA, append_raw, stamp
+from appkpi.sources.versions import newest_version, read_version
 from appkpi.streaming import checkpoint_folder, stream_csv_to_raw, stream_latest
 
 # ---- tables ----
@@ -216,6 +217,63 @@ def test_a_stopped_replacement_is_finished_from_its_copy(spark, tmp_path):
     assert spark.read.parquet(path).count() == 1
 
 
+def versions(spark, source, path, keys, partition_by, checkpoint):
+    rows = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).parquet(source)
+    stream_latest(
+        rows, path, f"{path}-work", keys, partition_by=partition_by, checkpoint=checkpoint, versioned=True
+    ).awaitTermination()
+
+
+@pytest.mark.parametrize(("keys", "partition_by"), [(["k", "d"], "d"), (["k"], None)])
+def test_readers_see_a_version_whole(spark, tmp_path, keys, partition_by):
+    source, path = str(tmp_path / "in"), str(tmp_path / "out")
+    batches = [
+        [("a", day(1), 1, at(1), "r1"), ("b", day(2), 2, at(1), "r1"), ("c", None, 3, at(1), "r1")],
+        [("a", day(1), 4, at(2), "r2"), ("d", day(3), 5, at(2), "r2")],
+        [("c", None, 7, at(3), "r3"), ("a", day(1), 8, at(3), "r3")],
+    ]
+    schema = spark.createDataFrame([], SCHEMA).schema
+    assert read_version(spark, path, schema).count() == 0
+    so_far, readers = [], []
+    for rows in batches:
+        spark.createDataFrame(rows, SCHEMA).coalesce(1).write.mode("append").parquet(source)
+        versions(spark, source, path, keys, partition_by, f"{path}-cp")
+        so_far += rows
+        full = as_dicts(keep_latest(spark.createDataFrame(so_far, SCHEMA), keys), "k", "d")
+        assert as_dicts(read_version(spark, path, schema), "k", "d") == full
+        readers.append((read_version(spark, path, schema), full))
+        # The reader that began one write ago still sees what it began with.
+        for reader, then in readers[-2:]:
+            assert as_dicts(reader, "k", "d") == then
+    assert sorted(p.name for p in (tmp_path / "out" / "_versions").glob("0*")) == [f"{n:010d}" for n in (2, 3)]
+    assert newest_version(spark, path)[0] == 3
+    if partition_by:
+        # Days that no later batch touched were written once, and outdated ones are gone.
+        days = {p.relative_to(tmp_path / "out").as_posix() for p in (tmp_path / "out").glob("version=*/d=*")}
+        null = "d=__HIVE_DEFAULT_PARTITION__"
+        assert days == {
+            f"version=1/d={day(2)}", f"version=1/{null}", f"version=2/d={day(1)}", f"version=2/d={day(3)}",
+            f"version=3/d={day(1)}", f"version=3/{null}",
+        }
+
+
+def test_a_repeated_or_half_written_version_changes_nothing(spark, tmp_path):
+    source, path = str(tmp_path / "in"), str(tmp_path / "out")
+    spark.createDataFrame([("k", day(1), 1, at(1), "r")], SCHEMA).coalesce(1).write.parquet(source)
+    versions(spark, source, path, ["k", "d"], "d", f"{path}-cp")
+    for commit in (tmp_path / "out-cp" / "commits").glob("*0*"):
+        commit.unlink()
+    # Leftovers of a write that stopped before its list appeared.
+    spark.createDataFrame([("x", day(9), 9, at(9), "r")], SCHEMA).write.partitionBy("d").parquet(f"{path}/version=2")
+    versions(spark, source, path, ["k", "d"], "d", f"{path}-cp")
+    schema = spark.createDataFrame([], SCHEMA).schema
+    assert newest_version(spark, path)[0] == 1
+    assert [r["k"] for r in read_version(spark, path, schema).collect()] == ["k"]
+    spark.createDataFrame([("l", day(2), 1, at(2), "r")], SCHEMA).coalesce(1).write.mode("append").parquet(source)
+    versions(spark, source, path, ["k", "d"], "d", f"{path}-cp")
+    assert {r["k"] for r in read_version(spark, path, schema).collect()} == {"k", "l"}
+
+
 def test_a_partition_column_outside_the_key_is_refused(spark, folder):
     with pytest.raises(ValueError, match="part of the key"):
         stream_latest(spark.range(1), folder, folder, ["k"], partition_by="d")

@@ -56,6 +56,7 @@ from appkpi.sources import flatten, landing, monthly, payloads
 from appkpi.sources.files import folder_names, path_exists
 from appkpi.sources.seeds import literal_table
 from appkpi.sources.tables import publish_view, read_raw, read_table, write_table
+from appkpi.sources.versions import read_version
 from appkpi.streaming import stream_csv_to_raw, stream_latest
 from workloads.oracle_tables import (
     CAMPAIGN_RATIOS,
@@ -1026,6 +1027,21 @@ def incremental_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, path, rows.schema)
 
 
+@query(LATEST_EVENTS)
+def versioned_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same in two runs over half of the events each, for readers that run meanwhile."""
+    incoming, path = scratch(spark, "incoming"), scratch(spark, "versions")
+    rows = read(spark, sf_dir, "events").withColumn("day", F.to_date("ts"))
+    half = F.pmod(F.xxhash64("event_id"), F.lit(2))
+    for k in range(2):
+        rows.where(half == k).write.mode("append").parquet(incoming)
+        stream = spark.readStream.schema(rows.schema).parquet(incoming)
+        stream_latest(
+            stream, path, f"{path}-work", EVENT_KEY, NEWEST_EVENT, "day", f"{path}-checkpoint", versioned=True
+        ).awaitTermination()
+    return read_version(spark, path, rows.schema)
+
+
 MONTH_RANGE = date(2026, 5, 3), date(2026, 7, 31)
 OWN_PACKAGE = "com.example.app"
 # Orders dealt over the days of May and June 2026; those of one status belong to another package.
