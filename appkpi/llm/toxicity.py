@@ -2,9 +2,9 @@
 
 A word is the sum of two rows of a hashed table, so a rare clash of one row does not make a word
 look like another, and of a row of its first bytes, which words of one stem share. Filters of widths 1, 2 and 3 slide over the words, each keeps its highest
-response in the text (max pooling), and a logistic layer weighs them. It is fitted on a bounded
-sample of labelled rows; rows of the sample that the weights have not seen set one threshold for
-each language. Scores depend on the text alone.
+response in the text (max pooling), and a logistic layer weighs them. It is fitted on all labelled
+rows: shards of them train side by side and are averaged after every round. Rows that the weights
+have not seen set one threshold for each language. Scores depend on the text alone.
 """
 
 from __future__ import annotations
@@ -15,25 +15,25 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from appkpi.llm.common import in_small_batches, map_rows
-from appkpi.llm.labelled import in_one_task, labelled_sample
+from appkpi.llm.common import discard, in_small_batches, map_rows, settle
+from appkpi.llm.labelled import BLOCK, averaged, changed_blocks, class_counts, labelled_rows
 from appkpi.llm.words import hash_words_and_starts, mix
 
 TABLE_BITS = 16
 DIMENSIONS = 8
 WIDTHS = (1, 2, 3)
 FILTERS = 8
-EPOCHS = 5
-# Small samples are gone over more often.
+# Labelled rows that train a copy of the model together, about.
+SHARD_ROWS = 2000
+# How often the copies are averaged.
+ROUNDS = 2
+# Small shards are gone over more often.
 LEAST_VISITS = 6000
 STEP = 0.05
 # Words are hidden with this chance while training.
 HIDDEN_SHARE = 0.3
 # Words of fewer different texts are not learned.
 LEAST_TEXTS = 4
-# Labelled rows of each class that the classifier is fitted on, at most.
-SAMPLE_PER_CLASS = 1200
-CALIBRATION_SHARE = 5
 # A language with fewer unseen rows of a class than this keeps the threshold 0.5.
 LEAST_CALIBRATION_ROWS = 10
 # Words that go through the filters at a time; texts may be longer.
@@ -42,6 +42,8 @@ CHUNK_WORDS = 8192
 PREFIX_BYTES = 5
 # The row of words that are not learned: always zeros.
 UNKNOWN = 1 << TABLE_BITS
+# Thresholds are 1 / (1 + 2**-k) for k from -CUTS to CUTS.
+CUTS = 6
 # A clean text flagged costs as much as this many toxic ones passed over.
 FALSE_ALARM_COST = 3
 # Signs that part words like blanks.
@@ -132,29 +134,38 @@ def new_model() -> Model:
     )
 
 
-def fit(rows: Iterator[tuple[str, str, int]]) -> Model:
-    """Trained on (text, lang, y); the order of the rows fixes the result."""
+def as_blocks(model: Model):
+    """All that is trained, as rows of ``BLOCK`` numbers: a word's row keeps its number."""
     import numpy as np
 
-    model = new_model()
-    sample = [(table_rows(text), lang, y) for text, lang, y in rows]
-    unseen = sample[::CALIBRATION_SHARE]
-    seen = [x for i, x in enumerate(sample) if i % CALIBRATION_SHARE]
-    ones = sum(y for _, _, y in seen)
-    usual = common_words([at for at, _, _ in seen])
-    if not 0 < ones < len(seen):
-        model.weights[:] = 0
-        model.bias = -8.0 if not ones else 8.0
-        return model
-    weigh = {1: 0.5 * len(seen) / ones, 0: 0.5 * len(seen) / (len(seen) - ones)}
-    random = np.random.default_rng(11)
-    shape = [model.table, *model.filters, *model.shifts, model.weights]
-    # Squared slopes so far, by which each weight's step is divided.
-    past = [np.full_like(a, 1e-4) for a in shape]
-    past_bias = 1e-4
-    for _ in range(max(EPOCHS, LEAST_VISITS // len(seen))):
+    rest = np.concatenate(
+        [*[f.ravel() for f in model.filters], *model.shifts, model.weights, [model.bias]]
+    ).astype(np.float64)
+    rest = np.pad(rest, (0, -len(rest) % BLOCK)).reshape(-1, BLOCK)
+    return np.concatenate([model.table.astype(np.float64), rest])
+
+
+def from_blocks(blocks) -> Model:
+    import numpy as np
+
+    rest = blocks[UNKNOWN + 1 :].ravel()
+    sizes = [w * DIMENSIONS * FILTERS for w in WIDTHS] + [FILTERS] * len(WIDTHS) + [len(WIDTHS) * FILTERS]
+    *parts, tail = np.split(rest, np.cumsum(sizes))
+    parts = [p.astype(np.float32) for p in parts]
+    n = len(WIDTHS)
+    filters = [p.reshape(w, DIMENSIONS, FILTERS) for w, p in zip(WIDTHS, parts[:n], strict=True)]
+    return Model(blocks[: UNKNOWN + 1].astype(np.float32), filters, parts[n : 2 * n], parts[-1], float(tail[0]))
+
+
+def visit(model: Model, past: Model, seen: list, weigh: dict[int, float], times: int, seed: list[int]) -> None:
+    """Trains the model on (table rows, y) in place. ``past`` holds the squared slopes so far."""
+    import numpy as np
+
+    usual = common_words([at for at, _ in seen])
+    random = np.random.default_rng(seed)
+    for _ in range(times):
         for i in random.permutation(len(seen)):
-            at, _, y = seen[i]
+            at, y = seen[i]
             # Some words are hidden at every visit, so that no text hangs on one of them.
             at = np.where(usual[i], at, [[UNKNOWN], [UNKNOWN], [0]] + at * [[0], [0], [1]])
             at = at[:, random.random(at.shape[1]) >= HIDDEN_SHARE]
@@ -168,10 +179,10 @@ def fit(rows: Iterator[tuple[str, str, int]]) -> Model:
             back = np.where(best > 0, pull * model.weights, 0).astype(np.float32)
             # Small weights are worth less than they cost: fewer words are learned by heart.
             slope = pull * np.maximum(best, 0) + 1e-4 * model.weights
-            past[-1] += slope**2
-            model.weights -= STEP * slope / np.sqrt(past[-1])
-            past_bias += pull**2
-            model.bias -= STEP * pull / np.sqrt(past_bias)
+            past.weights += slope**2
+            model.weights -= STEP * slope / np.sqrt(past.weights)
+            past.bias += pull**2
+            model.bias -= STEP * pull / np.sqrt(past.bias)
             n = at.shape[1]
             for k, width in enumerate(WIDTHS):
                 own = slice(k * FILTERS, (k + 1) * FILTERS)
@@ -188,55 +199,122 @@ def fit(rows: Iterator[tuple[str, str, int]]) -> Model:
                     f_slope[j][:, live] = (words * g[:, None]).T
                     push = (f[j][:, live] * g).T * inside[:, None]
                     for side in pair:
-                        np.add.at(past[0], side, push**2)
-                        np.add.at(model.table, side, -STEP * push / np.sqrt(past[0][side]))
+                        np.add.at(past.table, side, push**2)
+                        np.add.at(model.table, side, -STEP * push / np.sqrt(past.table[side]))
                 model.table[UNKNOWN] = 0
-                past[1 + k] += f_slope**2
-                f -= STEP * f_slope / np.sqrt(past[1 + k])
+                past.filters[k] += f_slope**2
+                f -= STEP * f_slope / np.sqrt(past.filters[k])
                 s_slope = back[own]
-                past[1 + len(WIDTHS) + k] += s_slope**2
-                model.shifts[k] -= STEP * s_slope / np.sqrt(past[1 + len(WIDTHS) + k])
-    scored = [(lang, model.score(at), y) for at, lang, y in unseen]
-    if {y for _, _, y in scored} == {0, 1}:
-        cut = best_cut([(s, y) for _, s, y in scored])
-        model.bias -= float(np.log(cut / (1 - cut)))
-        scored = [(lang, model.score(at), y) for at, lang, y in unseen]
-    for lang in {x[0] for x in scored}:
-        own = [(s, y) for at, s, y in scored if at == lang]
-        ones = sum(y for _, y in own)
-        if min(ones, len(own) - ones) >= LEAST_CALIBRATION_ROWS:
-            model.thresholds[lang] = best_cut(own)
-    return model
+                past.shifts[k] += s_slope**2
+                model.shifts[k] -= STEP * s_slope / np.sqrt(past.shifts[k])
 
 
-def best_cut(scored: list[tuple[float, int]]) -> float:
-    """The score from which calling a text toxic costs least; of equal ones that nearest the middle."""
-    clean = [s for s, y in scored if not y]
-    toxic = [s for s, y in scored if y]
+def best_cut(counts: dict[tuple[int, int], int], shift: int = 0) -> int:
+    """The k whose threshold costs least over (y, step of the score); of equal ones that nearest the middle.
 
-    def cost(t: float) -> float:
-        alarms = sum(s >= t for s in clean) / len(clean)
-        return FALSE_ALARM_COST * alarms + sum(s < t for s in toxic) / len(toxic)
+    A score of step s reaches the thresholds up to k = s - shift.
+    """
+    n = [sum(c for (y, _), c in counts.items() if y == own) for own in (0, 1)]
 
-    cuts = [1 / (1 + 2.0**-k) for k in range(-6, 7)]
-    costs = [cost(t) for t in cuts]
-    least = [t for t, c in zip(cuts, costs, strict=True) if c <= min(costs) + 1e-12]
-    return min(least, key=lambda t: abs(t - 0.5))
+    def cost(k: int) -> float:
+        alarms = sum(c for (y, s), c in counts.items() if not y and s >= k + shift)
+        missed = sum(c for (y, s), c in counts.items() if y and s < k + shift)
+        return FALSE_ALARM_COST * alarms / n[0] + missed / n[1]
+
+    cuts = range(-CUTS, CUTS + 1)
+    least = min(map(cost, cuts))
+    return min((k for k in cuts if cost(k) <= least + 1e-12), key=abs)
+
+
+def calibrate(model: Model, held: DataFrame) -> None:
+    """Sets the bias and a threshold per language by all rows that trained nothing."""
+    import numpy as np
+
+    weights = held.sparkSession.sparkContext.broadcast(model)
+
+    def steps(found: Iterator[tuple]) -> Iterator[tuple]:
+        for words, lang, y in found:
+            p = weights.value.score(unpacked(words))
+            step = np.floor(np.log2(p / (1 - p))) if p < 1 else 2 * CUTS
+            yield lang, y, int(np.clip(step, -2 * CUTS - 1, 2 * CUTS))
+
+    scored = map_rows(held, ["words", "lang", "y"], "lang string, y int, step int", steps)
+    counts = settle(scored.groupBy("lang", "y", "step").agg(F.count("*").alias("n")), "toxicity-steps")
+    every = {(r.y, r.step): r.n for r in counts.groupBy("y", "step").agg(F.sum("n").alias("n")).collect()}
+    if {y for y, _ in every} != {0, 1}:
+        discard(counts)
+        return
+    shift = best_cut(every)
+    model.bias -= shift * float(np.log(2))
+    enough = [F.sum(F.when(F.col("y") == y, F.col("n"))) >= LEAST_CALIBRATION_ROWS for y in (0, 1)]
+    by_lang = counts.groupBy("lang").agg(
+        F.collect_list(F.struct("y", "step", "n")).alias("steps"), (enough[0] & enough[1]).alias("enough")
+    )
+    for r in by_lang.where("enough").collect():
+        k = best_cut({(y, s): n for y, s, n in r.steps}, shift)
+        model.thresholds[r.lang] = 1 / (1 + 2.0**-k)
+    discard(counts)
+
+
+def packed(rows) -> bytes:
+    """Table rows as bytes; each is below 2**16."""
+    import numpy as np
+
+    return rows.astype(np.uint16).tobytes()
+
+
+def unpacked(words: bytes):
+    import numpy as np
+
+    return np.frombuffer(words, np.uint16).reshape(3, -1).astype(np.int64)
 
 
 def train(docs: DataFrame, labels: DataFrame, allowed: Column | None = None,
-          per_class: int = SAMPLE_PER_CLASS) -> Model:
-    """Fits on at most ``per_class`` labelled rows of each class; the weights (2 MB) come back."""
-    import pickle
+          shard_rows: int = SHARD_ROWS) -> Model:
+    """Fits on all labelled rows, in shards of about ``shard_rows``; the weights (2 MB) come back."""
+    import numpy as np
 
     allowed = F.lit(True) if allowed is None else allowed
-    sample = in_one_task(labelled_sample(docs, labels, "toxic", allowed, per_class))
 
-    def rows(found: Iterator[tuple]) -> Iterator[tuple]:
-        yield (pickle.dumps(fit(found)),)
+    def words(found: Iterator[tuple]) -> Iterator[tuple]:
+        for *head, text in found:
+            yield *head, packed(table_rows(text))
 
-    models = map_rows(sample, ["text", "lang", "y"], "model binary", rows).collect()
-    return pickle.loads(models[0][0]) if models else fit(iter(()))
+    head = {"shard": "int", "doc_id": "long", "held": "boolean", "lang": "string", "y": "int"}
+    schema = ", ".join(f"{c} {t}" for c, t in {**head, "words": "binary"}.items())
+    chosen = labelled_rows(docs, labels, "toxic", allowed, shard_rows)
+    rows = settle(map_rows(chosen, [*head, "text"], schema, words), "labelled-words")
+    counts = class_counts(rows)
+    zeros, ones = (counts.get((False, y), 0) for y in (0, 1))
+    model = new_model()
+    if not zeros or not ones:
+        discard(rows)
+        model.weights[:] = 0
+        model.bias = -8.0 if not ones else 8.0
+        return model
+    weigh = {1: 0.5 * (zeros + ones) / ones, 0: 0.5 * (zeros + ones) / zeros}
+    state = as_blocks(model)
+    # The weights and, beside them, the squared slopes so far, by which each weight's step is divided.
+    state = np.concatenate([state, np.full_like(state, 1e-4)], axis=1).astype(np.float32)
+    for turn in range(ROUNDS):
+        begun = docs.sparkSession.sparkContext.broadcast(state)
+
+        def learn(shard: int, found: list[tuple], begun=begun, turn=turn) -> Iterator[tuple]:
+            before = begun.value.astype(np.float64)
+            model, past = from_blocks(before[:, :BLOCK]), from_blocks(before[:, BLOCK:])
+            seen = [(unpacked(words), y) for words, y in found]
+            times = max(1, LEAST_VISITS // (ROUNDS * len(seen)))
+            visit(model, past, seen, weigh, times, [11, turn, shard])
+            after = np.concatenate([as_blocks(model), as_blocks(past)], axis=1)
+            return changed_blocks(before, after)
+
+        seen = rows.where("not held")
+        blocks, change = averaged(seen, ["words", "y"], 2 * BLOCK, learn, "toxicity-round")
+        state[blocks] += change.astype(np.float32)
+    model = from_blocks(state[:, :BLOCK])
+    calibrate(model, rows.where("held"))
+    discard(rows)
+    return model
 
 
 def score_toxicity(docs: DataFrame, model: Model) -> DataFrame:
