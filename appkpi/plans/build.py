@@ -40,7 +40,8 @@ def build_all(
 ) -> dict[str, DataFrame]:
     """Full refresh of every table (or ``names`` and what they read) under ``root``, published as views too.
 
-    ``day_folders=False`` stores a copy that is read whole, as data tests read it, in as few files as its size needs.
+    ``day_folders=False`` stores a copy that is read whole, as data tests read it. Its rows stay where the
+    grouping or window before them put them: adaptive execution has packed small parts there already.
 
     Stored tables are read back by their readers, so a lost executor costs the tasks of
     the table being written and not the chain behind it.
@@ -56,7 +57,7 @@ def build_all(
             if day_folders:
                 write_table(df, path, spec.partition_by, spec.cluster_by)
             else:
-                write_table(df, path)
+                df.write.mode("overwrite").parquet(path)
             df = read_table(spark, path, df.schema)
         done[name] = publish_view(df, name)
     return done

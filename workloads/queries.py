@@ -16,6 +16,10 @@ from workloads import operator_queries
 from workloads.oracle_tables import table_sql
 from workloads.raw_shapes import RawTables
 
+# A byte of the tables becomes some thirty bytes of text rows, which a task sorts in memory before
+# it sends on the latest of each key. With Spark's 128 MB a part, such sorts spill.
+SPLIT_BYTES = "8m"
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -30,10 +34,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _in_utc(query: Query) -> Query:
-    """The query in a session that cuts days in UTC, whatever zone the cluster starts with."""
+    """The query in a session that cuts days in UTC and input into small parts, whatever the cluster starts with."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         spark.conf.set("spark.sql.session.timeZone", SESSION_ZONE)
+        spark.conf.set("spark.sql.files.maxPartitionBytes", SPLIT_BYTES)
         return query(spark, sf_dir)
 
     return run
