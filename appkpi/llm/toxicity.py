@@ -113,10 +113,21 @@ def common_words(sample: list) -> list:
 
     words = [(at[0] << TABLE_BITS) | at[1] for at in sample]
     first = {w.tobytes(): i for i, w in enumerate(words)}
-    found = np.concatenate([np.unique(words[i]) for i in first.values()] or [np.zeros(0, np.int64)])
+    found = np.concatenate([different(words[i]) for i in first.values()] or [np.zeros(0, np.int64)])
     word, texts = np.unique(found, return_counts=True)
-    usual = word[texts >= LEAST_TEXTS]
-    return [np.isin(w, usual) for w in words]
+    # The last one stands for all that are greater; no word is that great.
+    usual = np.append(word[texts >= LEAST_TEXTS], np.iinfo(np.int64).max)
+    return [usual[np.searchsorted(usual, w)] == w for w in words]
+
+
+def different(words):
+    """The different words of a text, sorted. ``np.unique`` hashes them, which takes some ten times as long."""
+    import numpy as np
+
+    words = np.sort(words)
+    first = np.ones(len(words), bool)
+    first[1:] = words[1:] != words[:-1]
+    return words[first]
 
 
 def new_model() -> Model:
