@@ -37,6 +37,8 @@ BUCKET_BITS = 16
 # Labelled rows that are fitted together, about.
 SHARD_ROWS = 1500
 STEPS = 48
+# Buckets of some rows that a step goes over at a time.
+PIECE_SHARES = 1 << 17
 # Margins are counted in steps of this size before they become probabilities.
 MARGIN_STEP = 2.0**-8
 
@@ -107,36 +109,71 @@ class Model:
 
 
 def bucket_shares(rows: Iterator[tuple[str, int]]) -> tuple:
-    """Row, bucket and share of every bucket of every (text, label), and the labels."""
+    """Bucket and share of every bucket of every (text, label), in rows, how many each row has, and the labels."""
     import numpy as np
 
     size = 1 << BUCKET_BITS
-    row, at, value, y = [], [], [], []
+    at, value, sizes, y = [], [], [], []
     for text, label in rows:
         raw = text.encode()
+        n = 0
         for kind, found in enumerate(features(raw, hash_words(raw))):
             bucket, count = np.unique(found, return_counts=True)
-            row.append(np.full(len(bucket), len(y), np.int32))
             at.append((bucket + kind * size).astype(np.int32))
             value.append((count / max(1, len(found))).astype(np.float32))
+            n += len(bucket)
+        sizes.append(n)
         y.append(label)
-    joined = [np.concatenate(x) if x else np.zeros(0, np.int32) for x in (row, at, value)]
-    return *joined, np.array(y, np.int64)
+    joined = []
+    for parts, kind in ((at, np.int32), (value, np.float32)):
+        joined.append(np.concatenate([np.zeros(0, kind), *parts]))
+        parts.clear()
+    return *joined, np.array(sizes, np.int64), np.array(y, np.int64)
 
 
-def descend(row, at, value, y, balance) -> tuple:
+def in_pieces(at, value, sizes) -> Iterator[tuple]:
+    """Rows in pieces of about ``PIECE_SHARES`` buckets: the first row, rows of the entries, buckets, shares, how many rows."""
+    import numpy as np
+
+    ends = np.cumsum(sizes)
+    row = 0
+    while row < len(sizes):
+        begin = int(ends[row] - sizes[row])
+        stop = max(row + 1, int(np.searchsorted(ends, begin + PIECE_SHARES, "right")))
+        own = np.repeat(np.arange(stop - row), sizes[row:stop])
+        end = int(ends[stop - 1])
+        yield row, own, at[begin:end], value[begin:end], stop - row
+        row = stop
+
+
+def margins_of(weights, bias, at, value, sizes):
+    import numpy as np
+
+    out = np.zeros(len(sizes))
+    for row, own, bucket, share, n in in_pieces(at, value, sizes):
+        out[row : row + n] = np.bincount(own, weights[bucket] * share, n)
+    return out + bias
+
+
+def descend(at, value, sizes, y, balance) -> tuple:
     """Weights and bias by gradient steps; ``balance`` is what each row weighs."""
     import numpy as np
 
     weights = np.zeros(4 << BUCKET_BITS)
     bias, slow, fast = 0.0, np.zeros_like(weights), np.zeros_like(weights)
     for step in range(1, STEPS + 1):
-        margin = np.bincount(row, weights[at] * value, len(y)) + bias
-        pull = balance * (1 / (1 + np.exp(-margin)) - y)
-        slope = np.bincount(at, pull[row] * value, len(weights)) + 1e-7 * weights
+        slope = np.zeros_like(weights)
+        total = np.zeros(len(y))
+        for row, own, bucket, share, n in in_pieces(at, value, sizes):
+            rows = slice(row, row + n)
+            margin = np.bincount(own, weights[bucket] * share, n) + bias
+            total[rows] = pull = balance[rows] * (1 / (1 + np.exp(-margin)) - y[rows])
+            # Adds one after another, in order, as one sum over all pieces would.
+            np.add.at(slope, bucket, pull[own] * share)
+        slope += 1e-7 * weights
         slow, fast = 0.9 * slow + 0.1 * slope, 0.99 * fast + 0.01 * slope**2
         weights -= 0.5 * slow / (1 - 0.9**step) / (np.sqrt(fast / (1 - 0.99**step)) + 1e-6)
-        bias -= 0.5 * pull.sum()
+        bias -= 0.5 * total.sum()
     return weights, float(bias)
 
 
@@ -144,7 +181,7 @@ def fit(rows: Iterator[tuple[str, int]]) -> Model:
     """Fitted on rows in memory: weights on four fifths of them, calibrated on the rest."""
     import numpy as np
 
-    row, at, value, y = bucket_shares(rows)
+    at, value, sizes, y = bucket_shares(rows)
     if len(set(y.tolist())) < 2:
         # Nothing to tell apart: every text is as good as the rows seen.
         return Model(np.zeros((4, 1 << BUCKET_BITS)), 0.0, 0.0, 20.0 if not len(y) or y[0] else -20.0)
@@ -152,8 +189,8 @@ def fit(rows: Iterator[tuple[str, int]]) -> Model:
     if len(set(y[seen])) < 2 or len(set(y[~seen])) < 2:
         seen[:] = True
     balance = np.where(y == 1, 0.5 / max(1, (y[seen] == 1).sum()), 0.5 / max(1, (y[seen] == 0).sum()))
-    weights, bias = descend(row, at, value, y, np.where(seen, balance, 0.0))
-    margin = np.bincount(row, weights[at] * value, len(y)) + bias
+    weights, bias = descend(at, value, sizes, y, np.where(seen, balance, 0.0))
+    margin = margins_of(weights, bias, at, value, sizes)
     held = ~seen if (~seen).any() else seen
     a, b = platt(margin[held], y[held])
     return Model(weights.astype(np.float32).reshape(4, -1), bias, a, b)
@@ -199,9 +236,9 @@ def train(docs: DataFrame, labels: DataFrame, allowed: Column | None = None,
     weigh = [sum(total) / total[0], sum(total) / total[1]]
 
     def learn(shard: int, found: list[tuple]) -> Iterator[tuple]:
-        row, at, value, y = bucket_shares(found)
+        *shares, y = bucket_shares(found)
         balance = 0.5 * np.array(weigh)[y] / len(y)
-        weights, bias = descend(row, at, value, y, balance)
+        weights, bias = descend(*shares, y, balance)
         after = np.append(weights, [bias] + [0.0] * (BLOCK - 1)).reshape(-1, BLOCK)
         return changed_blocks(np.zeros_like(after), after)
 
