@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from appkpi.llm.common import map_rows, numbered, settle
-from appkpi.llm.tokens import library_coder
+from appkpi.llm.tokens import encoded, library_coder
 
 SEQUENCE = 2048
 END_ID = 1
@@ -82,8 +82,7 @@ def tokenize(docs: DataFrame, path: str) -> DataFrame:
 
         coder, signs = library_coder(path), projections()
         end = END_ID.to_bytes(2, "little")
-        for doc_id, text in found:
-            raw = coder.encode(text or "")
+        for doc_id, raw in encoded(coder, found):
             yield doc_id, curve_key(np.frombuffer(raw, "<u2"), signs), len(raw) // 2 + 1, raw + end
 
     return map_rows(docs, ["doc_id", "text"], "doc_id long, key long, n long, ids binary", rows)
