@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from appkpi.llm.common import map_rows, part_starts, settle
-from appkpi.llm.tokens import library_coder
+from appkpi.llm.tokens import encoded, library_coder
 
 BLOCK_IDS = 1 << 16
 LANES = 128
@@ -60,8 +60,8 @@ def raw_blocks(docs: DataFrame, path: str, end: int = END_ID) -> DataFrame:
             return (part, block, inside, n, *columns, b"".join(pieces))
 
         room = BLOCK_IDS
-        for number, (doc_id, text) in enumerate(found):
-            ids = memoryview(coder.encode(text or "") + stop)
+        for number, (doc_id, raw) in enumerate(encoded(coder, found)):
+            ids = memoryview(raw + stop)
             skip, n = 0, len(ids) // 2
             while skip < n:
                 take = min(room, n - skip)
