@@ -17,6 +17,8 @@ from appkpi.llm.common import by_group, discard, map_rows, settle
 CALIBRATION_SHARE = 5
 # Weights that travel together in a row.
 BLOCK = 8
+# The most bits of the broadcast map of labelled ids (8 MB); with more ids it lets more other rows through.
+MOST_MARKS = 1 << 26
 # Changes are added up as whole numbers of this size, so that the sum depends on no order.
 UNIT = 2.0**-32
 
@@ -42,6 +44,24 @@ def _one_per_id(found: DataFrame) -> DataFrame:
     return found.groupBy("doc_id").agg(one).select("doc_id", "r.text", "r.lang", "r.y")
 
 
+def likely_labelled(docs: DataFrame, clear: DataFrame, n: int) -> DataFrame:
+    """All rows of ``docs`` whose id is one of the ``n`` in ``clear``, and a few others, told by a map of hash bits.
+
+    So the texts of the others are not shuffled for a join with ``clear``.
+    """
+    marks = min(MOST_MARKS, max(1 << 16, 1 << (16 * n).bit_length()))
+    mark = F.pmod(F.xxhash64("doc_id"), F.lit(marks)) + 1
+    number, place = F.bitmap_bucket_number(mark), F.bitmap_bit_position(mark)
+    maps = clear.groupBy(number.alias("_map")).agg(F.bitmap_construct_agg(place).alias("_bits"))
+    byte = F.expr("conv(hex(substring(_bits, CAST(_place DIV 8 AS INT) + 1, 1)), 16, 10)").cast("int")
+    return (
+        docs.withColumns({"_map": number, "_place": place})
+        .join(F.broadcast(maps), "_map")
+        .where(F.getbit(byte, F.expr("CAST(_place % 8 AS INT)")) == 1)
+        .drop("_map", "_place", "_bits")
+    )
+
+
 def labelled_rows(
     docs: DataFrame, labels: DataFrame, label: str, allowed: Column, shard_rows: int
 ) -> DataFrame:
@@ -51,8 +71,9 @@ def labelled_rows(
     its text is taken. ``lang`` is '' where ``docs`` has none. Shards have about ``shard_rows`` rows.
     """
     clear = clear_labels(labels, label, allowed)
-    shards = max(1, -(-clear.count() // shard_rows))
-    found = _one_per_id(_texts(docs).join(clear, "doc_id"))
+    n = clear.count()
+    shards = max(1, -(-n // shard_rows))
+    found = _one_per_id(likely_labelled(_texts(docs), clear, n).join(clear, "doc_id"))
     return found.select(
         F.pmod(F.xxhash64("doc_id"), F.lit(shards)).cast("int").alias("shard"),
         "doc_id",
