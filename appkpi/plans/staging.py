@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Collection
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -50,8 +50,11 @@ EXTRAS: dict[str, dict[str, Callable[[], Column]]] = {
 RENAMED = {("stg_appstore_app_downloads", "pre_order"): ("pre_order", "pre-order")}
 
 
-def typed(raw: DataFrame, name: str) -> DataFrame:
-    """The contract's columns, typed. Columns the raw table lacks are NULL."""
+def typed(raw: DataFrame, name: str, only: Collection[str] | None = None) -> DataFrame:
+    """The contract's columns, typed. Columns the raw table lacks are NULL.
+
+    ``only`` names the fields to type; the others keep their raw text, see :func:`typed_values`.
+    """
     contract = CONTRACTS[name]
     types = {f.name.lower(): f.dataType.simpleString() for f in raw.schema.fields}
 
@@ -63,7 +66,8 @@ def typed(raw: DataFrame, name: str) -> DataFrame:
         spellings = RENAMED.get((name, alias), (source[0] if source else alias,))
         text = ", ".join(raw_column(s) for s in spellings)
         text = f"coalesce({text})" if len(spellings) > 1 else text
-        return f"{parse_sql(text, type_name)} AS `{alias}`"
+        wanted = only is None or alias in only
+        return f"{parse_sql(text, type_name) if wanted else text} AS `{alias}`"
 
     def load_column(column: str) -> str:
         wanted = METADATA[column]
@@ -87,6 +91,15 @@ def latest_typed(rows: DataFrame, name: str) -> DataFrame:
     return keep_latest(rows, contract.key, tie_break=own)
 
 
+def typed_values(rows: DataFrame, name: str) -> DataFrame:
+    """Rows of which only the key is typed, with the other fields typed as well."""
+    contract = CONTRACTS[name]
+    values = {f[0]: f[1] for f in contract.fields if f[0] not in contract.key}
+    return rows.selectExpr(
+        *[f"{parse_sql(f'`{c}`', values[c])} AS `{c}`" if c in values else f"`{c}`" for c in rows.columns]
+    )
+
+
 def with_extras(rows: DataFrame, name: str) -> DataFrame:
     """Typed rows with the columns that are computed from them."""
     extras = EXTRAS.get(name)
@@ -94,10 +107,18 @@ def with_extras(rows: DataFrame, name: str) -> DataFrame:
 
 
 def stage(raw: DataFrame, name: str) -> DataFrame:
-    """One staging table. Extras are computed after the de-duplication, on the rows kept."""
-    rows = typed(raw, name)
-    if CONTRACTS[name].key:
+    """One staging table. Extras are computed after the de-duplication, on the rows kept.
+
+    So are the values of rows that are numbered. Rows without a number settle ties by a hash of
+    the typed values, which every row then needs.
+    """
+    key = CONTRACTS[name].key
+    numbered = bool(key) and LANDED_ROW in raw.columns
+    rows = typed(raw, name, only=key if numbered else None)
+    if key:
         rows = latest_typed(rows, name).drop(LANDED_ROW)
+    if numbered:
+        rows = typed_values(rows, name)
     return with_extras(rows, name)
 
 

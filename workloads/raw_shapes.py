@@ -46,6 +46,14 @@ def _load(
 # ---- helper columns over events, lineitem and orders ----
 
 
+def _hundredths(amount: str) -> str:
+    """``round(amount * 100)`` as text. ``round`` goes by way of a decimal object for every row;
+    ``rint`` does not and differs from it only halfway between two whole numbers."""
+    x = f"{amount} * 100"
+    whole = f"CASE WHEN abs({x} - rint({x})) = 0.5 THEN round({x}) ELSE rint({x}) END"
+    return f"CAST(CAST({whole} AS BIGINT) AS STRING)"
+
+
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = read(spark, sf_dir, "events").selectExpr(
         "event_id",
@@ -86,9 +94,7 @@ def lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
         "CAST(l_shipdate AS TIMESTAMP) + make_dt_interval(0, CAST(qty AS INT)) AS ingested",
         "concat_ws('-', CAST(l_orderkey AS STRING), CAST(l_partkey AS STRING), "
         "CAST(l_suppkey AS STRING), CAST(line AS STRING), CAST(qty AS STRING), "
-        "CAST(CAST(round(l_extendedprice * 100) AS BIGINT) AS STRING), "
-        "CAST(CAST(round(l_discount * 100) AS BIGINT) AS STRING), "
-        "CAST(CAST(round(l_tax * 100) AS BIGINT) AS STRING), "
+        f"{_hundredths('l_extendedprice')}, {_hundredths('l_discount')}, {_hundredths('l_tax')}, "
         "l_returnflag, l_linestatus) AS run",
     )
 
