@@ -17,6 +17,7 @@ def keep_latest(
     keys: Sequence[str],
     order_by: Sequence[str] | None = None,
     tie_break: Sequence[str] | None = None,
+    sort_by_hash: bool = False,
 ) -> DataFrame:
     """One row per key: the one loaded last. NULL keys form a group of their own.
 
@@ -28,6 +29,10 @@ def keep_latest(
 
     Spark turns ``row_number() = 1`` into a per-key limit on both sides of the shuffle, so
     a key that holds a large share of the rows sends one row per map task, not all of them.
+
+    That limit sorts every row. ``sort_by_hash`` puts a hash of the keys first, which settles
+    most comparisons by Spark's eight-byte sort prefix without a look at the rows. The result is
+    then spread by hash and keys: a grouping on the keys that follows needs a shuffle of its own.
     """
     if order_by is None:
         order_by = [f"{INGESTED_AT} DESC"]
@@ -39,7 +44,8 @@ def keep_latest(
             order_by.append(f"{LANDED_ROW} DESC")
         elif hashed:
             order_by.append(f"xxhash64({_names(hashed)}) DESC")
-    version = f"row_number() OVER (PARTITION BY {_names(keys)} ORDER BY {', '.join(order_by)})"
+    group = f"xxhash64({_names(keys)}), {_names(keys)}" if sort_by_hash else _names(keys)
+    version = f"row_number() OVER (PARTITION BY {group} ORDER BY {', '.join(order_by)})"
     return (
         df.selectExpr("*", f"{version} AS __version").filter("__version = 1").drop("__version")
     )

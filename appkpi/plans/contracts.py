@@ -18,6 +18,8 @@ class Contract:
     fields: tuple[Field, ...]
     key: tuple[str, ...]
     load_columns: tuple[str, ...]
+    # For wide keys that no reader groups or merges on as a whole, see ``keep_latest``.
+    sort_by_hash: bool = False
 
 
 ATTRIBUTION_LOAD = (
@@ -91,7 +93,7 @@ IOS_HEAD = (("date", "date"), *_text("app_name", "app_apple_identifier"))
 
 
 def _ios(raw_table: str, fields: tuple[Field, ...], key: tuple[str, ...]) -> Contract:
-    return Contract(raw_table, (*IOS_HEAD, *fields), ("date", *key), REPORT_LOAD)
+    return Contract(raw_table, (*IOS_HEAD, *fields), ("date", *key), REPORT_LOAD, sort_by_hash=True)
 
 
 CONTRACTS: dict[str, Contract] = {

@@ -88,7 +88,7 @@ def latest_typed(rows: DataFrame, name: str) -> DataFrame:
     contract: Contract = CONTRACTS[name]
     # load columns are constant within a load, so they cannot break a tie
     own = [f[0] for f in contract.fields if f[0] not in contract.key]
-    return keep_latest(rows, contract.key, tie_break=own)
+    return keep_latest(rows, contract.key, tie_break=own, sort_by_hash=contract.sort_by_hash)
 
 
 def typed_values(rows: DataFrame, name: str) -> DataFrame:

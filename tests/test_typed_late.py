@@ -8,7 +8,7 @@ import pytest
 from conftest import as_dicts, at, day, plan_of
 from pyspark.sql import functions as F
 
-from appkpi.operators.latest import LANDED_ROW
+from appkpi.operators.latest import LANDED_ROW, keep_latest
 from appkpi.plans.contracts import CONTRACTS
 from appkpi.plans.staging import stage
 from workloads import raw_shapes
@@ -55,6 +55,20 @@ def test_numbered_rows_have_the_columns_and_types_of_others(raw, name):
     assert late.dtypes == plain.dtypes
 
 
+def test_latest_rows_are_the_same_when_sorted_by_hash(spark):
+    rows = [(k, c, at(i % 3 + 1), f"r{i % 5}", i) for i, (k, c) in enumerate([(1, "a"), (None, "a"), (1, None)] * 9)]
+    df = spark.createDataFrame(rows, f"k bigint, c string, _ingested_at timestamp, _run_id string, {LANDED_ROW} bigint")
+    plain, hashed = (keep_latest(df.repartition(3), ["k", "c"], sort_by_hash=h) for h in (False, True))
+    assert hashed.columns == df.columns
+    assert as_dicts(hashed) == as_dicts(plain) and hashed.count() == 3
+
+
+def test_wide_keys_that_readers_do_not_group_on_are_sorted_by_hash(raw):
+    rows = raw([], ["date", "download_type", "app_version", "device", "counts"])
+    assert "Sort [_w0" in plan_of(stage(rows, "stg_appstore_app_downloads"))
+    assert "Sort [_w0" not in plan_of(stage(rows, NAME))
+
+
 def test_run_ids_round_halves_away_from_zero(spark):
     amounts = [0.0, 0.005, 0.015, 0.025, 0.035, -0.005, -0.025, 1.125, 2.375, -2.125, 34950.23, 0.07, 1e13, None]
     rows = spark.createDataFrame([(a,) for a in amounts], "amount double")
