@@ -91,7 +91,8 @@ def lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
         "CASE WHEN l_discount < 0.1 THEN 'ID' END AS country",
         "CASE WHEN l_discount < 0.05 THEN 'Product page' ELSE 'Store sheet' END AS page",
         "CASE WHEN line <= 3 THEN 'android' ELSE 'ios' END AS os",
-        "CAST(l_shipdate AS TIMESTAMP) + make_dt_interval(0, CAST(qty AS INT)) AS ingested",
+        # whole hours later, without a zoned date-time per row
+        "timestamp_micros(unix_micros(CAST(l_shipdate AS TIMESTAMP)) + qty * 3600000000) AS ingested",
         "concat_ws('-', CAST(l_orderkey AS STRING), CAST(l_partkey AS STRING), "
         "CAST(l_suppkey AS STRING), CAST(line AS STRING), CAST(qty AS STRING), "
         f"{_hundredths('l_extendedprice')}, {_hundredths('l_discount')}, {_hundredths('l_tax')}, "
